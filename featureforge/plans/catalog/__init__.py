@@ -4,3 +4,4 @@ package fills ``featureforge.plans.registry.REGISTRY``."""
 from featureforge.plans.catalog import insight  # noqa: F401
 from featureforge.plans.catalog import features  # noqa: F401
 from featureforge.plans.catalog import flagship  # noqa: F401
+from featureforge.plans.catalog import profile  # noqa: F401
