@@ -103,3 +103,11 @@ def long_format(df: DataFrame, cols: Sequence[str], key: str = "feature",
     vals = [F.col(c).cast(cast).alias(c) if cast else F.col(c) for c in cols]
     wide = df.select(*[F.col(k) for k in keep], *vals)
     return wide.unpivot(list(keep), list(cols), key, value)
+
+
+def sig_round(c, digits: int = 6) -> Column:
+    """Round to ``digits`` significant digits (engine-independent presentation
+    of large-magnitude statistics such as variances and chi-square sums)."""
+    x = col(c).cast("double")
+    e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / e, digits - 1) * e)

@@ -77,3 +77,15 @@ def collect_stats(df: DataFrame, cols: Sequence[str], stats: Iterable[str] = (),
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach a one-row statistics table to every row (broadcast, no shuffle)."""
     return df.crossJoin(F.broadcast(one_row))
+
+
+def safe_corr(a, b) -> Column:
+    """Pearson r over rows where both sides are present, NULL when either side
+    is constant: covar_pop / (sd_pop(a) * sd_pop(b)) with ``try_divide``
+    (Spark's ``corr`` raises on a zero variance under ANSI mode)."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    both = a.isNotNull() & b.isNotNull()
+    aa = F.when(both, a.cast("double"))
+    bb = F.when(both, b.cast("double"))
+    return F.try_divide(F.covar_pop(aa, bb), F.stddev_pop(aa) * F.stddev_pop(bb))

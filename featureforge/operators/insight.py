@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from featureforge.functions.exprs import (is_value, long_format, numeric_cols,
                                           string_cols)
-from featureforge.functions.stats import collect_stats
+from featureforge.functions.stats import collect_stats, safe_corr
 from featureforge.roles import Roles
 
 
@@ -131,7 +131,7 @@ def feature_target_correlation(df: DataFrame, roles: Roles,
     features = list(features) if features is not None else numeric_cols(
         df, exclude=[roles.id, roles.target])
     label = _target_flag(df, roles).cast("double")
-    row = df.agg(*[F.corr(F.col(c).cast("double"), label).alias(c) for c in features])
+    row = df.agg(*[safe_corr(F.col(c), label).alias(c) for c in features])
     long = long_format(row, features, "feature", "r")
     return (long.where(F.col("r").isNotNull() & ~F.isnan("r"))
             .select("feature", F.abs("r").alias("abs_corr"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from featureforge.functions.exprs import (long_format, numeric_cols, safe_div,
                                           string_cols)
-from featureforge.functions.stats import attach
+from featureforge.functions.stats import attach, safe_corr
 from featureforge.roles import Roles
 
 # ---------------------------------------------------------------------------
@@ -265,7 +265,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
             if i == j:
                 exprs.append(F.when(F.stddev_pop(F.col(a).cast("double")) > 0, F.lit(1.0)).alias(name))
             else:
-                exprs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
+                exprs.append(safe_corr(a, b).alias(name))
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             name = f"_r{min(i, j)}_{max(i, j)}"

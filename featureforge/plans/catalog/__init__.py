@@ -6,3 +6,4 @@ from featureforge.plans.catalog import features  # noqa: F401
 from featureforge.plans.catalog import flagship  # noqa: F401
 from featureforge.plans.catalog import profile  # noqa: F401
 from featureforge.plans.catalog import prep  # noqa: F401
+from featureforge.plans.catalog import select  # noqa: F401

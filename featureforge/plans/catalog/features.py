@@ -55,6 +55,15 @@ FROM c360 CROSS JOIN (SELECT avg(monthly_charges) AS mean_monthly,
                              max(tenure * monthly_charges) AS max_clv,
                              max({_TOTAL_SVC}) AS max_svc FROM c360) s
 """
+FM_CTE = ("fm AS (SELECT c360.customer_id, " + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" for c in [
+        "senior", "tenure", "monthly_charges", "total_charges", "CLV_estimate", "CLV_per_month",
+        "ARPU", "total_services", "premium_services", "service_adoption_rate",
+        "contract_risk_score", "payment_risk_score", "is_new_customer", "is_loyal_customer",
+        "above_avg_charges", "has_internet", "fiber_optic_user", "phone_service_complexity",
+        "family_score", "customer_value_score"])
+    + ", CAST(c360.churn = 'Yes' AS INTEGER) AS label FROM c360 JOIN (" + _BUSINESS_SELECT
+    + ") b USING (customer_id))")
 BIZ_CTE = ("biz AS (SELECT c360.*, b.* EXCLUDE (customer_id) FROM c360 JOIN ("
            + _BUSINESS_SELECT + ") b USING (customer_id))")
 _BUSINESS_DOUBLES = ["CLV_estimate", "CLV_per_month", "ARPU", "service_adoption_rate",

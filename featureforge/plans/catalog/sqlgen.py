@@ -45,3 +45,9 @@ def products_sql(cols, degree: int = 2, sep: str = "_x_", digits: int | None = N
             e = f"round({e}, {digits})" if digits is not None else e
             out.append(f'{e} AS "{sep.join(combo)}"')
     return out
+
+
+def sig_sql(expr: str, digits: int = 6) -> str:
+    """DuckDB twin of ``exprs.sig_round``."""
+    e = f"pow(10.0, floor(log10(abs({expr}))))"
+    return f"(CASE WHEN ({expr}) = 0 THEN 0.0 ELSE round(({expr}) / {e}, {digits - 1}) * {e} END)"

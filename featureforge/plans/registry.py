@@ -39,7 +39,7 @@ def register(name: str, sql: str | None = None, digits: int | dict | None = ROUN
             if digits is None:
                 return df
             if isinstance(digits, dict):
-                return round_doubles(df, digits.get("*", ROUND_DIGITS), digits)
+                return _merge_rounded(df, digits)
             return round_doubles(df, digits)
         wrapped.__name__ = fn.__name__
         wrapped.__doc__ = fn.__doc__
@@ -48,3 +48,17 @@ def register(name: str, sql: str | None = None, digits: int | dict | None = ROUN
         REGISTRY[name] = Entry(name, wrapped, sql, note)
         return wrapped
     return deco
+
+
+def _merge_rounded(df: DataFrame, digits: dict) -> DataFrame:
+    """Round double columns per ``digits`` (``None`` = leave as is)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    out = []
+    for f in df.schema.fields:
+        d = digits.get(f.name, digits.get("*", ROUND_DIGITS))
+        if d is not None and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out.append(F.round(F.col(f.name).cast("double"), d).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
