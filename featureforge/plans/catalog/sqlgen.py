@@ -51,3 +51,9 @@ def sig_sql(expr: str, digits: int = 6) -> str:
     """DuckDB twin of ``exprs.sig_round``."""
     e = f"pow(10.0, floor(log10(abs({expr}))))"
     return f"(CASE WHEN ({expr}) = 0 THEN 0.0 ELSE round(({expr}) / {e}, {digits - 1}) * {e} END)"
+
+
+def round_all(sql: str, keep: list[str], digits: int = 6) -> str:
+    """Round every numeric output column except ``keep`` (integers stay integers)."""
+    k = ", ".join(f'"{c}"' for c in keep)
+    return f"SELECT {k}, round(COLUMNS(* EXCLUDE ({k})), {digits}) FROM ({sql}) q"
