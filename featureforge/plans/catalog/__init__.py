@@ -8,3 +8,4 @@ from featureforge.plans.catalog import profile  # noqa: F401
 from featureforge.plans.catalog import prep  # noqa: F401
 from featureforge.plans.catalog import select  # noqa: F401
 from featureforge.plans.catalog import evaluate  # noqa: F401
+from featureforge.plans.catalog import models  # noqa: F401
