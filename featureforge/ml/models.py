@@ -51,13 +51,16 @@ def make_classifier(kind: str, name: str | None = None, n_rows: int | None = Non
     name = name or kind
     c = _cols(name)
     if kind == "logistic_regression":
-        # C -> regParam = 1 / (C * n); l1/l2/elasticnet -> elasticNetParam 1 / 0 / 0.5
+        # C -> regParam = 1 / (C * n); l1/l2/elasticnet -> elasticNetParam 1 / 0 / 0.5.
+        # Spark standardises internally (coefficients are reported on the
+        # original scale); the penalty then acts on standardised
+        # coefficients, unlike the unscaled liblinear/lbfgs fit.
         C = params.get("C", 1.0)
         pen = params.get("penalty", "l2")
         reg = 1.0 / (C * (n_rows or 1000))
         return LogisticRegression(maxIter=params.get("max_iter", 1000), regParam=reg, tol=1e-4,
                                   elasticNetParam={"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}[pen],
-                                  standardization=False, labelCol="label", **c)
+                                  standardization=True, labelCol="label", **c)
     if kind in ("random_forest", "extra_trees"):
         return RandomForestClassifier(
             numTrees=params.get("n_estimators", 100), maxDepth=min(params.get("max_depth", 12) or 30, 30),
@@ -345,3 +348,26 @@ def compare_feature_sets(train: DataFrame, test: DataFrame, basic: Sequence[str]
     return d.withColumn("delta_vs_basic", F.col("roc_auc") - F.lit(b)).withColumn(
         "relative_delta_pct", (F.col("roc_auc") - F.lit(b)) / F.lit(b) * 100 if b else F.lit(None)) \
         if e is not None else d
+
+
+# ------------------------------------------------------------------ V21
+def cross_validate(train: DataFrame, features: Sequence[str], kinds: Sequence[str],
+                   fold_col: str = "fold", k: int = 5) -> DataFrame:
+    """Per fold AUC / precision / recall / F1 of each model (fit on the
+    other folds), then mean and POPULATION sd per (model, metric).  All fold
+    predictions are scored in one grouped evaluation job."""
+    from featureforge.operators import evaluate as V
+    preds = None
+    for f in range(k):
+        tr, ho = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
+        for kind in kinds:
+            p = predictions(make_pipeline(kind, features).fit(tr), ho, kind).withColumn("fold", F.lit(f))
+            preds = p if preds is None else preds.unionByName(p)
+    keys = ["model", "fold"]
+    cm = V.classification_metrics(preds, keys)
+    auc = V.roc_auc(V.score_histogram(preds, keys), keys)
+    per = cm.join(auc, keys).select("model", "fold", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+        for m in ("roc_auc", "precision", "recall", "f1_score")])))
+    return per.groupBy("model", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+                                              F.count(F.lit(1)).alias("folds"))

@@ -196,12 +196,13 @@ def binned_features(df: DataFrame, roles: Roles) -> DataFrame:
 
 # ----------------------------------------------------------------- pipelines
 def business_features(df: DataFrame, roles: Roles, clv: bool = True, arpu_: bool = True,
-                      services: bool = True, risk: bool = True) -> DataFrame:
+                      services: bool = True, risk: bool = True, stats: dict | None = None) -> DataFrame:
     """The full business-feature step (F1-F3, F5-F7, F9, F10, B1, F12, B2,
     F13-F18).  A feature is added only when its inputs exist; each group has
     a switch.  Global mean/max come from ONE one-row aggregate attached by a
-    broadcast cross join."""
+    broadcast cross join, or from ``stats`` frozen at fit time (literals)."""
     cols = set(df.columns)
+    ref = (lambda n: F.lit(stats.get(n))) if stats is not None else _c
     new: list[tuple[str, Column]] = []
     has = lambda *names: all(getattr(roles, n) in cols for n in names)
     if clv and has("tenure", "monthly"):
@@ -229,7 +230,7 @@ def business_features(df: DataFrame, roles: Roles, clv: bool = True, arpu_: bool
     if has("monthly"):
         new.append(("charges_category", charges_category(roles)))
         stat_exprs.append(F.avg(_c(roles.monthly)).alias("_mean_monthly"))
-        new.append(("above_avg_charges", flag(_c(roles.monthly) > _c("_mean_monthly"))))
+        new.append(("above_avg_charges", flag(_c(roles.monthly) > ref("_mean_monthly"))))
     if has("internet"):
         new += [("has_internet", has_internet(roles)), ("fiber_optic_user", fiber_optic_user(roles))]
     if has("phone", "multiple_lines"):
@@ -241,16 +242,31 @@ def business_features(df: DataFrame, roles: Roles, clv: bool = True, arpu_: bool
         stat_exprs += [F.max(clv_estimate(roles)).alias("_max_clv"),
                        F.max(count_yes(svc, roles)).alias("_max_svc")]
         new.append(("customer_value_score",
-                    safe_div(clv_estimate(roles), _c("_max_clv")) * 0.7
-                    + safe_div(count_yes(svc, roles), _c("_max_svc")) * 0.3))
-    base = attach(df, df.agg(*stat_exprs)) if stat_exprs else df
+                    safe_div(clv_estimate(roles), ref("_max_clv")) * 0.7
+                    + safe_div(count_yes(svc, roles), ref("_max_svc")) * 0.3))
+    if stats is not None or not stat_exprs:
+        return df.select(*df.columns, *[e.alias(n) for n, e in new])
+    base = attach(df, df.agg(*stat_exprs))
     return base.select(*df.columns, *[e.alias(n) for n, e in new])
 
 
+def business_feature_stats(df: DataFrame, roles: Roles) -> dict:
+    """Fit-time statistics of ``business_features`` (one aggregate)."""
+    svc = service_columns(df, roles)
+    exprs = []
+    if roles.monthly in df.columns:
+        exprs.append(F.avg(_c(roles.monthly)).alias("_mean_monthly"))
+    if roles.tenure in df.columns and roles.monthly in df.columns and svc:
+        exprs += [F.max(clv_estimate(roles)).alias("_max_clv"),
+                  F.max(count_yes(svc, roles)).alias("_max_svc")]
+    return df.agg(*exprs).first().asDict() if exprs else {}
+
+
 def advanced_business_features(df: DataFrame, roles: Roles, create_clv: bool = True,
                                create_service_metrics: bool = True,
                                create_risk_scores: bool = True,
-                               create_customer_segments: bool = True) -> DataFrame:
+                               create_customer_segments: bool = True,
+                               stats: dict | None = None) -> DataFrame:
     """The business transformer with four switches (advanced variant:
     revenue momentum, no 'multiple' keyword, tenure risk, price tier,
     lifecycle stage, family size score)."""
@@ -283,13 +299,14 @@ def advanced_business_features(df: DataFrame, roles: Roles, create_clv: bool = T
     if create_customer_segments:
         if has("monthly"):
             stat_exprs.append(F.avg(_c(roles.monthly)).alias("_mean_monthly"))
+            mean = F.lit(stats.get("_mean_monthly")) if stats is not None else _c("_mean_monthly")
             new += [("price_tier", price_tier(roles)),
-                    ("above_avg_spender", flag(_c(roles.monthly) > _c("_mean_monthly")))]
+                    ("above_avg_spender", flag(_c(roles.monthly) > mean))]
         if has("tenure"):
             new.append(("lifecycle_stage", lifecycle_stage(roles)))
         if has("partner", "dependents"):
             new.append(("family_size_score", family_score(roles)))
-    base = attach(df, df.agg(*stat_exprs)) if stat_exprs else df
+    base = attach(df, df.agg(*stat_exprs)) if stat_exprs and stats is None else df
     return base.select(*df.columns, *[e.alias(n) for n, e in new])
 
 
@@ -362,21 +379,15 @@ def top_variance_columns(df: DataFrame, k: int = 10, exclude: Sequence[str] = ()
     return [c for c, _ in scored[:k]]
 
 
-def manual_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], variant: str = "fe") -> DataFrame:
+def manual_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], variant: str = "fe",
+                 gates: dict | None = None) -> DataFrame:
     """Multiplicative pair always; ratio a/(b+1e-8) only when the gate
     holds on the whole column (fit-time, one aggregate):
     fe: every value of a and b > 0 (a null fails); advanced: no zero in b."""
     present = [(a, b) for a, b in pairs if a in df.columns and b in df.columns]
     if not present:
         return df
-    gates = []
-    for i, (a, b) in enumerate(present):
-        if variant == "fe":
-            g = (F.count_if(~(_c(a) > 0) | _c(a).isNull() | ~(_c(b) > 0) | _c(b).isNull()) == 0)
-        else:
-            g = F.count_if(_c(b) == 0) == 0
-        gates.append(g.alias(f"g{i}"))
-    row = collect_stats(df, [], extra=gates)
+    row = gates if gates is not None else pair_gates(df, present, variant)
     sep_mult = "_x_" if variant == "fe" else "_mult_"
     out = df
     for i, (a, b) in enumerate(present):
@@ -386,16 +397,30 @@ def manual_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], variant: str =
     return out
 
 
-def interaction_features(df: DataFrame, roles: Roles, degree: int = 2) -> DataFrame:
+def pair_gates(df: DataFrame, present, variant: str = "fe") -> dict:
+    """The ratio gates of X5, decided by one aggregate."""
+    gates = []
+    for i, (a, b) in enumerate(present):
+        if variant == "fe":
+            g = (F.count_if(~(_c(a) > 0) | _c(a).isNull() | ~(_c(b) > 0) | _c(b).isNull()) == 0)
+        else:
+            g = F.count_if(_c(b) == 0) == 0
+        gates.append(g.alias(f"g{i}"))
+    return collect_stats(df, [], extra=gates)
+
+
+def fe_pairs(roles: Roles) -> list[tuple[str, str]]:
+    sub = {"tenure": roles.tenure, "MonthlyCharges": roles.monthly}
+    return [(sub.get(a, a), sub.get(b, b)) for a, b in FE_MANUAL_PAIRS]
+
+
+def interaction_features(df: DataFrame, roles: Roles, degree: int = 2, gates: dict | None = None) -> DataFrame:
     """The FE interaction step: products of the key numerics (tenure,
     monthly, CLV, services) then the four manual pairs."""
     key = [c for c in (roles.tenure, roles.monthly, "CLV_estimate", "total_services")
            if c in df.columns]
     out = pairwise_products(df, key, degree) if len(key) >= 2 else df
-    pairs = [(roles.tenure if a == "tenure" else roles.monthly if a == "MonthlyCharges" else a,
-              roles.tenure if b == "tenure" else roles.monthly if b == "MonthlyCharges" else b)
-             for a, b in FE_MANUAL_PAIRS]
-    return manual_pairs(out, pairs, "fe")
+    return manual_pairs(out, fe_pairs(roles), "fe", gates)
 
 
 def advanced_interactions(df: DataFrame, roles: Roles, degree: int = 2,

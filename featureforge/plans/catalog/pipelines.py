@@ -1,0 +1,104 @@
+"""Catalogued queries: whole pipelines (W1-W5) and sources/sinks."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from featureforge.plans.datasets import FEATURES, churn_features
+from featureforge.plans.registry import register
+from featureforge.roles import CUSTOMER_360_ROLES as R
+from featureforge.session import scratch_path
+from featureforge.sources import io as S
+from featureforge.sources.tables import customer_360, customer_360_dirty, with_c360
+
+
+@register("w1_explore_overview", digits={"*": 6, "value": None})
+def q_w1(spark, sf):
+    """Headline numbers of the exploration reports as (section, metric, value)."""
+    from featureforge.plans.explore import explore
+    rep = explore(customer_360_dirty(spark, sf), R)
+
+    def long(name, df):
+        cols = [c for c, t in df.dtypes if t in ("bigint", "int", "double", "boolean")]
+        return df.select(F.inline(F.array(*[F.struct(F.lit(name).alias("section"), F.lit(c).alias("metric"),
+                                                     F.col(c).cast("double").alias("value")) for c in cols])))
+    parts = [long(n, rep[n]) for n in ("missing_summary", "duplicates", "completeness", "class_balance",
+                                       "correlation_summary", "revenue_at_risk")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("value", F.round("value", 6))
+
+
+@register("w2_engineer_pipeline", digits=None)
+def q_w2(spark, sf):
+    """Impute -> cap -> business -> interactions -> one-hot (dummy
+    variance guard) -> scale -> variance selection, fitted then applied."""
+    from featureforge.plans.engineer import engineering_pipeline
+    c = customer_360(spark, sf)
+    model = engineering_pipeline(R).fit(c)
+    return model.transform(c)
+
+
+@register("w4_basic_preprocess", digits=None)
+def q_w4(spark, sf):
+    """W4 on the dirty table (blank text charges stay categorical)."""
+    from featureforge.plans.engineer import basic_preprocess_pipeline
+    d = customer_360_dirty(spark, sf).drop("total_charges")
+    return basic_preprocess_pipeline(R).fit(d).transform(d)
+
+
+@register("w5_advanced_preprocess", digits=None)
+def q_w5(spark, sf):
+    """Median impute -> frozen IQR caps -> robust scale -> polynomial block."""
+    from featureforge.plans.engineer import advanced_preprocess_pipeline
+    d = customer_360_dirty(spark, sf).drop("total_charges")
+    return advanced_preprocess_pipeline(R).fit(d).transform(d)
+
+
+@register("w3_develop_models", digits=None)
+def q_w3(spark, sf):
+    """W3 (light settings): split, baselines, 2-trial tuning, voting, test
+    evaluation, CV, comparison table."""
+    from featureforge.plans.develop import develop_models
+    fm = churn_features(spark, sf).withColumnRenamed("customer_id", "id")
+    res = develop_models(fm, FEATURES, kinds=("naive_bayes", "decision_tree"), n_trials=2, folds=3)
+    return res["comparison"]
+
+
+_ROUNDTRIP_SQL = with_c360("""
+SELECT customer_id, tenure, monthly_charges, total_charges, CAST(churn = 'Yes' AS INTEGER) AS label FROM c360
+""")
+
+
+@register("s1_s3_s8_csv_roundtrip", sql=_ROUNDTRIP_SQL, digits=None)
+def q_roundtrip(spark, sf):
+    """S3 write (CSV sink) -> S1 load with an explicit schema -> S8 target to 0/1."""
+    c = customer_360(spark, sf).select(R.id, "tenure", "monthly_charges", "total_charges", R.target)
+    path = scratch_path(spark, f"csv_{uuid.uuid4().hex}")
+    c.write.mode("overwrite").option("header", True).csv(path)
+    back = S.load_raw(spark, path, schema=c.schema, fmt="csv")
+    return S.load_xy(back, R.target, R.positive)
+
+
+@register("s2_s4_processed_with_metadata", digits=None)
+def q_meta(spark, sf):
+    """S4 table + metadata sidecar, S2 reload of the train partition."""
+    from featureforge.operators.split import train_test_split
+    c = customer_360(spark, sf)
+    base = scratch_path(spark, f"proc_{uuid.uuid4().hex}")
+    S.save_with_metadata(train_test_split(c, R.id, R.target), base, "processed", ["imputer", "scaler"])
+    return S.load_processed(spark, base, train=True)
+
+
+@register("s5_s7_persisted_pipeline", digits=None)
+def q_persist(spark, sf):
+    """A fitted W4 pipeline saved, reloaded and applied."""
+    from featureforge.plans.engineer import basic_preprocess_pipeline
+    d = customer_360_dirty(spark, sf).drop("total_charges")
+    model = basic_preprocess_pipeline(R).fit(d)
+    path = scratch_path(spark, f"model_{uuid.uuid4().hex}")
+    S.save_fitted(model, path)
+    return S.load_fitted(path).transform(d)
