@@ -53,7 +53,37 @@ def q_stab(spark, sf):
     return L.stability_selection(train, SMALL, n_bootstrap=5, trees=20)
 
 
-@register("l11_ensemble_selection", digits=None)
+def _l11_sql():
+    from featureforge.plans.catalog.select import _fm_sql
+    return _fm_sql("""
+SELECT feature, CAST(count(DISTINCT method) AS BIGINT) AS votes, round(count(DISTINCT method) / 3.0e0, 6) AS vote_share,
+       count(DISTINCT method) / 3.0e0 >= 0.5 AS selected
+FROM (SELECT 'variance' AS method, feature FROM long GROUP BY feature HAVING var_pop(x) > 0.01
+      UNION ALL SELECT 'f_classif', feature FROM fsel WHERE rank <= 10
+      UNION ALL SELECT 'mutual_info', feature FROM misel WHERE rank <= 10)
+GROUP BY feature
+""", extra="""
+fstat AS (SELECT feature, CASE WHEN sum(n * v) > 0 THEN (sum(n * (m - gm) * (m - gm)) / (max(n_groups) - 1))
+                    / (sum(n * v) / (max(n_total) - max(n_groups))) END AS score
+    FROM (SELECT *, sum(n) OVER w AS n_total, count(*) OVER w AS n_groups,
+                 sum(n * m) OVER w / sum(n) OVER w AS gm
+          FROM (SELECT feature, y, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM long
+                WHERE x IS NOT NULL GROUP BY feature, y)
+          WINDOW w AS (PARTITION BY feature))
+    GROUP BY feature),
+fsel AS (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST, feature) AS rank FROM fstat),
+edges AS (SELECT feature, quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
+          FROM long GROUP BY feature),
+mi AS (SELECT feature, sum(n * 1.0 / n_total * ln(n * n_total * 1.0 / (n_bin * n_class))) AS score FROM (
+  SELECT *, sum(n) OVER (PARTITION BY feature) AS n_total, sum(n) OVER (PARTITION BY feature, bin) AS n_bin,
+         sum(n) OVER (PARTITION BY feature, y) AS n_class FROM (
+    SELECT l.feature, (SELECT count(*) FROM unnest(e.edges) t(v) WHERE l.x > t.v) AS bin, l.y, count(*) AS n
+    FROM long l JOIN edges e USING (feature) WHERE l.x IS NOT NULL GROUP BY 1, 2, 3))
+  GROUP BY feature),
+misel AS (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST, feature) AS rank FROM mi)""")
+
+
+@register("l11_ensemble_selection", sql=_l11_sql())
 def q_ens_sel(spark, sf):
     """Votes of variance (> 0.01), ANOVA-F top 10 and MI top 10; kept at >= 50 %."""
     fm = churn_features(spark, sf)

@@ -83,7 +83,13 @@ def q_roundtrip(spark, sf):
     return S.load_xy(back, R.target, R.positive)
 
 
-@register("s2_s4_processed_with_metadata", digits=None)
+@register("s2_s4_processed_with_metadata", digits=None, sql=with_c360("""
+SELECT c360.*, 'train' AS split FROM c360 JOIN (
+  SELECT customer_id FROM (
+    SELECT customer_id, row_number() OVER (PARTITION BY churn ORDER BY md5(CAST(customer_id AS VARCHAR) || '-42'),
+                                           customer_id) AS r, count(*) OVER (PARTITION BY churn) AS n FROM c360)
+  WHERE r > floor(n * 0.2 + 0.5)) USING (customer_id)
+"""))
 def q_meta(spark, sf):
     """S4 table + metadata sidecar, S2 reload of the train partition."""
     from featureforge.operators.split import train_test_split

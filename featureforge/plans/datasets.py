@@ -23,6 +23,12 @@ FEATURES = ["senior", "tenure", "monthly_charges", "total_charges", "CLV_estimat
 
 
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import os
+    from featureforge.sources.tables import shared
+    return shared(spark, ("churn_features", os.path.abspath(sf_dir)), lambda: _churn_features(spark, sf_dir))
+
+
+def _churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customer_360(spark, sf_dir)
     biz = X.business_features(c, R)
     cols = numeric_cols(biz, exclude=[R.id])
