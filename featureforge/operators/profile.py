@@ -253,26 +253,45 @@ def class_balance(df: DataFrame, roles: Roles, ratio_limit: float = 1.5) -> Data
 # ------------------------------------------------------------------ Q13-Q14
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Q13: Pearson r for every ordered pair (diagonal included), pairwise
-    complete (Spark ``corr`` skips rows where either side is null).  One
-    aggregate of n(n-1)/2 correlations; r(a,a) is 1 unless constant."""
+    complete.  ONE aggregate computes per column (count, population sd) and per
+    pair (covar_pop, both-present count); a pair whose both-present count
+    equals both column counts has r = covar / (sd_a sd_b) exactly.  Only
+    pairs touched by unmatched nulls get a second, masked aggregate.  The
+    n x n result (a bounded one-row collect) comes back as a small table."""
     cols = list(cols) if cols is not None else numeric_cols(df)
-    exprs, structs = [], []
+    x = {c: F.col(c).cast("double") for c in cols}
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    exprs = []
+    for i, c in enumerate(cols):
+        exprs += [F.count(x[c]).alias(f"n{i}"), F.stddev_pop(x[c]).alias(f"s{i}")]
+    for i, j in pairs:
+        a, b = x[cols[i]], x[cols[j]]
+        exprs += [F.covar_pop(a, b).alias(f"c{i}_{j}"),
+                  F.count_if(a.isNotNull() & b.isNotNull()).alias(f"n{i}_{j}")]
+    row = df.agg(*exprs).first() if exprs else None
+    r = {}
+    masked = []
+    for i, j in pairs:
+        if row[f"n{i}_{j}"] == row[f"n{i}"] == row[f"n{j}"]:
+            si, sj, cv = row[f"s{i}"], row[f"s{j}"], row[f"c{i}_{j}"]
+            r[(i, j)] = (cv / (si * sj)) if (si and sj and cv is not None) else None
+        else:
+            masked.append((i, j))
+    if masked:
+        row2 = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"r{i}_{j}") for i, j in masked]).first()
+        for i, j in masked:
+            v = row2[f"r{i}_{j}"]
+            r[(i, j)] = None if v is None or v != v else v
+    rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            if j < i:
-                continue
-            name = f"_r{i}_{j}"
             if i == j:
-                exprs.append(F.when(F.stddev_pop(F.col(a).cast("double")) > 0, F.lit(1.0)).alias(name))
+                v = 1.0 if row[f"s{i}"] else None
             else:
-                exprs.append(safe_corr(a, b).alias(name))
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            name = f"_r{min(i, j)}_{max(i, j)}"
-            structs.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                    F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                                    F.nanvl(F.col(name), F.lit(None).cast("double")).alias("correlation")))
-    return _rows(df.agg(*exprs), structs)
+                v = r[(min(i, j), max(i, j))]
+            rows.append((i, j, a, b, v))
+    return df.sparkSession.createDataFrame(
+        rows, "i int, j int, feature1 string, feature2 string, correlation double")
 
 
 def correlation_summary(corr: DataFrame) -> DataFrame:

@@ -232,3 +232,19 @@ def q_x3(spark, sf):
     cols = numeric_cols(biz, exclude=[R.id])[:5]
     out = X.polynomial_features(biz.select(R.id, *cols), cols, 2)
     return out
+
+
+_X4_ORDER = ["total_charges", "monthly_charges", "tenure", "senior"]
+
+
+@register("x4_x5_top_variance_interactions", digits=None, sql=with_c360(
+    "SELECT customer_id, " + ", ".join(products_sql(_X4_ORDER, 2, "_x_"))
+    + ", tenure * monthly_charges AS tenure_mult_monthly_charges"
+    + ", tenure / (monthly_charges + 1e-8) AS tenure_div_monthly_charges FROM c360"))
+def q_x4(spark, sf):
+    """The top-variance numerics (ranked by sample variance, here all four
+    customer numerics) multiplied pairwise, then the advanced X5 pairs
+    (``_mult_`` always, ``_div_`` when the divisor is never 0)."""
+    c = customer_360(spark, sf).select(R.id, "senior", "tenure", "monthly_charges", "total_charges")
+    out = X.advanced_interactions(c, R, exclude=[R.id])
+    return out.select(R.id, *new_cols(out, c.columns))

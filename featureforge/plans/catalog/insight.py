@@ -104,3 +104,19 @@ ORDER BY abs(r) DESC, feature LIMIT 15
 """))
 def q_n7(spark, sf):
     return N.feature_target_correlation(customer_360(spark, sf), R, top=15)
+
+
+@register("n6_churn_rate_by_services", sql=with_c360(f"""
+SELECT total_services AS value, count(*) AS n_rows,
+       round(avg(CAST(churn = 'Yes' AS DOUBLE)) * 100.0, 6) AS churn_rate
+FROM (SELECT churn, {" + ".join(f"CAST(coalesce({c} = 'Yes', false) AS INTEGER)" for c in
+       ["svc_online_urgent", "svc_streaming_low", "svc_device_final", "svc_tech_pending"])} AS total_services
+      FROM c360)
+GROUP BY total_services
+"""))
+def q_n6(spark, sf):
+    """% positive by an engineered discrete feature (service count)."""
+    from featureforge.operators import features as X
+    c = customer_360(spark, sf)
+    biz = X.business_features(c, R)
+    return N.churn_rate_by_feature(biz, R, "total_services")

@@ -32,7 +32,7 @@ def q_w1(spark, sf):
     return out.withColumn("value", F.round("value", 6))
 
 
-@register("w2_engineer_pipeline", digits=None)
+@register("w2_engineer_features", digits=None)
 def q_w2(spark, sf):
     """Impute -> cap -> business -> interactions -> one-hot (dummy
     variance guard) -> scale -> variance selection, fitted then applied."""
@@ -99,7 +99,7 @@ def q_meta(spark, sf):
     return S.load_processed(spark, base, train=True)
 
 
-@register("s5_s7_persisted_pipeline", digits=None)
+@register("s5_s7_persisted_model", digits=None)
 def q_persist(spark, sf):
     """A fitted W4 pipeline saved, reloaded and applied."""
     from featureforge.plans.engineer import basic_preprocess_pipeline

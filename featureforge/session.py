@@ -38,7 +38,11 @@ def get_spark(master: str | None = None, app: str = "featureforge",
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    if (master or "").startswith("local"):
+        # local mode runs the executors inside the driver JVM
+        extra.setdefault("spark.driver.memory", "8g")
+    for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
