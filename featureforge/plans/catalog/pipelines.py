@@ -42,7 +42,7 @@ def q_w2(spark, sf):
     return model.transform(c)
 
 
-@register("w4_basic_preprocess", digits=None)
+@register("w4_basic_preprocess", sql=None)
 def q_w4(spark, sf):
     """W4 on the dirty table (blank text charges stay categorical)."""
     from featureforge.plans.engineer import basic_preprocess_pipeline
@@ -50,7 +50,7 @@ def q_w4(spark, sf):
     return basic_preprocess_pipeline(R).fit(d).transform(d)
 
 
-@register("w5_advanced_preprocess", digits=None)
+@register("w5_advanced_preprocess", sql=None)
 def q_w5(spark, sf):
     """Median impute -> frozen IQR caps -> robust scale -> polynomial block."""
     from featureforge.plans.engineer import advanced_preprocess_pipeline
@@ -108,3 +108,62 @@ def q_persist(spark, sf):
     path = scratch_path(spark, f"model_{uuid.uuid4().hex}")
     S.save_fitted(model, path)
     return S.load_fitted(path).transform(d)
+
+
+# ------------------------------------------------------------------ W4/W5 oracles
+_W_NUM = ["senior", "tenure", "monthly_charges"]
+_W_CAT = ["partner", "dependents", "svc_online_urgent", "svc_streaming_low", "svc_device_final",
+          "svc_tech_pending", "contract", "payment"]
+_W_LEVELS = {"partner": ["Yes"], "dependents": ["Yes"], "svc_online_urgent": ["Yes"],
+             "svc_streaming_low": ["Yes"], "svc_device_final": ["Yes"], "svc_tech_pending": ["Yes"],
+             "contract": ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+             "payment": ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]}
+
+
+def _imp_cap_ctes():
+    mode = ("(SELECT contract FROM c360_dirty WHERE contract IS NOT NULL GROUP BY contract "
+            "ORDER BY count(*) DESC, contract LIMIT 1)")
+    imp = ("imp AS (SELECT customer_id, CAST(senior AS DOUBLE) AS senior, "
+           "coalesce(CAST(tenure AS DOUBLE), (SELECT quantile_cont(CAST(tenure AS DOUBLE), 0.5) FROM c360_dirty)) AS tenure, "
+           "coalesce(monthly_charges, (SELECT quantile_cont(monthly_charges, 0.5) FROM c360_dirty)) AS monthly_charges, "
+           + ", ".join(c if c != "contract" else f"coalesce(contract, {mode}) AS contract" for c in _W_CAT)
+           + ", churn FROM c360_dirty)")
+    qs = "qs AS (SELECT " + ", ".join(f"quantile_cont({c}, [0.25, 0.75]) AS q_{c}" for c in _W_NUM) + " FROM imp)"
+    cap = ("cap AS (SELECT customer_id, " + ", ".join(
+        f"least(greatest({c}, q_{c}[1] - 1.5 * (q_{c}[2] - q_{c}[1])), q_{c}[2] + 1.5 * (q_{c}[2] - q_{c}[1])) AS {c}"
+        for c in _W_NUM) + ", " + ", ".join(_W_CAT) + ", churn FROM imp CROSS JOIN qs)")
+    return [imp, qs, cap]
+
+
+def _w4_sql():
+    dummies = [(f"{c}_{v}", f"CAST(coalesce({c} = '{v}', false) AS INTEGER)") for c, vs in _W_LEVELS.items() for v in vs]
+    enc = ("enc AS (SELECT customer_id, " + ", ".join(_W_NUM) + ", "
+           + ", ".join(f'{e} AS "{n}"' for n, e in dummies) + ", churn FROM cap)")
+    cols = _W_NUM + [n for n, _ in dummies]
+    st = "st AS (SELECT " + ", ".join(
+        f'avg("{c}") AS "m_{c}", CASE WHEN stddev_pop("{c}") > 0 THEN stddev_pop("{c}") ELSE 1 END AS "s_{c}"'
+        for c in cols) + " FROM enc)"
+    sel = ("SELECT customer_id, " + ", ".join(f'round(("{c}" - "m_{c}") / "s_{c}", 6) AS "{c}"' for c in cols)
+           + ", churn FROM enc CROSS JOIN st")
+    return with_c360(sel, extra_ctes=",\n".join(_imp_cap_ctes() + [enc, st]))
+
+
+def _w5_sql():
+    rs = "rs AS (SELECT " + ", ".join(
+        f"quantile_cont({c}, 0.5) AS med_{c}, CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) <> 0 "
+        f"THEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) ELSE 1 END AS iqr_{c}" for c in _W_NUM) + " FROM cap)"
+    sc = ("sc AS (SELECT customer_id, " + ", ".join(f"({c} - med_{c}) / iqr_{c} AS {c}" for c in _W_NUM)
+          + ", " + ", ".join(_W_CAT) + ", churn FROM cap CROSS JOIN rs)")
+    import itertools
+    poly = []
+    for a, b in itertools.combinations_with_replacement(_W_NUM, 2):
+        name = f"{a}^2" if a == b else f"{a} {b}"
+        poly.append(f'round({a} * {b}, 6) + 0.0 AS "{name}"')
+    sel = ("SELECT customer_id, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in _W_NUM) + ", "
+           + ", ".join(_W_CAT) + ", churn, " + ", ".join(poly) + " FROM sc")
+    return with_c360(sel, extra_ctes=",\n".join(_imp_cap_ctes() + [rs, sc]))
+
+
+from featureforge.plans.registry import REGISTRY as _REG  # noqa: E402
+_REG["w4_basic_preprocess"].sql = _w4_sql()
+_REG["w5_advanced_preprocess"].sql = _w5_sql()
