@@ -95,10 +95,13 @@ def score_histogram(pred: DataFrame, keys: Sequence[str] = (), label: str = "lab
             F.count(F.lit(1)).alias("cnt"))
     h = build(F.col(prob).cast("double"))
     if max_distinct is not None:
-        widest = h.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 0
+        st = h.groupBy(*keys).agg(F.count(F.lit(1)).alias("d"), F.max("cnt").alias("g")) \
+              .agg(F.max("d"), F.max("g")).first()
+        widest, biggest = st[0] or 0, st[1] or 0
         if widest > max_distinct:
             h = build(F.round(F.col(prob).cast("double"), quantize))
             h._ff_quantize = quantize          # read by cumulative_gains
+        h._ff_max_group = biggest              # largest tie group (read by cumulative_gains)
     return h
 
 
@@ -157,36 +160,53 @@ def calibration_by_decile(hist: DataFrame, keys: Sequence[str] = ()) -> DataFram
 def cumulative_gains(pred: DataFrame, hist: DataFrame, keys: Sequence[str] = (), id_col: str = "id",
                      label: str = "label", prob: str = "p1", deciles: int = 10) -> DataFrame:
     """Rows ordered by (score desc, id asc); size = n div 10; gain_i =
-    positives among the first i * size rows / all positives."""
-    c = _cum(hist, keys, ascending=False).select(
-        *keys, "score", "pos", "cnt", "P", "total",
-        (F.col("ccnt") - F.col("cnt")).alias("cnt_before"),
-        (F.col("cpos") - F.col("pos")).alias("pos_before"), F.col("ccnt").alias("cnt_incl"))
-    tot = hist.groupBy(*keys).agg(F.sum("cnt").alias("total"), F.sum("pos").alias("P"))
-    cuts = tot.select(*keys, "P", F.explode(F.sequence(F.lit(1), F.lit(deciles))).alias("decile"),
-                      "total").withColumn("m", F.col("decile") * F.floor(F.col("total") / deciles))
-    on = [*keys]
-    b = (cuts.join(c.drop("P", "total"), on)
-         .where((F.col("cnt_before") < F.col("m")) & (F.col("m") <= F.col("cnt_incl")))
-         .select(*keys, "decile", "score", "P", (F.col("m") - F.col("cnt_before")).alias("need"),
-                 "pos_before", "cnt"))
-    # rows of the boundary score groups only, ranked by id inside their group
-    bscores = b.select(*keys, "score").distinct()          # <= deciles rows per key
+    positives among the first i * size rows / all positives.  Each histogram
+    row generates exactly the deciles whose cut m = i * size falls inside it
+    (explode of a sequence, <= ``deciles`` rows per key in total); only the
+    rows of those boundary score groups are ranked by id."""
+    keys = list(keys)
+    c = _cum(hist, keys, ascending=False)
+    size = F.floor(F.col("total") / deciles)
+    before = F.col("ccnt") - F.col("cnt")
+    lo = F.floor(before / size) + 1
+    hi = F.least(F.floor(F.col("ccnt") / size), F.lit(deciles))
+    b = (c.where(size > 0).withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
+         .select(*keys, "score", "P", (F.col("cpos") - F.col("pos")).alias("pos_before"),
+                 before.alias("cnt_before"), size.alias("size"),
+                 F.explode(F.sequence(F.col("_lo").cast("int"), F.col("_hi").cast("int"))).alias("decile"))
+         .withColumn("need", F.col("decile") * F.col("size") - F.col("cnt_before")))
+    # rows of the boundary score groups only (<= deciles per key), ranked by id in their group
+    bscores = b.select(*keys, "score").distinct()
     rows = pred.select(*keys, F.col(prob).cast("double").alias("score"), F.col(id_col).alias("_id"),
                        _y(label).alias("_y"))
     q = getattr(hist, "_ff_quantize", None)
     if q is not None:
         rows = rows.withColumn("score", F.round("score", q))
-    rows = rows.join(F.broadcast(bscores), [*keys, "score"])
-    w = Window.partitionBy(*keys, "score").orderBy("_id")
-    ranked = rows.withColumn("_r", F.row_number().over(w))
-    partial = (b.join(ranked, [*keys, "score"]).where(F.col("_r") <= F.col("need"))
-               .groupBy(*keys, "decile").agg(F.sum("_y").alias("part")))
+    from featureforge.functions.rank import MAX_WINDOW_ROWS, sum_first_k
+    if (getattr(hist, "_ff_max_group", 0) or 0) > MAX_WINDOW_ROWS:
+        # a huge tie group: exact first-k sums by bucketed narrowing, no big window
+        parts = []
+        for r in b.collect():                                   # <= deciles rows per key
+            cond = F.col("score") == F.lit(r["score"])
+            for k_ in keys:
+                cond = cond & (F.col(k_) == F.lit(r[k_]))
+            parts.append((*[r[k_] for k_ in keys], int(r["decile"]),
+                          sum_first_k(rows.where(cond), "_id", "_y", int(r["need"]))))
+        schema = ", ".join([f"`{k_}` {dict(pred.dtypes)[k_]}" for k_ in keys] + ["decile int", "part double"])
+        partial = pred.sparkSession.createDataFrame(parts, schema)
+    else:
+        rows = rows.join(F.broadcast(bscores), [*keys, "score"])
+        w = Window.partitionBy(*keys, "score").orderBy("_id")
+        ranked = rows.withColumn("_r", F.row_number().over(w))
+        partial = (b.join(ranked, [*keys, "score"]).where(F.col("_r") <= F.col("need"))
+                   .groupBy(*keys, "decile").agg(F.sum("_y").alias("part")))
+    tot = hist.groupBy(*keys).agg(F.sum("pos").alias("P_all")) if keys else hist.agg(F.sum("pos").alias("P_all"))
+    cuts = tot.select(*keys, "P_all", F.explode(F.sequence(F.lit(1), F.lit(deciles))).alias("decile"))
     g = (cuts.join(b.select(*keys, "decile", "pos_before"), [*keys, "decile"], "left")
          .join(partial, [*keys, "decile"], "left"))
     hits = F.coalesce(F.col("pos_before"), F.lit(0)) + F.coalesce(F.col("part"), F.lit(0))
     return g.select(*keys, F.col("decile").cast("int").alias("decile"),
-                    _div0(hits.cast("double"), F.col("P").cast("double")).alias("gain"))
+                    _div0(hits.cast("double"), F.col("P_all").cast("double")).alias("gain"))
 
 
 def lift_summary(gains: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -89,41 +89,27 @@ def random_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int =
 
 def time_split(df: DataFrame, ts_col: str, id_col: str, test_size: float = 0.2) -> DataFrame:
     """T4 (time): rows ordered by (ts, id), null times last; the last
-    round(n * test_size) rows are test.  The boundary is found with two small
-    histograms (rows per hour, then per second inside the boundary hour, both
-    on integer epoch keys); only rows of the boundary second are ranked."""
-    sec = F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / 1_000_000).cast("bigint")
-    hour = F.floor(sec / 3600).cast("bigint")
-    n = df.count()
+    round(n * test_size) rows are test.  The cut is located exactly with
+    ``locate_kth`` (bucketed count histograms, then a bounded window), first
+    on the time key, then on the id among rows sharing the boundary time, so a
+    burst of identical timestamps never sorts in one task."""
+    from featureforge.functions.rank import locate_kth
+    staged = df.withColumn("_tk", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    st = staged.agg(F.count(F.lit(1)).alias("n"), F.count("_tk").alias("nn")).first()
+    n, nn = st["n"], st["nn"]
     k_train = n - int((n * test_size) + 0.5)
     if k_train <= 0:
         return df.withColumn("split", F.lit("test"))
-    hours = df.groupBy(hour.alias("b")).count().orderBy(F.asc_nulls_last("b")).collect()
-    cum, b_hour = 0, None
-    for r in hours:
-        if r["b"] is None or cum + r["count"] >= k_train:
-            b_hour = r["b"]
-            break
-        cum += r["count"]
-    if b_hour is None:              # the boundary falls among null times: order them by id
-        w = Window.partitionBy(F.col(ts_col).isNull()).orderBy(id_col)
-        nulls = df.where(F.col(ts_col).isNull()).withColumn(
-            "split", F.when(F.row_number().over(w) <= k_train - cum, "train").otherwise("test"))
-        return df.where(F.col(ts_col).isNotNull()).withColumn("split", F.lit("train")).unionByName(nulls)
-    secs = (df.where(hour == F.lit(b_hour)).groupBy(sec.alias("b")).count().orderBy("b").collect())
-    b_sec = None
-    for r in secs:
-        if cum + r["count"] >= k_train:
-            b_sec = r["b"]
-            break
-        cum += r["count"]
-    need = k_train - cum                      # rows of the boundary second that are train
-    w = Window.partitionBy(sec).orderBy(ts_col, id_col)
-    boundary = (df.where(sec == F.lit(b_sec))
-                .withColumn("split", F.when(F.row_number().over(w) <= need, "train").otherwise("test")))
-    rest = (df.where(sec.isNull() | (sec != F.lit(b_sec)))
-            .withColumn("split", F.when(sec < F.lit(b_sec), "train").otherwise("test")))
-    return rest.unionByName(boundary)
+    tk, idc = F.col("_tk"), F.col(id_col)
+    if k_train > nn:                       # the cut falls among null times (ordered by id)
+        vid, _ = locate_kth(staged.where(tk.isNull()), id_col, k_train - nn)
+        split = F.when(tk.isNotNull() | (idc <= F.lit(vid)), "train").otherwise("test")
+    else:
+        v, less = locate_kth(staged, "_tk", k_train)
+        vid, _ = locate_kth(staged.where(tk == F.lit(v)), id_col, k_train - less)
+        split = (F.when(tk < F.lit(v), "train").when(tk > F.lit(v), "test")
+                 .when((tk == F.lit(v)) & (idc <= F.lit(vid)), "train").otherwise("test"))
+    return staged.withColumn("split", split).drop("_tk")
 
 
 def row_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:

@@ -37,3 +37,26 @@ def test_time_split_boundary(spark):
     d = spark.range(100).select("id", F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("id") / 3).cast("int")).alias("ts"))
     s = T.time_split(d, "ts", "id", 0.2).where("split = 'test'").collect()
     assert sorted(r["id"] for r in s) == list(range(80, 100))
+
+
+def test_locate_kth_and_big_tie_gains(spark):
+    from featureforge.functions.rank import locate_kth, sum_first_k
+    from featureforge.operators import evaluate as V
+    d = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"), (F.col("id") % 2).alias("v"))
+    v, less = locate_kth(d, "k", 1234, max_window_rows=100, buckets=8)
+    assert (v, less) == (1233, 1233)
+    assert sum_first_k(d, "k", "v", 10, max_window_rows=50, buckets=4) == sum(
+        r["v"] for r in d.orderBy("k").limit(10).collect())
+    # one tie group holding every row: narrowing path equals the window path
+    p = spark.range(2000).select("id", (F.col("id") % 3 == 0).cast("int").alias("label"),
+                                 F.lit(0.5).alias("p1"), F.lit(1).alias("prediction"))
+    h = V.score_histogram(p)
+    lazy = sorted(tuple(r) for r in V.cumulative_gains(p, h).collect())
+    import featureforge.functions.rank as RK
+    old = RK.MAX_WINDOW_ROWS
+    RK.MAX_WINDOW_ROWS = 100
+    try:
+        eager = sorted(tuple(r) for r in V.cumulative_gains(p, h).collect())
+    finally:
+        RK.MAX_WINDOW_ROWS = old
+    assert lazy == eager
