@@ -105,28 +105,60 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
 
 
 def interpolate_numeric(df: DataFrame, column: str, order_by: str | Sequence[str],
-                        partition_by: Sequence[str] = ()) -> DataFrame:
+                        partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Linear interpolation between the neighbouring non-null values in
     ``order_by`` order within each entity (equally spaced positions, like
     pandas' ``linear``); leading nulls stay null, trailing nulls take the
-    last value.  Running frames only (UNBOUNDED PRECEDING .. CURRENT ROW, in
-    both directions), so each window is a single streaming pass."""
-    keys = [F.col(k) for k in partition_by]
+    last value.
+
+    Hot entities are split: the rows are range-partitioned on (entity,
+    order) so one entity can span many slices; each slice computes local
+    positions and running neighbours with windows over (entity, slice); a
+    per-(entity, slice) summary (count, first / last non-null value and
+    position) gives each slice its global offset and the neighbours carried
+    over from earlier / later slices.  No task ever holds a whole entity."""
+    keys = list(partition_by)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    fwd = Window.partitionBy(*keys).orderBy(*[F.col(o).asc() for o in order])
-    pos = F.row_number().over(fwd)
-    staged = df.withColumn("_pos", pos)
-    run_f = Window.partitionBy(*keys).orderBy(F.col("_pos").asc()).rowsBetween(Window.unboundedPreceding, 0)
-    run_b = Window.partitionBy(*keys).orderBy(F.col("_pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = F.col(column)
+    sl = df.repartitionByRange(n_slices, *[F.col(k) for k in keys], *[F.col(o) for o in order]) \
+           .withColumn("_sl", F.spark_partition_id())
+    grp = [*keys, "_sl"]
+    w_pos = Window.partitionBy(*grp).orderBy(*[F.col(o).asc() for o in order])
+    staged = sl.withColumn("_lp", F.row_number().over(w_pos))
+    run_f = Window.partitionBy(*grp).orderBy(F.col("_lp").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    run_b = Window.partitionBy(*grp).orderBy(F.col("_lp").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    present_pos = F.when(x.isNotNull(), F.col("_lp"))
     staged = (staged
               .withColumn("_pv", F.last(x, True).over(run_f))
-              .withColumn("_pp", F.last(F.when(x.isNotNull(), F.col("_pos")), True).over(run_f))
+              .withColumn("_pp", F.last(present_pos, True).over(run_f))
               .withColumn("_nv", F.last(x, True).over(run_b))
-              .withColumn("_np", F.last(F.when(x.isNotNull(), F.col("_pos")), True).over(run_b)))
+              .withColumn("_np", F.last(present_pos, True).over(run_b)))
+    # one row per (entity, slice): bounded by #entities x #slices
+    summ = staged.groupBy(*grp).agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        F.min_by(x, F.when(x.isNotNull(), F.col("_lp"))).alias("_fv"),
+        F.min(present_pos).alias("_fp"),
+        F.max_by(x, F.when(x.isNotNull(), F.col("_lp"))).alias("_lv"),
+        F.max(present_pos).alias("_lpp"))
+    w_before = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
+    w_after = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(1, Window.unboundedFollowing)
+    summ = (summ.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_before), F.lit(0)))
+                .withColumn("_g_lp", F.col("_off") + F.col("_lpp"))
+                .withColumn("_g_fp", F.col("_off") + F.col("_fp"))
+                .withColumn("_cv", F.last("_lv", True).over(w_before))
+                .withColumn("_cp", F.last("_g_lp", True).over(w_before))
+                .withColumn("_dv", F.first("_fv", True).over(w_after))
+                .withColumn("_dp", F.first("_g_fp", True).over(w_after))
+                .select(*grp, "_off", "_cv", "_cp", "_dv", "_dp"))
+    j = staged.join(summ, [*grp] if grp else None)
+    pos = F.col("_off") + F.col("_lp")
+    pv = F.coalesce(F.col("_pv"), F.col("_cv"))
+    pp = F.coalesce(F.col("_off") + F.col("_pp"), F.col("_cp"))
+    nv = F.coalesce(F.col("_nv"), F.col("_dv"))
+    np_ = F.coalesce(F.col("_off") + F.col("_np"), F.col("_dp"))
     filled = (F.when(x.isNotNull(), x.cast("double"))
-              .when(F.col("_pv").isNull(), F.lit(None).cast("double"))
-              .when(F.col("_nv").isNull(), F.col("_pv").cast("double"))
-              .otherwise(F.col("_pv") + (F.col("_nv") - F.col("_pv"))
-                         * (F.col("_pos") - F.col("_pp")) / (F.col("_np") - F.col("_pp"))))
-    return staged.withColumn(column, filled).drop("_pos", "_pv", "_pp", "_nv", "_np")
+              .when(pv.isNull(), F.lit(None).cast("double"))
+              .when(nv.isNull(), pv.cast("double"))
+              .otherwise(pv + (nv - pv) * (pos - pp) / (np_ - pp)))
+    return j.withColumn(column, filled).select(*df.columns)

@@ -117,3 +117,17 @@ def test_metrics_no_positives_single_class_and_ties(spark):
     assert V.roc_auc(V.score_histogram(t)).first()["roc_auc"] == pytest.approx(0.875)   # tie counts 1/2
     ap = V.average_precision(V.score_histogram(t)).first()["precision_recall_auc"]
     assert ap == pytest.approx(0.5 * 1.0 + 0.5 * (2 / 3))
+
+
+def test_interpolation_hot_entity_split_across_slices(spark):
+    import pandas as pd
+    n = 3000
+    d = spark.range(n).select(F.lit(1).alias("user"), F.col("id").alias("t"),
+                              F.when((F.col("id") % 5 == 0) | (F.col("id") < 3) | (F.col("id") > n - 4), None)
+                              .otherwise((F.col("id") * 1.5) % 97).alias("v"))
+    out = I.interpolate_numeric(d, "v", "t", ["user"], slices=16).orderBy("t").toPandas()
+    ref = d.orderBy("t").toPandas()["v"].interpolate(method="linear", limit_direction="forward")
+    got = out["v"]
+    assert got.isna().sum() == 3                                   # leading nulls stay null
+    pd.testing.assert_series_equal(got.reset_index(drop=True), ref.reset_index(drop=True),
+                                   check_names=False, atol=1e-9)
