@@ -60,3 +60,92 @@ def sum_first_k(rows: DataFrame, key: str, value: str, k: int, **kw) -> float:
     v, _ = locate_kth(rows, key, k, **kw)
     cond = F.lit(True) if v is None else F.col(key) <= F.lit(v)
     return float(rows.where(cond).agg(F.sum(value)).first()[0] or 0.0)
+
+
+# ------------------------------------------------------------------ exact quantiles
+EXACT_MAP_MAX_ROWS = 2_000_000     # above this, never build a value->count map in one task
+FINISH_ROWS = 20_000               # a target range this small is finished on the driver
+
+
+def quantiles(df: DataFrame, exprs: dict, qs, buckets: int = BUCKETS,
+              exact_map_max_rows: int = EXACT_MAP_MAX_ROWS) -> dict:
+    """Exact linearly-interpolated quantiles (= pandas / DuckDB
+    ``quantile_cont``) of several columns or expressions.
+
+    ``exprs``: {name: Column}; returns {name: [q-values]} (None for an empty
+    column).  Small inputs: one ``percentile`` aggregate.  Large inputs: the
+    needed order statistics are located together by bucketed narrowing -- every
+    level is ONE pass over the data that counts rows per (target, bucket)
+    (<= targets x buckets result rows), and a target is finished once its
+    candidate range holds <= FINISH_ROWS values (collected, bounded).  No task
+    ever holds a per-value map of a whole column."""
+    names = list(exprs)
+    qs = [float(q) for q in qs]
+    base = df.select(*[exprs[n].cast("double").alias(f"_q{i}") for i, n in enumerate(names)])
+    st = base.agg(*[e for i in range(len(names)) for e in (
+        F.count(f"_q{i}").alias(f"n{i}"), F.min(f"_q{i}").alias(f"lo{i}"), F.max(f"_q{i}").alias(f"hi{i}"))]).first()
+    if max(st[f"n{i}"] for i in range(len(names))) <= exact_map_max_rows:
+        row = base.agg(*[F.percentile(f"_q{i}", F.array(*[F.lit(q) for q in qs])).alias(f"p{i}")
+                         for i in range(len(names))]).first()
+        return {n: (list(row[f"p{i}"]) if row[f"p{i}"] is not None else None) for i, n in enumerate(names)}
+    # order statistics needed: for q, positions floor(q (n-1)) and ceil(q (n-1)) (0-based)
+    targets = {}            # (col index, k 1-based) -> [lo, hi, k_rel, value or None]
+    for i in range(len(names)):
+        n = st[f"n{i}"]
+        if not n:
+            continue
+        for q in qs:
+            pos = q * (n - 1)
+            for k in {int(pos // 1) + 1, min(int(-(-pos // 1)) + 1, n)}:
+                targets.setdefault((i, k), [st[f"lo{i}"], st[f"hi{i}"], k, None])
+    while any(t[3] is None for t in targets.values()):
+        open_t = [(key, t) for key, t in targets.items() if t[3] is None]
+        for key, t in open_t:
+            if t[0] == t[1]:
+                t[3] = t[0]
+        open_t = [(key, t) for key, t in open_t if t[3] is None]
+        if not open_t:
+            break
+        specs = F.array(*[F.struct(F.lit(j).alias("t"), F.lit(key[0]).alias("c"), F.lit(float(t[0])).alias("lo"),
+                                   F.lit(float(t[1])).alias("hi")) for j, (key, t) in enumerate(open_t)])
+        vals = F.array(*[F.col(f"_q{i}") for i in range(len(names))])
+        hit = F.filter(specs, lambda s: (F.element_at(vals, s["c"] + 1) >= s["lo"])
+                       & (F.element_at(vals, s["c"] + 1) <= s["hi"]))
+        ex = base.select(vals.alias("_v"), F.explode(hit).alias("_s"))
+        x = F.element_at(F.col("_v"), F.col("_s.c") + 1)
+        width = (F.col("_s.hi") - F.col("_s.lo")) / buckets
+        b = F.least(F.floor((x - F.col("_s.lo")) / width), F.lit(buckets - 1)).cast("int")
+        hist = ex.groupBy(F.col("_s.t").alias("t"), b.alias("b")).agg(
+            F.count(F.lit(1)).alias("c"), F.min(x).alias("mn"), F.max(x).alias("mx")).collect()
+        by_t: dict = {}
+        for r in hist:
+            by_t.setdefault(r["t"], []).append(r)
+        finish = []
+        for j, (key, t) in enumerate(open_t):
+            cum = 0
+            for r in sorted(by_t.get(j, []), key=lambda r: r["b"]):
+                if cum + r["c"] >= t[2]:
+                    t[0], t[1], t[2] = r["mn"], r["mx"], t[2] - cum
+                    if r["c"] <= FINISH_ROWS and r["mn"] != r["mx"]:
+                        finish.append((key, t))
+                    break
+                cum += r["c"]
+        for key, t in finish:           # bounded: <= FINISH_ROWS values per target
+            c = f"_q{key[0]}"
+            vals_ = sorted(r[0] for r in base.where((F.col(c) >= t[0]) & (F.col(c) <= t[1])).select(c).collect())
+            t[3] = vals_[t[2] - 1]
+    out = {}
+    for i, nm in enumerate(names):
+        n = st[f"n{i}"]
+        if not n:
+            out[nm] = None
+            continue
+        res = []
+        for q in qs:
+            pos = q * (n - 1)
+            k1, k2 = int(pos // 1) + 1, min(int(-(-pos // 1)) + 1, n)
+            v1, v2 = targets[(i, k1)][3], targets[(i, k2)][3]
+            frac = pos - (k1 - 1)
+            res.append(v1 + (v2 - v1) * frac if k2 != k1 else v1)
+        out[nm] = res
+    return out

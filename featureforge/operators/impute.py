@@ -65,13 +65,19 @@ class Imputer(StatsEstimator):
         num = [c for c in num if c in cols]
         cat = [c for c in cat if c in cols]
         exprs = []
+        medians = {}
+        if cfg["numeric"] == "median" and num and not cfg["approx"]:
+            from featureforge.functions.rank import quantiles
+            medians = quantiles(df, {c: F.col(c) for c in num}, [0.5])
         for i, c in enumerate(num):
             x = F.col(c).cast("double")
             s = cfg["numeric"]
             if s == "mean":
                 e = F.avg(x)
             elif s == "median":
-                e = F.percentile_approx(x, 0.5, 10000) if cfg["approx"] else F.percentile(x, 0.5)
+                if not cfg["approx"]:
+                    continue
+                e = F.percentile_approx(x, 0.5, 10000)
             elif s in ("most_frequent", "mode"):
                 e = F.mode(x, True)
             else:
@@ -82,7 +88,10 @@ class Imputer(StatsEstimator):
         row = df.agg(*exprs).collect()[0] if exprs else {}
         fills, kind = {}, {}
         for i, c in enumerate(num):
-            fills[c], kind[c] = row[f"n{i}"], "numeric"
+            if c in medians:
+                fills[c], kind[c] = (medians[c][0] if medians[c] else None), "numeric"
+            else:
+                fills[c], kind[c] = row[f"n{i}"], "numeric"
         for i, c in enumerate(cat):
             fills[c] = row[f"c{i}"] if cfg["categorical"] == "mode" else UNKNOWN
             kind[c] = "categorical"

@@ -66,12 +66,16 @@ class OutlierCapper(StatsEstimator):
         if not cols:
             return {"bounds": {}, "audit": []}
         exprs = []
+        exact_q = {}
+        if cfg["method"] == "iqr" and not cfg["approx"]:
+            from featureforge.functions.rank import quantiles
+            exact_q = quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.75])
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
             if cfg["method"] == "iqr":
-                qs = F.array(F.lit(0.25), F.lit(0.75))
-                exprs.append((F.percentile_approx(x, qs, 10000) if cfg["approx"]
-                              else F.percentile(x, qs)).alias(f"q{i}"))
+                if cfg["approx"]:
+                    qs = F.array(F.lit(0.25), F.lit(0.75))
+                    exprs.append(F.percentile_approx(x, qs, 10000).alias(f"q{i}"))
             else:
                 exprs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"sp{i}"),
                           F.stddev_samp(x).alias(f"ss{i}")]
@@ -81,7 +85,7 @@ class OutlierCapper(StatsEstimator):
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
             if cfg["method"] == "iqr":
-                q = row[f"q{i}"]
+                q = exact_q.get(c) if exact_q else row[f"q{i}"]
                 if q is None:
                     continue
                 iqr = q[1] - q[0]

@@ -309,61 +309,51 @@ def high_correlations(corr: DataFrame, threshold: float = HIGH_CORRELATION) -> D
 
 
 # ------------------------------------------------------------------ Q15
-def _outlier_rows(df: DataFrame, cols: Sequence[str], k: float) -> DataFrame:
-    x = {c: F.col(c).cast("double") for c in cols}
-    s1 = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.percentile(x[c], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_q{i}"),
-        F.avg(x[c]).alias(f"_mu{i}"), F.stddev_pop(x[c]).alias(f"_sd{i}"),
-        F.count(x[c]).alias(f"_n{i}"))])
-    j1 = attach(df.select(*[x[c].alias(f"_x{i}") for i, c in enumerate(cols)]), s1)
-    med = lambda i: F.col(f"_q{i}")[1]
-    s2_exprs = []
-    for i, _ in enumerate(cols):
-        xi = F.col(f"_x{i}")
-        q1, q3 = F.col(f"_q{i}")[0], F.col(f"_q{i}")[2]
-        lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
-        z = F.abs(xi - F.col(f"_mu{i}")) / F.col(f"_sd{i}")
-        s2_exprs += [
-            F.first(F.col(f"_q{i}")).alias(f"_q{i}"), F.first(F.col(f"_n{i}")).alias(f"_n{i}"),
-            F.count_if(xi.isNotNull() & ((xi < lo) | (xi > hi))).alias(f"_iqr{i}"),
-            F.count_if(xi.isNotNull() & (F.col(f"_sd{i}") > 0) & (z > Z_LIMIT)).alias(f"_z{i}"),
-            F.percentile(F.abs(xi - med(i)), F.lit(0.5)).alias(f"_mad{i}"),
-        ]
-    s2 = j1.agg(*s2_exprs)
-    j2 = attach(j1.select(*[f"_x{i}" for i in range(len(cols))]), s2)
-    s3_exprs = []
-    for i, _ in enumerate(cols):
-        xi = F.col(f"_x{i}")
-        mad = F.col(f"_mad{i}")
-        modz = F.when(mad == 0, xi != med(i)).otherwise(
-            F.abs(F.lit(MOD_Z_FACTOR) * (xi - med(i)) / mad) > MOD_Z_LIMIT)
-        s3_exprs += [F.first(F.col(c)).alias(c) for c in (f"_q{i}", f"_n{i}", f"_iqr{i}", f"_z{i}", f"_mad{i}")]
-        s3_exprs.append(F.count_if(xi.isNotNull() & modz).alias(f"_mz{i}"))
-    return j2.agg(*s3_exprs)
-
-
 def outlier_report(df: DataFrame, roles: Roles | None = None, cols: Sequence[str] | None = None,
                    k: float = IQR_K) -> DataFrame:
     """Q15: per numeric column (id excluded), on non-null values: IQR rule
     (strict), z > 3 with population sd, modified z > 3.5 with the MAD
-    (MAD = 0: any value off the median is an outlier).  Three aggregate
-    passes (quartiles/moments -> IQR, z counts and MAD -> modified z)."""
+    (MAD = 0: any value off the median is an outlier).  Quartiles, medians
+    and MADs are exact (``rank.quantiles``: no per-value map in one task on
+    large inputs); moments and the three counts are one aggregate each."""
+    from featureforge.functions.rank import quantiles
     exclude = [roles.id] if roles else []
     cols = list(cols) if cols is not None else numeric_cols(df, exclude)
-    agg = _outlier_rows(df, cols, k)
-    structs = []
+    x = {c: F.col(c).cast("double") for c in cols}
+    q = quantiles(df, dict(x), [0.25, 0.5, 0.75])
+    mom = df.agg(*[e for i, c in enumerate(cols) for e in (
+        F.avg(x[c]).alias(f"mu{i}"), F.stddev_pop(x[c]).alias(f"sd{i}"), F.count(x[c]).alias(f"n{i}"))]).first()
+    have = [c for c in cols if q[c] is not None]
+    mad = quantiles(df, {c: F.abs(x[c] - F.lit(q[c][1])) for c in have}, [0.5]) if have else {}
+    counts = []
     for i, c in enumerate(cols):
-        n = F.col(f"_n{i}")
-        q1, q3 = F.col(f"_q{i}")[0], F.col(f"_q{i}")[2]
-        pct = lambda e: safe_div(e * 100.0, n)
-        structs.append(F.struct(
-            F.lit(c).alias("column"), n.alias("n"),
-            (q1 - (q3 - q1) * k).alias("iqr_lower"), (q3 + (q3 - q1) * k).alias("iqr_upper"),
-            F.col(f"_iqr{i}").alias("iqr_outliers"), pct(F.col(f"_iqr{i}")).alias("iqr_pct"),
-            F.col(f"_z{i}").alias("zscore_outliers"), pct(F.col(f"_z{i}")).alias("zscore_pct"),
-            F.col(f"_mz{i}").alias("modified_zscore_outliers"),
-            pct(F.col(f"_mz{i}")).alias("modified_zscore_pct")))
-    return _rows(agg, structs)
+        if q[c] is None:
+            continue
+        q1, med, q3 = q[c]
+        lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
+        mu, sd, m = mom[f"mu{i}"], mom[f"sd{i}"], mad[c][0]
+        xi = x[c]
+        z = F.abs(xi - F.lit(mu)) / F.lit(sd) > Z_LIMIT if sd else F.lit(False)
+        modz = (xi != F.lit(med)) if m == 0 else (F.abs(F.lit(MOD_Z_FACTOR) * (xi - F.lit(med)) / F.lit(m)) > MOD_Z_LIMIT)
+        counts += [F.count_if(xi.isNotNull() & ((xi < lo) | (xi > hi))).alias(f"iqr{i}"),
+                   F.count_if(xi.isNotNull() & z).alias(f"z{i}"),
+                   F.count_if(xi.isNotNull() & modz).alias(f"mz{i}")]
+    cnt = df.agg(*counts).first() if counts else None
+    rows = []
+    for i, c in enumerate(cols):
+        n = mom[f"n{i}"]
+        if q[c] is None:
+            rows.append((c, n, None, None, 0, None, 0, None, 0, None))
+            continue
+        q1, _, q3 = q[c]
+        pct = (lambda v: v * 100.0 / n if n else None)
+        rows.append((c, n, q1 - (q3 - q1) * k, q3 + (q3 - q1) * k,
+                     cnt[f"iqr{i}"], pct(cnt[f"iqr{i}"]), cnt[f"z{i}"], pct(cnt[f"z{i}"]),
+                     cnt[f"mz{i}"], pct(cnt[f"mz{i}"])))
+    return df.sparkSession.createDataFrame(rows, "column string, n bigint, iqr_lower double, iqr_upper double, "
+                                                 "iqr_outliers bigint, iqr_pct double, zscore_outliers bigint, "
+                                                 "zscore_pct double, modified_zscore_outliers bigint, "
+                                                 "modified_zscore_pct double")
 
 
 # ------------------------------------------------------------------ Q16-Q18
@@ -385,23 +375,31 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
-def box_stats(df: DataFrame, column: str, by: str, k: float = IQR_K) -> DataFrame:
+def box_stats(df: DataFrame, column: str, by: str, k: float = IQR_K, max_groups: int = 100) -> DataFrame:
     """Q17: per class quartiles, IQR and whiskers (most extreme values inside
-    Q1 - k IQR / Q3 + k IQR).  Per-class stats are one row per class."""
+    Q1 - k IQR / Q3 + k IQR).  Classes are few (guarded by ``max_groups``);
+    each class's quartiles are exact (``rank.quantiles``), the whiskers are one
+    grouped aggregate with the bounds as a small broadcast table."""
+    from featureforge.functions.rank import quantiles
     x = F.col(column).cast("double")
     base = df.select(F.col(by).alias("group"), x.alias("_x")).where(F.col("_x").isNotNull())
-    q = base.groupBy("group").agg(
-        F.percentile("_x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(F.lit(1)).alias("n"))
-    j = base.join(F.broadcast(q), base["group"].eqNullSafe(q["group"])).drop(q["group"])
-    lo = F.col("_q")[0] - (F.col("_q")[2] - F.col("_q")[0]) * k
-    hi = F.col("_q")[2] + (F.col("_q")[2] - F.col("_q")[0]) * k
+    groups = [r[0] for r in base.select("group").distinct().limit(max_groups + 1).collect()]
+    if len(groups) > max_groups:
+        raise ValueError(f"{by} has more than {max_groups} classes")
+    rows = []
+    for g in groups:
+        part = base.where(F.col("group").eqNullSafe(F.lit(g)))
+        q = quantiles(part, {"x": F.col("_x")}, [0.25, 0.5, 0.75])["x"]
+        rows.append((g, q[0], q[1], q[2], q[0] - (q[2] - q[0]) * k, q[2] + (q[2] - q[0]) * k))
+    gtype = dict(base.dtypes)["group"]
+    qt = df.sparkSession.createDataFrame(rows, f"group {gtype}, q1 double, median double, q3 double, "
+                                               "lo double, hi double")
+    j = base.join(F.broadcast(qt), base["group"].eqNullSafe(qt["group"])).drop(qt["group"])
     return j.groupBy("group").agg(
-        F.first("n").alias("n"),
-        F.first(F.col("_q")[0]).alias("q1"), F.first(F.col("_q")[1]).alias("median"),
-        F.first(F.col("_q")[2]).alias("q3"),
-        F.min(F.when(F.col("_x") >= lo, F.col("_x"))).alias("whisker_low"),
-        F.max(F.when(F.col("_x") <= hi, F.col("_x"))).alias("whisker_high"))
+        F.count(F.lit(1)).alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
+        F.first("q3").alias("q3"),
+        F.min(F.when(F.col("_x") >= F.col("lo"), F.col("_x"))).alias("whisker_low"),
+        F.max(F.when(F.col("_x") <= F.col("hi"), F.col("_x"))).alias("whisker_high"))
 
 
 def dtype_distribution(before: DataFrame, after: DataFrame) -> DataFrame:

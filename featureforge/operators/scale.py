@@ -90,6 +90,10 @@ class Scaler(StatsEstimator):
         if method == "none" or not cols:
             return {"method": method, "params": {}, "binary": []}
         exprs = []
+        exact_q = {}
+        if method == "robust" and not cfg["approx"]:
+            from featureforge.functions.rank import quantiles
+            exact_q = quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.5, 0.75])
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
             if cfg["skip_binary"]:
@@ -100,14 +104,14 @@ class Scaler(StatsEstimator):
             elif method == "minmax":
                 exprs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
             elif method == "robust":
-                qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-                exprs.append((F.percentile_approx(x, qs, 10000) if cfg["approx"]
-                              else F.percentile(x, qs)).alias(f"q{i}"))
+                if cfg["approx"]:
+                    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+                    exprs.append(F.percentile_approx(x, qs, 10000).alias(f"q{i}"))
             else:
                 k = cfg["n_quantiles"]
                 qs = F.array(*[F.lit(j / (k - 1)) for j in range(k)])
                 exprs.append(F.percentile_approx(x, qs, 10000).alias(f"q{i}"))
-        row = df.agg(*exprs).collect()[0]
+        row = df.agg(*exprs).collect()[0] if exprs else {}
         params, binary = {}, []
         for i, c in enumerate(cols):
             if cfg["skip_binary"] and row[f"d{i}"] == 2 and row[f"lo{i}"] == 0 and row[f"hi{i}"] == 1:
@@ -124,7 +128,7 @@ class Scaler(StatsEstimator):
                     continue
                 params[c] = {"center": mn, "scale": (mx - mn) if mx != mn else 1.0}
             elif method == "robust":
-                q = row[f"q{i}"]
+                q = exact_q.get(c) if exact_q else row[f"q{i}"]
                 if q is None:
                     continue
                 iqr = q[2] - q[0]

@@ -106,11 +106,10 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str, bins: int = 10)
     """L5 (re-aimed): plug-in mutual information (nats) between the label and
     the feature discretised at its exact equi-depth cut points; one
     percentile aggregate for the edges, one (feature, bin, class) count."""
+    from featureforge.functions.rank import quantiles
     qs = [i / bins for i in range(1, bins)]
-    edges = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs])).alias(c)
-                     for c in cols])
-    e_long = edges.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("edges"))
-                                             for c in cols])))
+    edges = quantiles(df, {c: F.col(c) for c in cols}, qs)          # exact, bounded memory
+    e_long = df.sparkSession.createDataFrame([(c, edges[c]) for c in cols], "feature string, edges array<double>")
     long = _long(df, cols, label).where(F.col("x").isNotNull() & F.col("_y").isNotNull())
     j = long.join(F.broadcast(e_long), "feature")      # one row per feature: bounded
     b = F.aggregate("edges", F.lit(0), lambda acc, e: acc + F.when(F.col("x") > e, 1).otherwise(0))

@@ -62,9 +62,10 @@ def psi(baseline: DataFrame, current: DataFrame, score: str = "p1", bins: int =
         limit: float = DRIFT_LIMIT) -> DataFrame:
     """D3: PSI = sum over bins of (a - b) ln(a / b), shares floored at 1e-6,
     bins = the baseline's exact score deciles (right-closed, open ends)."""
+    from featureforge.functions.rank import quantiles
     qs = [i / bins for i in range(1, bins)]
-    edges = baseline.agg(F.percentile(F.col(score).cast("double"),
-                                      F.array(*[F.lit(q) for q in qs])).alias("e"))
+    e = quantiles(baseline, {"e": F.col(score)}, qs)["e"]       # exact, bounded memory
+    edges = baseline.sparkSession.createDataFrame([(e,)], "e array<double>")
 
     def binned(df, tag):
         j = df.select(F.col(score).cast("double").alias("_s")).where(F.col("_s").isNotNull()) \

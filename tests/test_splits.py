@@ -1,6 +1,7 @@
 """Property tests for splits: disjoint, complete, stratified, reproducible,
 independent of the input partitioning."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from featureforge.operators import split as T
@@ -60,3 +61,15 @@ def test_locate_kth_and_big_tie_gains(spark):
     finally:
         RK.MAX_WINDOW_ROWS = old
     assert lazy == eager
+
+
+def test_exact_quantiles_by_narrowing_match_percentile(spark):
+    from featureforge.functions.rank import quantiles
+    d = spark.range(20000).select(((F.col("id") * 7919) % 10007 / 3.0).alias("a"),
+                                  F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 13).alias("b"))
+    qs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    exprs = {"a": F.col("a"), "b": F.col("b"), "d": F.abs(F.col("a") - 100)}
+    small = quantiles(d, exprs, qs)                              # one percentile aggregate
+    big = quantiles(d, exprs, qs, buckets=16, exact_map_max_rows=10)   # forced narrowing
+    for k in exprs:
+        assert big[k] == pytest.approx(small[k], abs=1e-9)
