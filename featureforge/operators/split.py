@@ -94,7 +94,11 @@ def time_split(df: DataFrame, ts_col: str, id_col: str, test_size: float = 0.2)
     on the time key, then on the id among rows sharing the boundary time, so a
     burst of identical timestamps never sorts in one task."""
     from featureforge.functions.rank import locate_kth
-    staged = df.withColumn("_tk", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    if dict(df.dtypes)[ts_col] == "timestamp_ntz":     # wall-clock time: no session time zone involved
+        key = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts_col}`)")
+    else:
+        key = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    staged = df.withColumn("_tk", key)
     st = staged.agg(F.count(F.lit(1)).alias("n"), F.count("_tk").alias("nn")).first()
     n, nn = st["n"], st["nn"]
     k_train = n - int((n * test_size) + 0.5)
