@@ -167,3 +167,43 @@ def _w5_sql():
 from featureforge.plans.registry import REGISTRY as _REG  # noqa: E402
 _REG["w4_basic_preprocess"].sql = _w4_sql()
 _REG["w5_advanced_preprocess"].sql = _w5_sql()
+
+
+@register("s6_save_analysis", sql=None)
+def q_s6(spark, sf):
+    """The exploration reports written as JSON lines (one folder per
+    report) and the missing-value report read back."""
+    from featureforge.plans.explore import explore
+    rep = explore(customer_360_dirty(spark, sf), R)
+    base = scratch_path(spark, f"analysis_{uuid.uuid4().hex}")
+    S.save_analysis({k: rep[k] for k in ("missing_values", "missing_summary", "class_balance")}, base)
+    back = spark.read.schema("column string, missing_count bigint, missing_pct double").json(
+        base + "/missing_values")
+    return back
+
+
+@register("s7_save_models", digits=None)
+def q_s7(spark, sf):
+    """Two fitted models + their metrics table persisted, the results
+    table read back."""
+    from featureforge.ml import models as M
+    from featureforge.plans.catalog.models import _split
+    train, test = _split(spark, sf)
+    fitted, status = M.train_baselines(train, test, FEATURES, ("naive_bayes", "decision_tree"), parallelism=1)
+    base = scratch_path(spark, f"models_{uuid.uuid4().hex}")
+    S.save_models(fitted, status, base, best="decision_tree")
+    return spark.read.parquet(base + "/results")
+
+
+@register("v21_cross_validate", digits=None)
+def q_v21(spark, sf):
+    """3-fold AUC / precision / recall / F1 per model, mean and population sd."""
+    from featureforge.ml import models as M
+    from featureforge.plans.catalog.models import _split
+    train, _ = _split(spark, sf)
+    return M.cross_validate(train, FEATURES, ("naive_bayes", "decision_tree"), "fold", 3)
+
+from featureforge.plans.catalog.profile import C360_COLS as _C360_COLS, _nulls_sql  # noqa: E402
+_REG["s6_save_analysis"].sql = with_c360(
+    "SELECT \"column\", missing_count, round(missing_count * 100.0e0 / total_rows, 6) AS missing_pct FROM "
+    + _nulls_sql("c360_dirty", _C360_COLS) + " WHERE missing_count > 0")
