@@ -207,3 +207,48 @@ from featureforge.plans.catalog.profile import C360_COLS as _C360_COLS, _nulls_s
 _REG["s6_save_analysis"].sql = with_c360(
     "SELECT \"column\", missing_count, round(missing_count * 100.0e0 / total_rows, 6) AS missing_pct FROM "
     + _nulls_sql("c360_dirty", _C360_COLS) + " WHERE missing_count > 0")
+
+
+def _w1_sql():
+    from featureforge.plans.catalog.profile import _NULL_COUNTS, _ANY_NULL, _COLS_WITH_NULL
+    nums = ["senior", "tenure", "monthly_charges"]
+    pairs = [(a, b) for i, a in enumerate(nums) for b in nums[i + 1:]]
+    corr = {f"{a}|{b}": f"CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN abs(corr({a}, {b})) END"
+            for a, b in pairs}
+    diag = {c: f"CASE WHEN stddev_pop({c}) > 0 THEN 1.0e0 END" for c in nums}
+
+    def cell(a, b):
+        if a == b:
+            return diag[a]
+        return corr.get(f"{a}|{b}") or corr[f"{b}|{a}"]
+    per_col_mean = [f"(SELECT avg(v) FROM (VALUES {', '.join('(' + cell(c, o) + ')' for o in nums)}) t(v))"
+                    for c in nums]
+    per_col_max = [f"greatest({', '.join(cell(c, o) for o in nums)})" for c in nums]
+    metrics = [
+        ("missing_summary", "total_missing_cells", f"({_NULL_COUNTS})"),
+        ("missing_summary", "pct_missing_cells", f"({_NULL_COUNTS}) * 100.0e0 / (count(*) * 14)"),
+        ("duplicates", "duplicate_count", "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM c360_dirty))"),
+        ("duplicates", "duplicate_pct",
+         "(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM c360_dirty))) * 100.0e0 / count(*)"),
+        ("completeness", "overall_completeness", f"(count(*) * 14 - ({_NULL_COUNTS})) * 100.0e0 / (count(*) * 14)"),
+        ("completeness", "columns_with_missing_data", _COLS_WITH_NULL),
+        ("completeness", "records_with_missing_data", f"count(*) FILTER (WHERE {_ANY_NULL})"),
+        ("class_balance", "total_samples", "count(*)"),
+        ("class_balance", "missing_count", "count(*) FILTER (WHERE churn IS NULL)"),
+        ("class_balance", "missing_pct", "count(*) FILTER (WHERE churn IS NULL) * 100.0e0 / count(*)"),
+        ("class_balance", "n_classes", "count(DISTINCT churn)"),
+        ("class_balance", "minority_class_count", "least(count(*) FILTER (WHERE churn = 'Yes'), count(*) FILTER (WHERE churn = 'No'))"),
+        ("class_balance", "majority_class_count", "greatest(count(*) FILTER (WHERE churn = 'Yes'), count(*) FILTER (WHERE churn = 'No'))"),
+        ("class_balance", "imbalance_ratio", "greatest(count(*) FILTER (WHERE churn = 'Yes'), count(*) FILTER (WHERE churn = 'No')) * 1.0e0 / least(count(*) FILTER (WHERE churn = 'Yes'), count(*) FILTER (WHERE churn = 'No'))"),
+        ("class_balance", "is_imbalanced", "CAST(greatest(count(*) FILTER (WHERE churn = 'Yes'), count(*) FILTER (WHERE churn = 'No')) * 1.0e0 / least(count(*) FILTER (WHERE churn = 'Yes'), count(*) FILTER (WHERE churn = 'No')) > 1.5 AS INTEGER)"),
+        ("correlation_summary", "max_correlation", f"greatest({', '.join(per_col_max)})"),
+        ("correlation_summary", "mean_correlation", f"({' + '.join(per_col_mean)}) / 3"),
+        ("revenue_at_risk", "revenue_at_risk", "coalesce(sum(monthly_charges) FILTER (WHERE churn = 'Yes'), 0)"),
+        ("revenue_at_risk", "n_positive", "count(*) FILTER (WHERE churn = 'Yes')"),
+    ]
+    parts = [f"SELECT '{s}' AS section, '{m}' AS metric, round(CAST({e} AS DOUBLE), 6) + 0.0 AS value FROM c360_dirty"
+             for s, m, e in metrics]
+    return with_c360("\nUNION ALL\n".join(parts))
+
+
+_REG["w1_explore_overview"].sql = _w1_sql()
