@@ -19,7 +19,14 @@ MODELS = ("logistic_baseline", "random_forest_optimized", "voting_ensemble")
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """(model, id, label, prediction, p1, monthly) for the three score rules."""
+    """(model, id, label, prediction, p1, monthly) for the three score rules
+    (a derived table shared by the evaluation reports of a session)."""
+    import os
+    from featureforge.sources.tables import shared
+    return shared(spark, ("scored", os.path.abspath(sf)), lambda: _scored(spark, sf))
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
     c = customer_360(spark, sf)
     st = c.agg(F.avg("monthly_charges").alias("mm"), F.stddev_pop("monthly_charges").alias("ms"),
                F.avg("tenure").alias("tm"), F.stddev_pop("tenure").alias("ts"))
