@@ -8,7 +8,7 @@ partition, so the rank is assembled in two parts:
 * the hash's first ``bucket_chars`` hex digits split each stratum into up to
   16**bucket_chars buckets; the per-(stratum, bucket) counts are a small table
   (bounded by #strata x 16**bucket_chars) whose running sum gives each
-  bucket's offset (broadcast back: proven size bound);
+  bucket's offset (joined back; AQE broadcasts it when it is small);
 * ``row_number()`` runs inside (stratum, bucket) groups, ~n / 65 536 rows each.
 
 rank = offset + row_number gives exactly the single-window result.
@@ -21,7 +21,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_STRATA = 10_000
 
 
 def hash_key(id_col: str, seed: int):
@@ -41,8 +40,10 @@ def stratified_rank(df: DataFrame, id_col: str, strata: Sequence[str] = (), seed
     w_run = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_off", F.coalesce(F.sum("_c").over(w_run), F.lit(0)))
                .withColumn("_n", F.sum("_c").over(Window.partitionBy("_s"))).drop("_c"))
-    # offsets has at most (#strata x 16**bucket_chars) rows: a proven bound
-    joined = staged.join(F.broadcast(offsets), ["_s", "_b"])
+    # offsets has at most (#strata x 16**bucket_chars) rows; #strata is not
+    # bounded in general, so no hint: AQE broadcasts it at runtime when the
+    # measured size of that stage is under the broadcast threshold
+    joined = staged.join(offsets, ["_s", "_b"])
     w_in = Window.partitionBy("_s", "_b").orderBy("_h", id_col)
     return (joined.withColumn("_rank", F.col("_off") + F.row_number().over(w_in))
             .drop("_s", "_h", "_b", "_off"))
