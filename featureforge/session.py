@@ -58,7 +58,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unset value is an error: a machine-local folder would not survive the loss
     of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return conf_dir
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current

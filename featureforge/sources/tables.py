@@ -44,7 +44,11 @@ def shared(spark: SparkSession, key: tuple, build) -> DataFrame:
     lineage).  ``FEATUREFORGE_CACHE=0`` disables it."""
     if os.environ.get("FEATUREFORGE_CACHE", "1") == "0":
         return build()
-    k = (spark._jsparkSession.hashCode(), key)
+    try:
+        sid = spark._jsparkSession.hashCode()
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session)
+        sid = id(spark)
+    k = (sid, key)
     hit = _MEMO.get(k)
     if hit is None:
         from pyspark import StorageLevel
