@@ -1,6 +1,8 @@
 """Categorical encoding (E1-E4) with cardinality guards.
 
-The fit is one long-format value count (unpivot -> partial aggregate per
+A HyperLogLog aggregate first rules out columns that are certainly far above
+the category limit (no value shuffle for id-like columns); the remaining
+columns get one long-format value count (unpivot -> partial aggregate per
 (column, value)); per-column cardinalities are computed from that result on
 the cluster, and only the values of columns that pass the guard
 (distinct <= ``max_categories`` and distinct / rows <= ``max_unique_ratio``)
@@ -24,19 +26,35 @@ from featureforge.ml.base import StatsEstimator, StatsModel
 NULL_LABEL = "nan"       # label-encoding name of a missing value (text form of NaN)
 
 
+def plausible_columns(df: DataFrame, cols: Sequence[str], limit: int) -> tuple[list, dict]:
+    """HyperLogLog pre-filter (one aggregate, no value shuffle): a column whose
+    approximate distinct count exceeds 2 x ``limit`` is certainly above the
+    limit (relative error ~5 %), so only the others need exact value counts."""
+    if not cols:
+        return [], {}
+    row = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+    approx = {c: row[f"a{i}"] for i, c in enumerate(cols)}
+    return [c for c in cols if approx[c] <= 2 * limit + 10], approx
+
+
 def category_counts(df: DataFrame, cols: Sequence[str], max_categories: int,
                     max_unique_ratio: float, keep_null: bool = False) -> tuple[dict, dict, int]:
     """{col: [(value, count), ...]} for columns that pass the guard, plus
-    {col: n_distinct} for all and the row count."""
+    {col: n_distinct} (exact for plausible columns, approximate for the ones
+    the HyperLogLog pre-filter already ruled out) and the row count."""
     if not cols:
         return {}, {}, 0
+    cand, approx = plausible_columns(df, cols, max_categories)
+    if not cand:
+        return {}, dict(approx), df.count()
+    cols = cand
     long = long_format(df, cols, "column", "value", cast="string")
     if not keep_null:
         long = long.where(F.col("value").isNotNull())
     vc = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     card = vc.groupBy("column").agg(F.count(F.lit(1)).alias("k"))
     n_rows = df.count()
-    card_rows = {r["column"]: r["k"] for r in card.collect()}
+    card_rows = {**approx, **{r["column"]: r["k"] for r in card.collect()}}
     ok = [c for c in cols if card_rows.get(c, 0) <= max_categories
           and (n_rows == 0 or card_rows.get(c, 0) / n_rows <= max_unique_ratio)]
     vals: dict = {c: [] for c in ok}
@@ -187,6 +205,7 @@ class TargetEncoder(StatsEstimator):
         y = (F.coalesce(t == F.lit(cfg["positive"]), F.lit(False)).cast("double")
              if cfg["positive"] is not None else t.cast("double"))
         cols = cfg["cols"] if cfg["cols"] is not None else string_cols(df, [cfg["target"], *cfg["exclude"]])
+        cols, _ = plausible_columns(df, cols, cfg["max_categories"])
         base = df.select(*[F.col(c).cast("string").alias(c) for c in cols], y.alias("_y"))
         glob = base.agg(F.avg("_y").alias("g")).collect()[0]["g"]
         long = long_format(base, cols, "column", "value", keep=["_y"]).where(F.col("value").isNotNull())

@@ -174,9 +174,15 @@ def issue_list(df: DataFrame, max_categories: int = HIGH_CARDINALITY_ISSUE) -> D
     cats = string_cols(df)
     if not cats:
         return all_null
-    up = unique_profile(df, cats)
-    high = (up.where(F.col("unique_count") > max_categories)
-            .select(F.lit("high_cardinality").alias("issue"), "column"))
+    from featureforge.operators.encode import plausible_columns
+    borderline, approx = plausible_columns(df, cats, max_categories)
+    sure = [c for c in cats if c not in borderline]        # HLL says far above the limit
+    spark = df.sparkSession
+    high = spark.createDataFrame([("high_cardinality", c) for c in sure], "issue string, column string")
+    if borderline:
+        up = unique_profile(df, borderline)
+        high = high.unionByName(up.where(F.col("unique_count") > max_categories)
+                                .select(F.lit("high_cardinality").alias("issue"), "column"))
     return all_null.unionByName(high)
 
 
