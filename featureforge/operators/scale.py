@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,26 +48,28 @@ class ScalerModel(StatsModel):
 
 
 def _quantile_map(x, q: list[float]):
-    """C4: piecewise-linear empirical CDF through the fitted quantiles,
-    evaluated with array higher-order functions (JVM side, no UDF); ties of
-    equal quantile values are averaged from both directions like sklearn."""
-    n = len(q) - 1
-    qs = F.array(*[F.lit(float(v)) for v in q])
-    below = F.aggregate(qs, F.lit(0), lambda acc, v: acc + F.when(v <= x, 1).otherwise(0))
-    above = F.aggregate(qs, F.lit(0), lambda acc, v: acc + F.when(v < x, 1).otherwise(0))
-
-    def interp(k):
-        i = F.greatest(F.least(k, F.lit(n)), F.lit(1))
-        lo, hi = F.element_at(qs, i), F.element_at(qs, i + 1)
-        frac = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0))
-        return ((i - 1) + frac) / n
-    up = interp(below)
-    down = interp(above)
-    v = (up + down) / 2
-    return (F.when(x.isNull(), F.lit(None).cast("double"))
-            .when(x <= F.lit(float(q[0])), F.lit(0.0))
-            .when(x >= F.lit(float(q[-1])), F.lit(1.0))
-            .otherwise(v))
+    """C4: piecewise-linear empirical CDF through the fitted quantiles, ties
+    averaged from both directions (like sklearn's up/down interpolation).
+    Arrow-batched pandas UDF with a binary search (O(log k) per value); the
+    k knots travel in the closure (k = n_quantiles, bounded)."""
+    knots = np.asarray(q, dtype=float)
+    n = len(knots) - 1
+
+    @F.pandas_udf("double")
+    def qmap(col: pd.Series) -> pd.Series:
+        xv = col.to_numpy(dtype=float, na_value=np.nan)
+
+        def interp(k):
+            i = np.clip(k, 1, n)
+            lo, hi = knots[i - 1], knots[i]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                frac = np.where(hi > lo, (xv - lo) / np.where(hi > lo, hi - lo, 1.0), 0.0)
+            return ((i - 1) + frac) / n
+        v = (interp(np.searchsorted(knots, xv, side="right"))
+             + interp(np.searchsorted(knots, xv, side="left"))) / 2
+        v = np.where(xv <= knots[0], 0.0, np.where(xv >= knots[-1], 1.0, v))
+        return pd.Series(np.where(np.isnan(xv), np.nan, v))
+    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(qmap(x))
 
 
 class Scaler(StatsEstimator):
@@ -91,9 +95,11 @@ class Scaler(StatsEstimator):
             return {"method": method, "params": {}, "binary": []}
         exprs = []
         exact_q = {}
-        if method == "robust" and not cfg["approx"]:
+        if method in ("robust", "quantile") and not cfg["approx"]:
             from featureforge.functions.rank import quantiles
-            exact_q = quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.5, 0.75])
+            k = cfg["n_quantiles"]
+            qs = [0.25, 0.5, 0.75] if method == "robust" else [j / (k - 1) for j in range(k)]
+            exact_q = quantiles(df, {c: F.col(c) for c in cols}, qs)
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
             if cfg["skip_binary"]:
@@ -107,7 +113,7 @@ class Scaler(StatsEstimator):
                 if cfg["approx"]:
                     qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
                     exprs.append(F.percentile_approx(x, qs, 10000).alias(f"q{i}"))
-            else:
+            elif cfg["approx"]:
                 k = cfg["n_quantiles"]
                 qs = F.array(*[F.lit(j / (k - 1)) for j in range(k)])
                 exprs.append(F.percentile_approx(x, qs, 10000).alias(f"q{i}"))
@@ -134,7 +140,7 @@ class Scaler(StatsEstimator):
                 iqr = q[2] - q[0]
                 params[c] = {"center": q[1], "scale": iqr if iqr else 1.0}
             else:
-                q = row[f"q{i}"]
+                q = exact_q.get(c) if exact_q else row[f"q{i}"]
                 if q is None:
                     continue
                 params[c] = {"q": [float(v) for v in q]}
