@@ -187,8 +187,9 @@ FROM biz
 @register("x1_x5_interaction_features", sql=with_c360(_X_SQL, extra_ctes=BIZ_CTE), digits=None)
 def q_interactions(spark, sf):
     """X1 products of the key numerics + X5 manual pairs (FE gates: ratio
-    only where both columns are > 0 everywhere; the one customer without
-    orders / tenure 0 rows fail the gates except for the risk scores)."""
+    only where both columns are > 0 everywhere).  The output schema is
+    decided by the data at fit time; the oracle spells the sf0.01 outcome
+    (tenure 0 exists there, so only the risk-score ratio passes its gate)."""
     c = customer_360(spark, sf)
     biz = X.business_features(c, R)
     out = X.interaction_features(biz, R)

@@ -11,7 +11,13 @@ from tests.conftest import SF_SMOKE
 
 NAMES = ["n1_churn_by_segment", "f_business_features", "q15_outlier_report", "e1_one_hot_drop_first",
          "c1_c5_scale_standard", "l3_anova_f_topk", "t1_stratified_split", "v18_evaluate_all",
-         "i9_interpolate_events", "flagship_segment_churn_value"]
+         "i9_interpolate_events", "flagship_segment_churn_value",
+         "q1_q3_validation_report", "q11_categorical_profile", "q13_correlation_matrix", "q17_box_stats",
+         "n5_churn_by_tenure_bins", "i1_i2_impute_median_mode", "o1_cap_iqr_compat", "o3_filter_zscore",
+         "x4_x5_top_variance_interactions", "e2_label_encode", "e3_target_encode",
+         "c4_scale_quantile", "l2_correlation_filter", "l4_chi2_topk", "l5_l6_mutual_info", "t4_time_split",
+         "v11_cumulative_gains", "v16_per_class_report", "d3_prediction_drift_psi", "w4_basic_preprocess",
+         "w1_explore_overview", "doc_n2_quality_rate_by_language"]
 
 
 def _norm(v):
@@ -25,7 +31,7 @@ def test_matches_oracle(spark, name):
     import __spark_entry__ as E
     sdf = E.queries()[name](spark, SF_SMOKE)
     con = duckdb.connect()
-    for t in ["customer", "orders", "lineitem", "events"]:
+    for t in ["customer", "orders", "lineitem", "events", "labels", "documents"]:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMOKE, t + '.parquet')}')")
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
