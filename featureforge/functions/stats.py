@@ -89,3 +89,20 @@ def safe_corr(a, b) -> Column:
     aa = F.when(both, a.cast("double"))
     bb = F.when(both, b.cast("double"))
     return F.try_divide(F.covar_pop(aa, bb), F.stddev_pop(aa) * F.stddev_pop(bb))
+
+
+def modes(df: DataFrame, cols, numeric: bool) -> dict:
+    """Most frequent non-null value per column, ties to the smallest value,
+    as two distributed aggregates: (column, value) counts with map-side
+    partial aggregation, then ``min_by(value, (-count, value))`` per column.
+    No task holds a per-value map of a whole column (unlike ``mode``)."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    cast = "double" if numeric else "string"
+    wide = df.select(*[F.col(c).cast(cast).alias(c) for c in cols])
+    long = wide.unpivot([], cols, "column", "value").where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("column").agg(
+        F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value").alias("v"))).alias("mode"))
+    return {r["column"]: r["mode"] for r in best.collect()}

@@ -65,7 +65,14 @@ class Imputer(StatsEstimator):
         num = [c for c in num if c in cols]
         cat = [c for c in cat if c in cols]
         exprs = []
-        medians = {}
+        medians, num_modes = {}, {}
+        if cfg["numeric"] in ("most_frequent", "mode") and num:
+            from featureforge.functions.stats import modes
+            num_modes = modes(df, num, numeric=True)
+        cat_modes = {}
+        if cfg["categorical"] == "mode" and cat:
+            from featureforge.functions.stats import modes
+            cat_modes = modes(df, cat, numeric=False)
         if cfg["numeric"] == "median" and num and not cfg["approx"]:
             from featureforge.functions.rank import quantiles
             medians = quantiles(df, {c: F.col(c) for c in num}, [0.5])
@@ -79,21 +86,21 @@ class Imputer(StatsEstimator):
                     continue
                 e = F.percentile_approx(x, 0.5, 10000)
             elif s in ("most_frequent", "mode"):
-                e = F.mode(x, True)
+                continue
             else:
                 raise ValueError(f"unknown numeric strategy {s}")
             exprs.append(e.alias(f"n{i}"))
-        if cfg["categorical"] == "mode":
-            exprs += [F.mode(F.col(c), True).alias(f"c{i}") for i, c in enumerate(cat)]
         row = df.agg(*exprs).collect()[0] if exprs else {}
         fills, kind = {}, {}
         for i, c in enumerate(num):
             if c in medians:
                 fills[c], kind[c] = (medians[c][0] if medians[c] else None), "numeric"
+            elif cfg["numeric"] in ("most_frequent", "mode"):
+                fills[c], kind[c] = num_modes.get(c), "numeric"
             else:
                 fills[c], kind[c] = row[f"n{i}"], "numeric"
         for i, c in enumerate(cat):
-            fills[c] = row[f"c{i}"] if cfg["categorical"] == "mode" else UNKNOWN
+            fills[c] = cat_modes.get(c) if cfg["categorical"] == "mode" else UNKNOWN
             kind[c] = "categorical"
         return {"fills": {k: v for k, v in fills.items() if v is not None}, "kind": kind}
 
