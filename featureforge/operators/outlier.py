@@ -25,12 +25,12 @@ def _binary_cols(df: DataFrame, cols: Sequence[str]) -> set:
     if not cols:
         return set()
     exprs = []
-    for i, c in enumerate(cols):
-        exprs += [F.count_distinct(F.col(c)).alias(f"d{i}"), F.min(c).alias(f"a{i}"),
+    for i, c in enumerate(cols):      # exactly {0, 1}: min 0, max 1, nothing else (no count_distinct Expand)
+        exprs += [F.count_if(~F.col(c).isin(0, 1)).alias(f"d{i}"), F.min(c).alias(f"a{i}"),
                   F.max(c).alias(f"b{i}")]
     row = df.agg(*exprs).collect()[0]
     return {c for i, c in enumerate(cols)
-            if row[f"d{i}"] == 2 and row[f"a{i}"] == 0 and row[f"b{i}"] == 1}
+            if row[f"d{i}"] == 0 and row[f"a{i}"] == 0 and row[f"b{i}"] == 1}
 
 
 class CapperModel(StatsModel):

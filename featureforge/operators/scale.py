@@ -102,8 +102,8 @@ class Scaler(StatsEstimator):
             exact_q = quantiles(df, {c: F.col(c) for c in cols}, qs)
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
-            if cfg["skip_binary"]:
-                exprs += [F.count_distinct(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"),
+            if cfg["skip_binary"]:   # exactly {0, 1} without a count_distinct Expand
+                exprs += [F.count_if(~x.isin(0.0, 1.0)).alias(f"d{i}"), F.min(x).alias(f"lo{i}"),
                           F.max(x).alias(f"hi{i}")]
             if method == "standard":
                 exprs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
@@ -120,7 +120,7 @@ class Scaler(StatsEstimator):
         row = df.agg(*exprs).collect()[0] if exprs else {}
         params, binary = {}, []
         for i, c in enumerate(cols):
-            if cfg["skip_binary"] and row[f"d{i}"] == 2 and row[f"lo{i}"] == 0 and row[f"hi{i}"] == 1:
+            if cfg["skip_binary"] and row[f"d{i}"] == 0 and row[f"lo{i}"] == 0 and row[f"hi{i}"] == 1:
                 binary.append(c)
                 continue
             if method == "standard":
