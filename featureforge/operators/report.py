@@ -12,14 +12,19 @@ from featureforge.functions.exprs import numeric_cols, string_cols
 
 def feature_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Column counts before/after, numeric / categorical counts and the
-    number of numeric columns with exactly two distinct values (one agg)."""
+    number of numeric columns with exactly two distinct values."""
     num = numeric_cols(after)
     cats = string_cols(after)
-    agg = after.agg(*[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(num)]) if num \
-        else after.agg(F.count(F.lit(1)).alias("_n"))
+    # "exactly two distinct values" without a count_distinct Expand: min != max
+    # and no value other than the two (one min/max aggregate, one count)
+    mm = after.agg(*[e for i, c in enumerate(num) for e in (F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}"))]) \
+        .first() if num else None
+    two = [i for i, _ in enumerate(num) if mm[f"a{i}"] is not None and mm[f"a{i}"] != mm[f"b{i}"]]
+    checks = [F.count_if(~F.col(num[i]).isin(mm[f"a{i}"], mm[f"b{i}"])).alias(f"d{i}") for i in two]
+    agg = after.agg(*checks) if checks else after.agg(F.count(F.lit(1)).alias("_n"))
     binary = F.lit(0)
-    for i, _ in enumerate(num):
-        binary = binary + (F.col(f"d{i}") == 2).cast("int")
+    for i in two:
+        binary = binary + (F.col(f"d{i}") == 0).cast("int")
     return agg.select(
         F.lit(len(before.columns)).alias("original_features"),
         F.lit(len(after.columns)).alias("final_features"),
