@@ -419,12 +419,14 @@ def dtype_distribution(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ R5
-def recommendations(df: DataFrame, roles: Roles, numeric: Sequence[str] | None = None) -> DataFrame:
+def recommendations(df: DataFrame, roles: Roles, numeric: Sequence[str] | None = None,
+                    corr: DataFrame | None = None) -> DataFrame:
     """Rule rows over the profile: missing cells > 5 %, imbalanced
     target, any high correlation pair."""
     ms = missing_summary(df).select((F.col("pct_missing_cells") > 5).alias("fire"))
     cb = class_balance(df, roles).select(F.coalesce("is_imbalanced", F.lit(False)).alias("fire"))
-    corr = correlation_matrix(df, numeric if numeric is not None else numeric_cols(df, [roles.id]))
+    if corr is None:
+        corr = correlation_matrix(df, numeric if numeric is not None else numeric_cols(df, [roles.id]))
     hc = high_correlations(corr).agg((F.count(F.lit(1)) > 0).alias("fire"))
     parts = [ms.select(F.lit(1).alias("rule"), F.lit("missing_values").alias("check"),
                        F.lit(REC_MISSING).alias("recommendation"), "fire"),

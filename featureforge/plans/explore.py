@@ -1,8 +1,10 @@
-"""The exploration phase as a dict of lazy report DataFrames.
+"""The exploration phase as a dict of report DataFrames.
 
-Nothing runs until a report is written or collected; the source should be
-cached by the caller when several reports are materialised (each report is a
-single aggregate-based job over it).
+Most reports are lazy (one aggregate-based job each when written or
+collected); the correlation matrix and the outlier report run their small
+statistics jobs while the dict is built (their results are tiny tables).
+The source should be persisted by the caller when several reports are
+materialised.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def explore(df: DataFrame, roles: Roles, bins: int = 5) -> dict[str, DataFrame]:
         "correlation_matrix": corr,
         "correlation_summary": P.correlation_summary(corr),
         "high_correlations": P.high_correlations(corr),
-        "recommendations": P.recommendations(df, roles, num),
+        "recommendations": P.recommendations(df, roles, num, corr=corr),
     }
     if roles.target in df.columns:
         reports.update({
