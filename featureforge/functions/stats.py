@@ -27,7 +27,6 @@ _BUILDERS = {
     "var_samp": F.var_samp,
     "std_pop": F.stddev_pop,
     "std_samp": F.stddev_samp,
-    "distinct": lambda c: F.count_distinct(c),
     "approx_distinct": lambda c: F.approx_count_distinct(c),
 }
 
@@ -36,42 +35,25 @@ def key(colname: str, stat: str) -> str:
     return f"{colname}__{stat}"
 
 
-def stat_exprs(cols: Sequence[str], stats: Iterable[str],
-               quantiles: Sequence[float] = (), approx: bool = False,
-               accuracy: int = 10000) -> list[Column]:
-    out = []
+def stat_exprs(cols: Sequence[str], stats: Iterable[str]) -> list[Column]:
+    """Named statistics for every column (quantiles: see ``rank.quantiles``,
+    which stays exact without a per-value map)."""
     stats = list(stats)
-    for c in cols:
-        cc = F.col(c)
-        for s in stats:
-            out.append(_BUILDERS[s](cc).alias(key(c, s)))
-        if quantiles:
-            qs = F.array(*[F.lit(float(q)) for q in quantiles])
-            if approx:
-                e = F.percentile_approx(cc.cast("double"), qs, accuracy)
-            else:
-                e = F.percentile(cc.cast("double"), qs)
-            out.append(e.alias(key(c, "quantiles")))
-    return out
+    return [_BUILDERS[s](F.col(c)).alias(key(c, s)) for c in cols for s in stats]
 
 
 def stats_row(df: DataFrame, cols: Sequence[str], stats: Iterable[str] = (),
-              quantiles: Sequence[float] = (), approx: bool = False,
               extra: Sequence[Column] = ()) -> DataFrame:
     """Lazy one-row DataFrame of the requested statistics."""
-    exprs = stat_exprs(cols, stats, quantiles, approx) + list(extra)
-    return df.agg(*exprs)
+    return df.agg(*(stat_exprs(cols, stats) + list(extra)))
 
 
 def collect_stats(df: DataFrame, cols: Sequence[str], stats: Iterable[str] = (),
-                  quantiles: Sequence[float] = (), approx: bool = False,
                   extra: Sequence[Column] = ()) -> dict:
-    """Run the fused aggregate and return {"col__stat": value}; quantiles come
-    back as lists under "col__quantiles"."""
+    """Run the fused aggregate and return {"col__stat": value}."""
     if not cols and not extra:
         return {}
-    row = stats_row(df, cols, stats, quantiles, approx, extra).collect()[0]
-    return row.asDict()
+    return stats_row(df, cols, stats, extra).collect()[0].asDict()
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:

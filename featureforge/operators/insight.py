@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from featureforge.functions.exprs import (is_value, long_format, numeric_cols,
                                           string_cols)
-from featureforge.functions.stats import collect_stats, safe_corr
+from featureforge.functions.stats import safe_corr
 from featureforge.roles import Roles
 
 
@@ -136,12 +136,3 @@ def feature_target_correlation(df: DataFrame, roles: Roles,
     return (long.where(F.col("r").isNotNull() & ~F.isnan("r"))
             .select("feature", F.abs("r").alias("abs_corr"))
             .orderBy(F.desc("abs_corr"), F.asc("feature")).limit(top))
-
-
-def insight_summary(df: DataFrame, roles: Roles) -> dict:
-    """Driver-side dict view of N3/N4 (one tiny collect), for reports."""
-    stats = collect_stats(df, [], extra=[
-        F.avg(F.when(F.col(roles.target) == roles.positive, F.col(roles.monthly))).alias("avg_pos"),
-        F.avg(F.when(F.col(roles.target) != roles.positive, F.col(roles.monthly))).alias("avg_neg"),
-    ])
-    return stats
