@@ -93,13 +93,18 @@ def score_histogram(pred: DataFrame, keys: Sequence[str] = (), label: str = "lab
         return pred.groupBy(*keys, score.alias("score")).agg(
             F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"),
             F.count(F.lit(1)).alias("cnt"))
-    h = build(F.col(prob).cast("double"))
+    from pyspark import StorageLevel
+    # the histogram is bounded (<= max_distinct rows per key once checked): it
+    # is persisted so the check below and every ranking metric share ONE pass
+    # over the predictions
+    h = build(F.col(prob).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     if max_distinct is not None:
         st = h.groupBy(*keys).agg(F.count(F.lit(1)).alias("d"), F.max("cnt").alias("g")) \
               .agg(F.max("d"), F.max("g")).first()
         widest, biggest = st[0] or 0, st[1] or 0
         if widest > max_distinct:
-            h = build(F.round(F.col(prob).cast("double"), quantize))
+            h.unpersist()
+            h = build(F.round(F.col(prob).cast("double"), quantize)).persist(StorageLevel.MEMORY_AND_DISK)
             h._ff_quantize = quantize          # read by cumulative_gains
         h._ff_max_group = biggest              # largest tie group (read by cumulative_gains)
     return h
