@@ -9,6 +9,6 @@ from featureforge.plans.catalog import prep  # noqa: F401
 from featureforge.plans.catalog import select  # noqa: F401
 from featureforge.plans.catalog import evaluate  # noqa: F401
 from featureforge.plans.catalog import models  # noqa: F401
-from featureforge.plans.catalog import pipelines  # noqa: F401
+from featureforge.plans.catalog import workflows  # noqa: F401
 from featureforge.plans.catalog import advanced  # noqa: F401
 from featureforge.plans.catalog import documents  # noqa: F401
