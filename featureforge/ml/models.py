@@ -213,13 +213,13 @@ SEARCH_SPACES = {
 
 def tune(train: DataFrame, features: Sequence[str], kind: str, n_trials: int = 5,
          fold_col: str | None = "fold", folds: int = 5, parallelism: int = 2,
-         seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
+         seed: int = SEED, space: dict | None = None) -> tuple[PipelineModel, DataFrame]:
     """Seeded random search of ``n_trials`` points of the model's space,
     k-fold AUC (``CrossValidator``; the T3 fold column when present), best
     point refit on all of ``train``.  Returns (model, trials table)."""
     pipe = make_pipeline(kind, features, name=kind)
     est = pipe.getStages()[-1]
-    space = SEARCH_SPACES[kind]
+    space = space or SEARCH_SPACES[kind]
     grid_all = ParamGridBuilder()
     for p, vals in space.items():
         grid_all = grid_all.addGrid(est.getParam(p), vals)

@@ -60,11 +60,12 @@ def q_w5(spark, sf):
 
 @register("w3_develop_models", digits=None)
 def q_w3(spark, sf):
-    """W3 (light settings): split, baselines, 2-trial tuning, voting, test
+    """W3 (light settings): split, baselines, 2-trial small-forest tuning, voting, test
     evaluation, CV, comparison table."""
     from featureforge.plans.develop import develop_models
     fm = churn_features(spark, sf).withColumnRenamed("customer_id", "id")
-    res = develop_models(fm, FEATURES, kinds=("naive_bayes", "decision_tree"), n_trials=2, folds=3)
+    res = develop_models(fm, FEATURES, kinds=("naive_bayes", "decision_tree"), tune_kind="random_forest",
+                         n_trials=2, folds=3, tune_space={"numTrees": [20, 40], "maxDepth": [5, 10]})
     return res["comparison"]
 
 
