@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from featureforge.llm import decontaminate, quality, tokens
+from featureforge.llm import decontaminate, packing, quality, substrings, tokens
 
 SIZE_LIMIT = 4096
 
@@ -23,6 +24,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                limit=SIZE_LIMIT)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        carry="crc32").select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
+                                              "sequence_id", "offset")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after removing 13-word windows that a smaller id also has."""
+    return substrings.deduplicate_substrings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, base rules and the threshold table's verdict per document."""
     return quality.quality_filter(table(spark, sf_dir, "documents")).select(
@@ -37,9 +51,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op9_quality_rules, op10_decontaminate)}
+    op1_token_counts, op2_packing, op4_substring_dedup, op9_quality_rules, op10_decontaminate)}
 
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": substrings.oracle_sql(),
     "op9_quality_rules": quality.oracle_sql(),
     "op10_decontaminate": decontaminate.oracle_sql(),
 }

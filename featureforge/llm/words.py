@@ -103,13 +103,24 @@ class Words:
                         np.uint64, len(self.distinct))
         return h[self.index] if len(h) else np.zeros(0, np.uint64)
 
-    def joined(self, doc: int, keep: np.ndarray | None = None) -> bytes:
-        """A document's words (those of ``keep``) joined by one space."""
-        a, b = self.first[doc], self.first[doc + 1]
-        words = self.array.slice(a, b - a)
-        if keep is not None:
-            words = words.filter(pa.array(keep))
-        return b" ".join(words.to_pylist())
+    def sentences(self, keep: np.ndarray) -> pa.Array:
+        """Each document's words of ``keep``, joined by one space."""
+        size = np.diff(self.bounds)
+        length = np.where(keep, size + 1, 0)  # with the space that follows
+        end = np.zeros(len(length) + 1, np.int64)
+        np.cumsum(length, out=end[1:])
+        out = np.full(end[-1], 32, np.uint8)
+        kept = size[keep]
+        source = self.bytes[np.repeat(keep, size)]
+        out[np.arange(len(source)) + np.repeat(np.arange(len(kept)), kept)] = source
+        # drop the space after a document's last word
+        off = end[self.first]
+        full = off[1:] > off[:-1]
+        drop = np.ones(len(out), bool)
+        drop[off[1:][full] - 1] = False
+        bounds = off - np.concatenate([[0], np.cumsum(full)])
+        return pa.Array.from_buffers(pa.large_string(), self.n_docs,
+                                     [None, pa.py_buffer(bounds), pa.py_buffer(out[drop])]).cast(pa.string())
 
 
 def mix(x: np.ndarray) -> np.ndarray:
