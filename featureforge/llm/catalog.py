@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureforge.llm import decontaminate, packing, quality, substrings, tokens
+from featureforge.llm import decontaminate, neardup, packing, quality, substrings, tokens
 
 SIZE_LIMIT = 4096
 
@@ -37,6 +37,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, base rules and the threshold table's verdict per document."""
     return quality.quality_filter(table(spark, sf_dir, "documents")).select(
@@ -51,10 +56,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op2_packing, op4_substring_dedup, op9_quality_rules, op10_decontaminate)}
+    op1_token_counts, op2_packing, op4_substring_dedup, op6_minhash_neardup, op9_quality_rules,
+    op10_decontaminate)}
 
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": substrings.oracle_sql(),
+    "op6_minhash_neardup": neardup.oracle_sql(),
     "op9_quality_rules": quality.oracle_sql(),
     "op10_decontaminate": decontaminate.oracle_sql(),
 }
