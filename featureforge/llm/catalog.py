@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureforge.llm import decontaminate, neardup, packing, quality, substrings, tokens
+from featureforge.llm import decontaminate, kneserney, neardup, packing, quality, substrings, tokens
 
 SIZE_LIMIT = 4096
 
@@ -42,6 +42,12 @@ def op6_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents; a seventh is held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return kneserney.language_scores(table(spark, sf_dir, "documents"), held_out)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, base rules and the threshold table's verdict per document."""
     return quality.quality_filter(table(spark, sf_dir, "documents")).select(
@@ -56,8 +62,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op2_packing, op4_substring_dedup, op6_minhash_neardup, op9_quality_rules,
-    op10_decontaminate)}
+    op1_token_counts, op2_packing, op4_substring_dedup, op6_minhash_neardup, op8_language_scores,
+    op9_quality_rules, op10_decontaminate)}
 
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": substrings.oracle_sql(),
