@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureforge.llm import decontaminate, kneserney, neardup, packing, quality, substrings, tokens
+from featureforge.llm import (decontaminate, kneserney, licenses, neardup, packing, pages, quality,
+                                  substrings, tokens, toxicity)
 
 SIZE_LIMIT = 4096
 
@@ -31,17 +32,48 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "sequence_id", "offset")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_texts(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing 13-word windows that a smaller id also has."""
     return substrings.deduplicate_substrings(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document holds, and the best covered one."""
+    best = F.element_at(F.array_sort("licenses", lambda a, b: F.when(a["coverage"] * a["n_words"] >= b["coverage"] * b["n_words"], -1)
+                                     .otherwise(1)), 1)
+    scanned = licenses.license_scan(table(spark, sf_dir, "documents"))
+    return scanned.select(
+        "doc_id", "n_words", F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.array_sort(F.transform("licenses", lambda x: x["license"])), ",").alias("licenses"),
+        F.when(F.size("licenses") > 0, best).alias("best")).select(
+        "doc_id", "n_words", "n_licenses", "licenses", F.col("best.license").alias("best_license"),
+        F.col("best.coverage").alias("best_coverage"), F.col("best.first").alias("first_word"),
+        F.col("best.last").alias("last_word"))
+
+
 def op6_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def toxic_held_out(doc_id="doc_id"):
+    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; a fifth of the labels is held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxic_held_out())
+    return toxicity.score(docs, model).select("doc_id", toxic_held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents; a seventh is held out."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
@@ -62,8 +94,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op2_packing, op4_substring_dedup, op6_minhash_neardup, op8_language_scores,
-    op9_quality_rules, op10_decontaminate)}
+    op1_token_counts, op2_packing, op3_main_text, op4_substring_dedup, op5_license_scan, op6_minhash_neardup,
+    op7_toxicity, op8_language_scores, op9_quality_rules, op10_decontaminate)}
 
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": substrings.oracle_sql(),

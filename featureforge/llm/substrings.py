@@ -249,12 +249,15 @@ def removed_runs(docs: DataFrame, size: int) -> DataFrame:
             .mapInArrow(merge, "k long, starts array<int>, ends array<int>"))
 
 
-def deduplicate_substrings(docs: DataFrame, size: int = 13, id_col: str = "doc_id",
-                           text_col: str = "text") -> DataFrame:
+def deduplicate_substrings(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text",
+                           carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: id, ``n_words``, ``n_removed``, ``kept_text`` (kept words
-    joined by one space) and the removed runs of words (``starts``, ``ends``)."""
-    keyed = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
-    runs = Scratch(docs.sparkSession, "substrings").table(removed_runs(keyed, size), "runs")
+    joined by one space), the removed runs of words (``starts``, ``ends``) and
+    the columns named in ``carry``."""
+    carried = {f"carried_{i}": c for i, c in enumerate(carry)}
+    keyed = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"),
+                        *[F.col(c).alias(x) for x, c in carried.items()])
+    runs = Scratch(docs.sparkSession, "substrings").table(removed_runs(keyed.select("k", "t"), size), "runs")
     n_runs = runs.agg(F.coalesce(F.sum(F.size("starts")), F.lit(0)).alias("n")).first()["n"]
     joined = keyed.join(F.broadcast(runs) if n_runs <= BROADCAST_RUNS else runs, "k", "left")
 
@@ -274,12 +277,15 @@ def deduplicate_substrings(docs: DataFrame, size: int = 13, id_col: str = "doc_i
                 n_kept = np.diff(kept_before[words.first])
                 yield pa.RecordBatch.from_arrays(
                     [block.column("k"), pa.array(words.counts()), pa.array(words.counts() - n_kept),
-                     words.sentences(keep), block.column("starts"), block.column("ends")],
-                    ["k", "n_words", "n_removed", "kept_text", "starts", "ends"])
-
-    return (joined.mapInArrow(cut, "k long, n_words long, n_removed long, kept_text string, "
-                                   "starts array<int>, ends array<int>")
-            .withColumnRenamed("k", id_col))
+                     words.sentences(keep), block.column("starts"), block.column("ends"),
+                     *[block.column(x) for x in carried]],
+                    ["k", "n_words", "n_removed", "kept_text", "starts", "ends", *carried])
+
+    more = "".join(f", {x} {keyed.schema[x].dataType.simpleString()}" for x in carried)
+    out = joined.mapInArrow(cut, "k long, n_words long, n_removed long, kept_text string, "
+                                 "starts array<int>, ends array<int>" + more)
+    return out.select(F.col("k").alias(id_col), "n_words", "n_removed", "kept_text", "starts", "ends",
+                      *[F.col(x).alias(c) for x, c in carried.items()])
 
 
 def oracle_sql(size: int = 13) -> str:
