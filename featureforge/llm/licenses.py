@@ -134,12 +134,13 @@ def best_alignment(text: np.ndarray, template: list[int]) -> tuple[int, int, int
     best = (0, 0, 0)
     for a, b in windows:
         part = text[a:b].tolist()
-        if sum((Counter(part) & need).values()) <= best[0]:
+        if sum((Counter(part) & need).values()) < max(best[0], 1):
             continue
         pairs = patience(part, template, a)
-        if len(pairs) > best[0]:
-            best = (len(pairs), pairs[0][0], pairs[-1][0])
-            if best[0] == length:
+        found = (len(pairs), pairs[0][0], pairs[-1][0])
+        if (found[0], found[1] - found[2]) > (best[0], best[1] - best[2]):
+            best = found
+            if best[0] == length == best[2] - best[1] + 1:
                 break
     return best
 

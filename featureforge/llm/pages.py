@@ -15,9 +15,9 @@
 A declared article is the author's own statement of what the text is, and its
 lines may recur on other pages (quotations, licence lines, copies): they stay.
 Differencing decides the lines outside one: on a page without an article the
-lines that are neither shared nor declared frame are its text.  If a neighbour
-shares every such line, it is a copy of the page and the other neighbour is
-taken; if that shares all, too, nothing is deleted.
+lines that are neither shared nor declared frame are its text.  If the nearer
+neighbour shares every such line (a copy) or no line at all (another layout),
+the other neighbour is taken; if that does, too, nothing is deleted.
 
 Defined cases: null and empty pages have no text; pages without a URL share
 one host; repeated rows are neighbours of each other; unclosed and stray tags
@@ -228,7 +228,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             for r in near:
                 shared = common_lines(row["hashes"], r["hashes"])
                 left = [x for x, s in zip(lines, shared) if x is not None and not s]
-                if left or not own:
+                if left and any(shared):
                     return left
             return own
 
