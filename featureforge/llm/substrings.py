@@ -154,7 +154,7 @@ def _runs(at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
-    return first, np.append(first[1:], len(at)) - 1
+    return first, np.append(first[1:], len(at))[:len(first)] - 1
 
 
 def repeated_windows(docs: DataFrame, size: int, sketch: list[np.ndarray], cells: int) -> DataFrame:
