@@ -71,7 +71,7 @@ class Shard:
         self.clear()
 
     def clear(self):
-        self.ids, self.n_words, self.symbols, self.doc, self.place = [], [], [], [], []
+        self.ids, self.row_hash, self.n_words, self.symbols, self.doc, self.place = [], [], [], [], [], []
         self.n_docs = self.size = 0
 
     def add(self, block: pa.RecordBatch) -> None:
@@ -99,6 +99,7 @@ class Shard:
         self.doc.append(owner)
         self.place.append(place)
         self.ids.append(block.column("k"))
+        self.row_hash.append(block.column("h"))
         self.n_words.append(words.counts())
         self.n_docs += block.num_rows
         self.size += n
@@ -131,11 +132,11 @@ class Shard:
             for x in pair.tolist():
                 items[x // len(self.p.items)].append(self.p.items[x % len(self.p.items)])
         out = pa.RecordBatch.from_arrays(
-            [pa.chunked_array(self.ids).combine_chunks(), pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()),
+            [pa.chunked_array(self.ids).combine_chunks(), pa.chunked_array(self.row_hash).combine_chunks(), pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()),
              pa.array(items, pa.list_(pa.string())),
              pa.array([[{"first": a, "last": b - 1} for a, b in s] for s in spans],
                       pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))],
-            ["k", "n_words", "n_hit", "items", "spans"])
+            ["k", "h", "n_words", "n_hit", "items", "spans"])
         self.clear()
         return out
 
@@ -153,7 +154,7 @@ def _one_block(docs: DataFrame, rows: list, size: int, kind: str) -> DataFrame:
         if shard.n_docs:
             yield shard.flush()
 
-    return docs.mapInArrow(run, f"k {kind}, n_words long, n_hit long, items array<string>, "
+    return docs.mapInArrow(run, f"k {kind}, h long, n_words long, n_hit long, items array<string>, "
                                 "spans array<struct<first: long, last: long>>")
 
 
@@ -163,7 +164,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, id_col:
     ``items`` (ids as sorted strings) and ``spans`` (first and last word of
     each merged removal span)."""
     kind = docs.schema[id_col].dataType.simpleString()
-    keyed = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
+    keyed = docs.select(F.col(id_col).alias("k"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text"))
     n_blocks = text_bytes(bench, "text") // BLOCK_BYTES + 1
     block_of = F.pmod(F.xxhash64("text"), F.lit(n_blocks))
@@ -174,7 +175,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, id_col:
             out = out.unionByName(p)
         # Spans of several blocks may overlap: merge them in each document.
         merged = F.aggregate(
-            F.array_sort(F.flatten(F.collect_list("spans"))),
+            F.array_sort(F.flatten(F.collect_set("spans"))),
             F.array().cast("array<struct<first: long, last: long>>"),
             lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["last"] + 1 >= s["first"]),
                                   F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
@@ -182,12 +183,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, id_col:
                                                F.element_at(acc, -1)["first"].alias("first"),
                                                F.greatest(F.element_at(acc, -1)["last"], s["last"]).alias("last")))))
             .otherwise(F.concat(acc, F.array(s))))
-        out = (out.groupBy("k").agg(F.max("n_words").alias("n_words"), merged.alias("spans"),
-                                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-               .select("k", "n_words",
+        # Equal rows give equal spans; each comes back as often as it came in.
+        out = (out.groupBy("k", "h").agg(F.max("n_words").alias("n_words"), merged.alias("spans"),
+                                         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+                                         (F.count("*") / n_blocks).cast("int").alias("copies"))
+               .select("k", "n_words", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"),
                        F.aggregate("spans", F.lit(0).cast("long"),
                                    lambda acc, s: acc + s["last"] - s["first"] + 1).alias("n_hit"), "items", "spans"))
-    return out.withColumnRenamed("k", id_col)
+    return out.select(F.col("k").alias(id_col), "n_words", "n_hit", "items", "spans")
 
 
 def with_verdict(found: DataFrame) -> DataFrame:
