@@ -7,17 +7,18 @@
    equal to the similarity for sets of any size.
 2. Documents with equal sets form a class; its smallest id stands for it.
 3. Bands of ``BAND`` consecutive registers are bucket keys.  At the threshold a
-   pair shares none of the bands with a probability of 1e-10.  In each bucket
-   every document is compared with the smallest id.
+   pair shares none of the bands with a probability of 1e-10.  A bucket's
+   smallest id is its hub, and every document is compared with its hubs.
 4. A pair's similarity is estimated from its registers, corrected for chance
    collisions of the compressed registers; pairs at six standard deviations
    below the threshold are dropped, the others are verified on full sets.
-5. Buckets that still hold documents of several components propose each
-   document's best estimated partners of other components, more in each round,
-   until every cross-component pair that passes the estimate has been tested.
-   Pairs inside a component need no test, so a large group of copies costs one
-   comparison per document, and no task holds a whole large bucket: buckets
-   are compared in blocks of ``BLOCK`` documents.
+5. Two documents that share a bucket share its hub, so what the hubs left open
+   are pairs of one hub's documents in different components.  The documents
+   outside a hub's largest component meet all its documents in blocks of about
+   ``BLOCK_BYTES``; pairs that pass the estimate are verified, the likeliest
+   first, until the components meet.  Pairs inside a component need no test, so
+   a large group of copies costs one comparison per document, and no task holds
+   a whole large group.
 
 Defined cases: texts without words have an empty set and link with nothing; a
 text of fewer words than a shingle is one shingle; rows without an id get no
@@ -41,10 +42,8 @@ from featureforge.llm.words import Words, blocks, mix, window_hashes
 REGISTERS = 126
 BAND = 3
 MANTISSA_BITS = 10
-#: Documents of one side of a bucket that are compared at a time.
-BLOCK = 1024
-#: Partners that each document proposes, by round; the last round proposes all.
-PROPOSALS = (4, 64, None)
+#: Bytes of sets on one side of a block of comparisons.
+BLOCK_BYTES = 4 << 20
 #: Ids sent to all tasks at most; beyond that the texts are joined by shuffle.
 BROADCAST_IDS = 1 << 20
 
@@ -173,20 +172,12 @@ def estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): whether 100 * intersection >= percent * union."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * common >= percent * (len(both) - common))
-            yield batch.select(["a", "b"]).append_column("linked", pa.array(linked, pa.bool_()))
-
+    """Pairs (a, b) with 100 * intersection >= percent * union of their sets."""
     side = {x: sets.select(F.col("k").alias(x), F.col("shingles").alias("s" + x)) for x in ("a", "b")}
-    return pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(run, "a long, b long, linked boolean")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return (pairs.join(side["a"], "a").join(side["b"], "b")
+            .select("a", "b", common.alias("c"), (F.size("sa") + F.size("sb")).alias("n"))
+            .where(F.col("c") * 100 >= (F.col("n") - F.col("c")) * percent).select("a", "b"))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -196,67 +187,64 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             for block in blocks(batch, "t"):
                 h, bounds = shingle_sets(block.column("t"), size)
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("k"), pa.array([h[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])],
-                                                 pa.binary())], ["k", "shingles"])
+                    [block.column("k"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(h.view(np.int64)))],
+                    ["k", "shingles"])
 
     ids = ids.select("k").distinct()
     few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "k", "left_semi").mapInArrow(run, "k long, shingles binary")
-
-
-def proposals(members: DataFrame, reps: DataFrame, most: int | None, threshold: float) -> DataFrame:
-    """(a, b, more): for documents of buckets with several components, their
-    best estimated partners of other components; ``more``: some were left out.
-
-    Each bucket's documents outside its largest component (the few) meet all
-    its documents (the many), in blocks."""
-    floor = lowest_estimate(threshold)
-    per = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    mixed = (per.groupBy("key").agg(F.count("*").alias("comps"), F.sum("c").alias("n"),
-                                    F.max(F.struct("c", "comp")).alias("top"))
-             .where("comps > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("many"),
-                                        F.ceil((F.col("n") - F.col("top.c")) / BLOCK).cast("int").alias("few"),
-                                        F.col("top.comp").alias("main")))
-    rows = members.join(mixed, "key").join(reps.select("k", "n", "regs"), "k")
+    return docs.join(F.broadcast(ids) if few else ids, "k", "left_semi").mapInArrow(run, "k long, shingles array<long>")
+
+
+def open_links(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links (a, b) between components, among each hub's documents
+    (hub, k, comp): enough of them to join all components that a link joins."""
+    floor = lowest_estimate(percent / 100)
+    sized = members.join(reps.select("k", "n"), "k")
+    per = sized.groupBy("hub", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    blocks_of = lambda n: F.ceil(n * 8 / BLOCK_BYTES).cast("int")
+    mixed = (per.groupBy("hub").agg(F.count("*").alias("comps"), F.sum("n").alias("n"),
+                                    F.max(F.struct("c", "comp", "n")).alias("top")).where("comps > 1")
+             .select("hub", F.col("top.comp").alias("main"), blocks_of(F.col("n")).alias("many"),
+                     blocks_of(F.col("n") - F.col("top.n")).alias("few")))
+    rows = members.join(mixed, "hub").join(reps.select("k", "n", "regs"), "k").join(sets, "k")
     part = F.xxhash64("k")
-    blocks_of = lambda n: F.sequence(F.lit(0), n - 1)
-    many = rows.select("key", F.pmod(part, "many").cast("int").alias("i"), F.explode(blocks_of(F.col("few"))).alias("j"),
-                       F.lit(False).alias("few"), "k", "comp", "n", "regs")
-    few = rows.where("comp <> main").select(
-        "key", F.explode(blocks_of(F.col("many"))).alias("i"), F.pmod(part, "few").cast("int").alias("j"),
-        F.lit(True).alias("few"), "k", "comp", "n", "regs")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ("k", "comp", "n", "regs", "shingles")
+    many = rows.select("hub", F.pmod(part, "many").cast("int").alias("i"), every("few").alias("j"),
+                       F.lit(False).alias("is_few"), *columns)
+    few = rows.where("comp <> main").select("hub", every("many").alias("i"), F.pmod(part, "few").cast("int").alias("j"),
+                                            F.lit(True).alias("is_few"), *columns)
 
     def run(table: pa.Table) -> pa.Table:
-        few = table.column("few").to_numpy()
+        is_few = table.column("is_few").to_numpy()
         k, comp, n = (table.column(c).to_numpy() for c in ("k", "comp", "n"))
         regs = _matrix(table.column("regs"))
-        a, b = np.flatnonzero(few), np.flatnonzero(~few)
-        found = []
-        for x in a:
-            other = b[comp[b] != comp[x]]
-            e = estimate((regs[other] == regs[x]).sum(axis=1), n[other], n[x])
-            ok = e >= floor
-            for y, s in zip(other[ok].tolist(), e[ok].tolist()):
-                found.append((int(k[x]), int(k[y]), s))
-        return pa.table({"x": pa.array([f[0] for f in found], pa.int64()), "y": pa.array([f[1] for f in found], pa.int64()),
-                         "s": pa.array([f[2] for f in found], pa.float64())})
-
-    def best(table: pa.Table) -> pa.Table:
-        t = run(table)
-        x = t.column("x").to_numpy()
-        if most is None or not len(x):
-            return t.append_column("more", pa.array(np.zeros(len(x), bool)))
-        t = t.take(pa.array(np.lexsort((t.column("y").to_numpy(), -t.column("s").to_numpy(), x))))
-        x = t.column("x").to_numpy()
-        new = np.ones(len(x), bool)
-        new[1:] = x[1:] != x[:-1]
-        number = np.cumsum(new) - 1
-        rank = np.arange(len(x)) - np.flatnonzero(new)[number]
-        more = np.bincount(number)[number] > most
-        return t.append_column("more", pa.array(more)).filter(pa.array(rank < most))
-
-    got = many.union(few).groupBy("key", "i", "j").applyInArrow(best, "x long, y long, s double, more boolean")
-    return got.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("more").alias("more"))
+        own = [x.values.to_numpy() for x in table.column("shingles")]
+        above: dict[int, int] = {}
+
+        def root(c):
+            while c in above:
+                c = above[c]
+            return c
+
+        links = []
+        others = np.flatnonzero(~is_few)
+        for x in np.flatnonzero(is_few).tolist():
+            guess = estimate((regs[others] == regs[x]).sum(axis=1), n[others], n[x])
+            at = np.flatnonzero((guess >= floor) & (comp[others] != comp[x]))
+            for y in others[at[np.argsort(-guess[at], kind="stable")]].tolist():
+                a, b = root(int(comp[x])), root(int(comp[y]))
+                if a == b:
+                    continue
+                both = np.concatenate([own[x], own[y]])
+                both.sort(kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                if 100 * common >= percent * (len(both) - common):
+                    above[max(a, b)] = min(a, b)
+                    links.append((int(k[x]), int(k[y])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return many.union(few).groupBy("hub", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -272,26 +260,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
 
     every = bands(reps)
     hubs = every.groupBy("key").agg(F.min("k").alias("hub"), F.count("*").alias("c")).where("c > 1")
-    shared = scratch.table(every.join(hubs, "key").select("key", "k", "hub"), "buckets")
-    star = shared.where("k <> hub").select(F.col("hub").alias("a"), F.col("k").alias("b")).distinct()
-    sets = scratch.table(full_sets(keyed.where("k IS NOT NULL"), shared, size), "sets").dropDuplicates(["k"])
-    tested = scratch.table(verified(estimated(star, reps, threshold), sets, percent), "tested-star")
-    comps = components(tested.where("linked"), scratch, "comp-star")
-    for most in PROPOSALS:
-        members = shared.select("key", "k").join(comps, "k", "left").select(
-            "key", "k", F.coalesce("comp", "k").alias("comp"))
-        wanted = scratch.table(proposals(members, reps, most, threshold), f"wanted-{most}")
-        fresh = wanted.join(tested, ["a", "b"], "left_anti").select("a", "b")
-        if fresh.isEmpty():
-            if wanted.where("more").isEmpty():
-                break
-            continue
-        more = scratch.table(verified(fresh, sets, percent), f"tested-{most}")
-        tested = tested.union(more)
-        if not more.where("linked").isEmpty():
-            comps = components(tested.where("linked"), scratch, f"comp-{most}")
-        if wanted.where("more").isEmpty():
-            break
+    hubs = scratch.table(every.join(hubs, "key").select("hub", "k").distinct(), "hubs")
+    star = hubs.where("k <> hub").select(F.col("hub").alias("a"), F.col("k").alias("b"))
+    sets = scratch.table(full_sets(keyed.where("k IS NOT NULL"), hubs, size).dropDuplicates(["k"]), "sets")
+    links = scratch.table(verified(estimated(star, reps, threshold), sets, percent), "links")
+    comps = components(links, scratch, "star")
+    members = hubs.join(comps, "k", "left").select("hub", "k", F.coalesce("comp", "k").alias("comp"))
+    more = scratch.table(open_links(members, reps, sets, percent), "more")
+    if not more.isEmpty():
+        comps = components(links.union(more), scratch, "all")
 
     of_class = reps.select("d1", "d2", "n", F.col("k").alias("rep")).join(
         comps.withColumnRenamed("k", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("comp", "rep").alias("comp"))
