@@ -1,151 +1,163 @@
-"""Exact order statistics of one (possibly huge) group without sorting the
-group in one task.
-
-``locate_kth`` finds the key value of the k-th smallest row by narrowing:
-each level counts the rows in up to ``buckets`` equal-width key ranges with
-one aggregate (partial aggregation map-side; <= ``buckets`` result rows),
-keeps the range that holds the k-th row and recurses into it.  Only when the
-remaining range holds at most ``max_window_rows`` rows are they ranked with a
-window, so no task ever sorts more than that; a 10^12-row group needs about
-four levels.  Keys must be numeric.
+"""Exact order statistics of (possibly huge) groups without sorting a group
+in one task.  There is one algorithm per question, at every size.
+
+``locate_kth`` finds the k-th smallest key of any orderable type: each round
+picks ``PIVOTS`` rows at random, counts the rows between and at the pivots (one
+aggregate, at most 2 * PIVOTS + 1 result rows) and goes on with the range that
+holds the k-th row.  The pivots only steer the search; the result is exact.
+
+``quantiles`` locates all order statistics of all columns together by bucket
+counts over shrinking value ranges and finishes them in one aggregate over
+ranges of at most ``FINISH_ROWS`` values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WINDOW_ROWS = 1_000_000
+PIVOTS = 64
 BUCKETS = 4096
+FINISH_ROWS = 20_000     # a range this small is sorted as one array
+MAX_LEVELS = 6           # bucket levels before the pivot search takes over
 
 
-def locate_kth(rows: DataFrame, key: str, k: int, max_window_rows: int = MAX_WINDOW_ROWS,
-               buckets: int = BUCKETS):
-    """(v, n_less): v = key of the k-th smallest row (1-based), n_less =
-    number of rows with key < v.  Returns (None, n) when k > n."""
-    below = 0
-    part = rows.where(F.col(key).isNotNull())
-    while True:
-        st = part.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-        n, lo, hi = st["n"], st["lo"], st["hi"]
-        if k > n:
-            return None, below + n
-        if lo == hi:
-            return lo, below
-        width = (float(hi) - float(lo)) / buckets
-        if n <= max_window_rows or width <= 0:
-            w = Window.partitionBy(F.lit(0)).orderBy(key)
-            r = (part.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == k)
-                 .select(key).first()[0])
-            less = part.where(F.col(key) < F.lit(r)).count()
-            return r, below + less
-        b = F.least(F.floor((F.col(key).cast("double") - F.lit(float(lo))) / F.lit(width)),
-                    F.lit(buckets - 1)).cast("int")
-        hist = part.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("c")).orderBy("_b").collect()
-        cum, target = 0, hist[-1]["_b"]
-        for r in hist:
-            if cum + r["c"] >= k:
-                target = r["_b"]
-                break
-            cum += r["c"]
-        k -= cum
-        below += cum
-        part = part.where(b == F.lit(target))
+def pivots(rows: DataFrame, key: str, n: int = PIVOTS) -> list:
+    """At most ``n`` distinct keys of random rows, in order."""
+    return sorted({r[0] for r in rows.where(F.col(key).isNotNull()).select(key).orderBy(F.rand(7)).limit(n).collect()})
+
 
+def below_pivots(key, points: list):
+    """Number of (sorted) pivots below a key, by a balanced tree of comparisons;
+    0 for a null key."""
+    def tree(low, high):
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(key > F.lit(points[mid]), tree(mid + 1, high)).otherwise(tree(low, mid))
 
-def sum_first_k(rows: DataFrame, key: str, value: str, k: int, **kw) -> float:
-    """Sum of ``value`` over the k rows with the smallest (unique) ``key``."""
-    if k <= 0:
-        return 0.0
-    v, _ = locate_kth(rows, key, k, **kw)
-    cond = F.lit(True) if v is None else F.col(key) <= F.lit(v)
-    return float(rows.where(cond).agg(F.sum(value)).first()[0] or 0.0)
+    return tree(0, len(points))
 
 
-# ------------------------------------------------------------------ exact quantiles
-EXACT_MAP_MAX_ROWS = 2_000_000     # above this, never build a value->count map in one task
-FINISH_ROWS = 20_000               # a target range this small is finished on the driver
+def locate_kth(rows: DataFrame, key: str, k: int, finish_rows: int = FINISH_ROWS):
+    """(v, n_less): v = key of the k-th smallest row (1-based, nulls left out),
+    n_less = number of rows with key < v.  Returns (None, n) when k > n."""
+    below = 0
+    part = rows.where(F.col(key).isNotNull()).select(key)
+    c = F.col(key)
+    n = part.count()
+    if k > n:
+        return None, n
+    while n > finish_rows:
+        points = pivots(part, key)
+        at = below_pivots(c, points) * 2 + F.array_contains(F.array(*[F.lit(p) for p in points]), c).cast("int")
+        hist = sorted(part.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+        cum = 0
+        for b, count in hist:
+            if cum + count >= k:
+                break
+            cum += count
+        k, below, n = k - cum, below + cum, count
+        if b % 2:
+            return points[b // 2], below
+        low, high = b // 2 - 1, b // 2
+        if low >= 0:
+            part = part.where(c > F.lit(points[low]))
+        if high < len(points):
+            part = part.where(c < F.lit(points[high]))
+    keys = sorted(r[0] for r in part.collect())          # at most finish_rows
+    return keys[k - 1], below + keys.index(keys[k - 1])
 
 
-def quantiles(df: DataFrame, exprs: dict, qs, buckets: int = BUCKETS,
-              exact_map_max_rows: int = EXACT_MAP_MAX_ROWS) -> dict:
+def quantiles(df: DataFrame, exprs: dict, qs, buckets: int = BUCKETS, finish_rows: int = FINISH_ROWS) -> dict:
     """Exact linearly-interpolated quantiles (= pandas / DuckDB
-    ``quantile_cont``) of several columns or expressions.
+    ``quantile_cont``) of several columns or expressions; NaN counts as null.
 
     ``exprs``: {name: Column}; returns {name: [q-values]} (None for an empty
-    column).  Small inputs: one ``percentile`` aggregate.  Large inputs: the
-    needed order statistics are located together by bucketed narrowing -- every
-    level is ONE pass over the data that counts rows per (target, bucket)
-    (<= targets x buckets result rows), and a target is finished once its
-    candidate range holds <= FINISH_ROWS values (collected, bounded).  No task
-    ever holds a per-value map of a whole column."""
-    names = list(exprs)
-    qs = [float(q) for q in qs]
-    base = df.select(*[exprs[n].cast("double").alias(f"_q{i}") for i, n in enumerate(names)])
+    column).  One pass for counts and limits, one per bucket level (none for
+    columns of at most ``finish_rows`` values, one up to about 4 000 times
+    that), and one that sorts the remaining small ranges."""
+    names, qs = list(exprs), [float(q) for q in qs]
+    spark = df.sparkSession
+
+    def value(n):
+        x = exprs[n].cast("double")
+        return F.when(~F.isnan(x), x)
+
+    base = df.select(*[value(n).alias(f"_q{i}") for i, n in enumerate(names)])
     st = base.agg(*[e for i in range(len(names)) for e in (
         F.count(f"_q{i}").alias(f"n{i}"), F.min(f"_q{i}").alias(f"lo{i}"), F.max(f"_q{i}").alias(f"hi{i}"))]).first()
-    if max(st[f"n{i}"] for i in range(len(names))) <= exact_map_max_rows:
-        row = base.agg(*[F.percentile(f"_q{i}", F.array(*[F.lit(q) for q in qs])).alias(f"p{i}")
-                         for i in range(len(names))]).first()
-        return {n: (list(row[f"p{i}"]) if row[f"p{i}"] is not None else None) for i, n in enumerate(names)}
-    # order statistics needed: for q, positions floor(q (n-1)) and ceil(q (n-1)) (0-based)
-    targets = {}            # (col index, k 1-based) -> [lo, hi, k_rel, value or None]
+    want: dict = {}          # range id -> {"c", "lo", "hi", "n", "ks": {k in range: k in column}}
     for i in range(len(names)):
         n = st[f"n{i}"]
-        if not n:
-            continue
-        for q in qs:
-            pos = q * (n - 1)
-            for k in {int(pos // 1) + 1, min(int(-(-pos // 1)) + 1, n)}:
-                targets.setdefault((i, k), [st[f"lo{i}"], st[f"hi{i}"], k, None])
-    while any(t[3] is None for t in targets.values()):
-        open_t = [(key, t) for key, t in targets.items() if t[3] is None]
-        for key, t in open_t:
-            if t[0] == t[1]:
-                t[3] = t[0]
-        open_t = [(key, t) for key, t in open_t if t[3] is None]
-        if not open_t:
-            break
-        specs = F.array(*[F.struct(F.lit(j).alias("t"), F.lit(key[0]).alias("c"), F.lit(float(t[0])).alias("lo"),
-                                   F.lit(float(t[1])).alias("hi")) for j, (key, t) in enumerate(open_t)])
-        vals = F.array(*[F.col(f"_q{i}") for i in range(len(names))])
-        hit = F.filter(specs, lambda s: (F.element_at(vals, s["c"] + 1) >= s["lo"])
-                       & (F.element_at(vals, s["c"] + 1) <= s["hi"]))
-        ex = base.select(vals.alias("_v"), F.explode(hit).alias("_s"))
-        x = F.element_at(F.col("_v"), F.col("_s.c") + 1)
-        width = (F.col("_s.hi") - F.col("_s.lo")) / buckets
-        b = F.least(F.floor((x - F.col("_s.lo")) / width), F.lit(buckets - 1)).cast("int")
-        hist = ex.groupBy(F.col("_s.t").alias("t"), b.alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min(x).alias("mn"), F.max(x).alias("mx")).collect()
-        by_t: dict = {}
-        for r in hist:
-            by_t.setdefault(r["t"], []).append(r)
-        finish = []
-        for j, (key, t) in enumerate(open_t):
-            cum = 0
-            for r in sorted(by_t.get(j, []), key=lambda r: r["b"]):
-                if cum + r["c"] >= t[2]:
-                    t[0], t[1], t[2] = r["mn"], r["mx"], t[2] - cum
-                    if r["c"] <= FINISH_ROWS and r["mn"] != r["mx"]:
-                        finish.append((key, t))
-                    break
-                cum += r["c"]
-        for key, t in finish:           # bounded: <= FINISH_ROWS values per target
-            c = f"_q{key[0]}"
-            vals_ = sorted(r[0] for r in base.where((F.col(c) >= t[0]) & (F.col(c) <= t[1])).select(c).collect())
-            t[3] = vals_[t[2] - 1]
-    out = {}
-    for i, nm in enumerate(names):
+        if n:
+            ks = {k for q in qs for k in (math.floor(q * (n - 1)) + 1, min(math.ceil(q * (n - 1)) + 1, n))}
+            want[i] = {"c": i, "lo": st[f"lo{i}"], "hi": st[f"hi{i}"], "n": n, "ks": {k: k for k in ks}}
+    value_at: dict = {}      # (column, k) -> value
+
+    def settle(ranges):
+        out = {}
+        for g, r in ranges.items():
+            if r["lo"] == r["hi"]:
+                value_at.update({(r["c"], k): r["lo"] for k in r["ks"].values()})
+            else:
+                out[g] = r
+        return out
+
+    want = settle(want)
+    long = base.select(F.explode(F.array(*[F.struct(F.lit(i).alias("g"), F.col(f"_q{i}").alias("x"))
+                                           for i in range(len(names))])).alias("s")).select("s.g", "s.x")
+    long = long.where(F.col("x").isNotNull())
+    level = 0
+    while want and level < MAX_LEVELS and any(r["n"] > finish_rows for r in want.values()):
+        level += 1
+        # one row per range, bounded by the number of order statistics asked for
+        limits = spark.createDataFrame([(g, float(r["lo"]), float(r["hi"])) for g, r in want.items()],
+                                       "g int, lo double, hi double")
+        step = (F.col("hi") / buckets - F.col("lo") / buckets)
+        b = F.greatest(F.least(F.floor((F.col("x") - F.col("lo")) / step), F.lit(buckets - 1)), F.lit(0)).cast("int")
+        inside = long.join(F.broadcast(limits), "g").select("g", "x", b.alias("b"))
+        hist: dict = {}
+        for r in inside.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"),
+                                              F.max("x").alias("hi")).collect():
+            hist.setdefault(r["g"], []).append(r)
+        new, links = {}, []
+        for g, r in want.items():
+            cum, ks = 0, sorted(r["ks"])
+            for h in sorted(hist[g], key=lambda h: h["b"]):
+                own = {k - cum: r["ks"][k] for k in ks if cum < k <= cum + h["c"]}
+                if own:
+                    links.append((g, h["b"], len(new)))
+                    new[len(new)] = {"c": r["c"], "lo": h["lo"], "hi": h["hi"], "n": h["c"], "ks": own}
+                cum += h["c"]
+        want = settle(new)
+        links = spark.createDataFrame([x for x in links if x[2] in want], "g int, b int, g2 int")
+        long = inside.join(F.broadcast(links), ["g", "b"]).select(F.col("g2").alias("g"), "x")
+    small = {g: r for g, r in want.items() if r["n"] <= finish_rows}
+    if small:
+        asked = spark.createDataFrame([(g, sorted(r["ks"])) for g, r in small.items()], "g int, ks array<int>")
+        found = (long.join(F.broadcast(asked), "g").groupBy("g").agg(F.sort_array(F.collect_list("x")).alias("v"),
+                                                                    F.first("ks").alias("ks"))
+                 .select("g", "ks", F.transform("ks", lambda k: F.element_at("v", k)).alias("v")))
+        for r in found.collect():
+            for k, v in zip(r["ks"], r["v"]):
+                value_at[small[r["g"]]["c"], small[r["g"]]["ks"][k]] = v
+    for g, r in want.items():
+        if g not in small:   # values crowded beyond MAX_LEVELS bucket levels
+            for k, whole in r["ks"].items():
+                value_at[r["c"], whole] = locate_kth(long.where(F.col("g") == g), "x", k, finish_rows)[0]
+    out: dict = {}
+    for i, name in enumerate(names):
         n = st[f"n{i}"]
         if not n:
-            out[nm] = None
+            out[name] = None
             continue
-        res = []
+        out[name] = []
         for q in qs:
             pos = q * (n - 1)
-            k1, k2 = int(pos // 1) + 1, min(int(-(-pos // 1)) + 1, n)
-            v1, v2 = targets[(i, k1)][3], targets[(i, k2)][3]
-            frac = pos - (k1 - 1)
-            res.append(v1 + (v2 - v1) * frac if k2 != k1 else v1)
-        out[nm] = res
+            k = math.floor(pos)
+            v1, v2 = value_at[i, k + 1], value_at[i, min(math.ceil(pos) + 1, n)]
+            out[name].append(v1 + (v2 - v1) * (pos - k))
     return out

@@ -37,7 +37,7 @@ from featureforge.operators.impute import Imputer
 SEED = 42
 BASE_MODELS = ("logistic_regression", "random_forest", "xgboost", "lightgbm", "catboost",
                "naive_bayes", "extra_trees", "decision_tree")
-OPTIONAL_MODELS = ("svm", "knn")
+OPTIONAL_MODELS = ("svm",)
 
 
 def _cols(name: str) -> dict:
@@ -71,8 +71,14 @@ def make_classifier(kind: str, name: str | None = None, n_rows: int | None = Non
         preset = {"xgboost": dict(maxIter=100, maxDepth=6, stepSize=0.3, subsamplingRate=1.0, maxBins=32),
                   "lightgbm": dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=1.0, maxBins=255),
                   "catboost": dict(maxIter=100, maxDepth=6, stepSize=0.03, subsamplingRate=1.0, maxBins=64)}[kind]
-        preset.update({k: v for k, v in params.items() if k in preset or k in (
-            "validationIndicatorCol", "validationTol", "featureSubsetStrategy")})
+        known = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
+                 "subsample": "subsamplingRate", "max_bins": "maxBins", "max_features": "featureSubsetStrategy",
+                 "min_samples_leaf": "minInstancesPerNode"}
+        given = {known.get(k, k): v for k, v in params.items()}
+        allowed = {*preset, *known.values(), "validationIndicatorCol", "validationTol"}
+        if unknown := set(given) - allowed:
+            raise ValueError(f"unknown boosting parameters {sorted(unknown)}")
+        preset.update(given)
         c = dict(c)
         prob, raw = c.pop("probabilityCol"), c.pop("rawPredictionCol")
         g = GBTClassifier(seed=SEED, labelCol="label", **preset, **c)
@@ -128,17 +134,22 @@ def _svm_pipeline(features, name, **params) -> Pipeline:
 
 
 from pyspark.ml import Transformer  # noqa: E402
+from pyspark.ml.param import Param, Params, TypeConverters  # noqa: E402
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable  # noqa: E402
 
 
 class _MarginToVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    model_name = Param(Params._dummy(), "model_name", "name of the model", TypeConverters.toString)
+
     def __init__(self, name: str = "svm"):
         super().__init__()
-        self.name = name
+        self._setDefault(model_name="svm")
+        self._set(model_name=name)
 
     def _transform(self, df):
-        m = vector_to_array(F.col(f"_{self.name}_margin"))[1]
-        return VectorAssembler(inputCols=["_m"], outputCol=f"_{self.name}_mvec").transform(
+        name = self.getOrDefault(self.model_name)
+        m = vector_to_array(F.col(f"_{name}_margin"))[1]
+        return VectorAssembler(inputCols=["_m"], outputCol=f"_{name}_mvec").transform(
             df.withColumn("_m", m)).drop("_m")
 
 
@@ -228,9 +239,11 @@ def tune(train: DataFrame, features: Sequence[str], kind: str, n_trials: int = 5
     grid = rng.sample(grid, min(n_trials, len(grid)))
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=f"{kind}_raw",
                                        metricName="areaUnderROC", numBins=0)
+    own = {}
+    if fold_col and fold_col in train.columns:   # the fold column says how many folds there are
+        own["foldCol"], folds = fold_col, train.agg(F.max(fold_col)).first()[0] + 1
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism,
-                        seed=seed, **({"foldCol": fold_col} if fold_col and fold_col in train.columns
-                                      else {"numFolds": folds}))
+                        seed=seed, numFolds=folds, **own)
     cvm = cv.fit(train)
     spark = train.sparkSession
     rows = [(i, str({p.name: v for p, v in pm.items()}), float(m)) for i, (pm, m) in enumerate(

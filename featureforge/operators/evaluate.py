@@ -7,11 +7,11 @@ are evaluated in ONE job per metric family (V18).
 Counting metrics are one grouped aggregate.  Ranking metrics (AUC, average
 precision, ROC, gains, calibration) first reduce the rows to a score
 histogram (G5: one row per (keys, distinct score) with positive/negative
-counts; partial aggregation map-side); the cumulative windows then run over
-distinct scores only.  When a key has more than ``max_distinct`` distinct
-scores the histogram is built on scores rounded to ``quantize`` decimals
-(stated approximation, all rows kept).  Only the rows of the boundary score
-groups of the gains curve (at most 10 per key) are ranked individually.
+counts; partial aggregation map-side).  Cumulative sums run over distinct
+scores in two parts, so no task holds all scores of a key: sums per range
+bucket (at most ``CUM_BUCKETS`` rows per key) give each bucket's offset, and
+windows run inside the buckets.  Only the rows of the boundary score groups of
+the gains curve (at most 10 per key) are ranked individually, split at pivots.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ CHURN_COST = 500
 AVG_CLV = 1200
 LOG_LOSS_EPS = 2.220446049250313e-16     # float64 machine epsilon (probability clip)
 # ---------------------------------------------------------------------------
-MAX_DISTINCT_SCORES = 2_000_000
+CUM_BUCKETS = 4096       # range buckets of a key's scores
+TIE_PIVOTS = 64          # ranges that the ids of boundary score groups are split into
 
 
 def _div0(a, b) -> Column:
@@ -84,40 +85,51 @@ def classification_metrics(pred: DataFrame, keys: Sequence[str] = (), **cols) ->
 
 # ------------------------------------------------------------------ histogram
 def score_histogram(pred: DataFrame, keys: Sequence[str] = (), label: str = "label",
-                    prob: str = "p1", max_distinct: int = MAX_DISTINCT_SCORES,
-                    quantize: int = 6) -> DataFrame:
-    """(keys, score, pos, neg, cnt): one row per distinct score."""
+                    prob: str = "p1") -> DataFrame:
+    """(keys, score, pos, neg, cnt): one row per distinct score; a NaN score
+    counts as missing."""
     y = _y(label)
-
-    def build(score):
-        return pred.groupBy(*keys, score.alias("score")).agg(
-            F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"),
-            F.count(F.lit(1)).alias("cnt"))
-    from pyspark import StorageLevel
-    # the histogram is bounded (<= max_distinct rows per key once checked): it
-    # is persisted so the check below and every ranking metric share ONE pass
-    # over the predictions
-    h = build(F.col(prob).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
-    if max_distinct is not None:
-        st = h.groupBy(*keys).agg(F.count(F.lit(1)).alias("d"), F.max("cnt").alias("g")) \
-              .agg(F.max("d"), F.max("g")).first()
-        widest, biggest = st[0] or 0, st[1] or 0
-        if widest > max_distinct:
-            h.unpersist()
-            h = build(F.round(F.col(prob).cast("double"), quantize)).persist(StorageLevel.MEMORY_AND_DISK)
-            h._ff_quantize = quantize          # read by cumulative_gains
-        h._ff_max_group = biggest              # largest tie group (read by cumulative_gains)
-    return h
+    p = F.col(prob).cast("double")
+    return pred.groupBy(*keys, F.when(~F.isnan(p), p).alias("score")).agg(
+        F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg"),
+        F.count(F.lit(1)).alias("cnt"))
 
 
 def _cum(h: DataFrame, keys, ascending: bool):
-    o = F.col("score").asc() if ascending else F.col("score").desc()
-    w = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*keys)
-    return (h.withColumn("cpos", F.sum("pos").over(w)).withColumn("cneg", F.sum("neg").over(w))
-             .withColumn("ccnt", F.sum("cnt").over(w))
-             .withColumn("P", F.sum("pos").over(tot)).withColumn("Nn", F.sum("neg").over(tot))
-             .withColumn("total", F.sum("cnt").over(tot)))
+    """Running and total sums in score order.  The plan is the same for both
+    orders (descending sums are what the ascending ones leave), so metrics of one
+    job share its exchanges."""
+    keys = list(keys)
+    sums = ("pos", "neg", "cnt")
+    whole = (h.groupBy(*keys) if keys else h.groupBy(F.lit(0).alias("_all"))).agg(
+        F.min("score").alias("_lo"), F.max("score").alias("_hi"), F.sum("pos").alias("P"),
+        F.sum("neg").alias("Nn"), F.sum("cnt").alias("total"))
+    if not keys:
+        whole = whole.drop("_all")
+    for i, k in enumerate(keys):
+        whole = whole.withColumnRenamed(k, f"_w{i}")
+    # one row per key: bounded
+    whole = F.broadcast(whole)
+    cond = [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(keys)]
+    j = h.join(whole, cond) if keys else h.crossJoin(whole)
+    j = j.select(*h.columns, "_lo", "_hi", "P", "Nn", "total")
+    place = (F.col("score") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    b = F.coalesce(F.floor(F.least(place, F.lit(1.0)) * (CUM_BUCKETS - 1)), F.lit(0)).cast("int")
+    b = F.when(F.col("_hi") > F.col("_lo"), b).otherwise(F.lit(0))
+    j = j.withColumn("_b", b).drop("_lo", "_hi")
+    g = [*[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")).alias(f"_k{i}") for i, k in enumerate(keys)]]
+    names = [f"_k{i}" for i in range(len(keys))]
+    j = j.select("*", *g)
+    w_b = Window.partitionBy(*names).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (j.groupBy(*names, "_b").agg(*[F.sum(c).alias(f"_o{c}") for c in sums])
+               .select(*names, "_b", *[F.coalesce(F.sum(f"_o{c}").over(w_b), F.lit(0)).alias(f"_s{c}") for c in sums]))
+    w = Window.partitionBy(*names, "_b").orderBy(F.col("score").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    run = j.select("*", *[F.sum(c).over(w).alias(f"_r{c}") for c in sums]).join(offsets, [*names, "_b"])
+    up = {c: F.col(f"_r{c}") + F.col(f"_s{c}") for c in sums}
+    if not ascending:
+        whole_of = {"pos": "P", "neg": "Nn", "cnt": "total"}
+        up = {c: F.col(whole_of[c]) - up[c] + F.col(c) for c in sums}
+    return run.select(*h.columns, *[e.alias(f"c{c}") for c, e in up.items()], "P", "Nn", "total")
 
 
 def roc_auc(hist: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -180,31 +192,24 @@ def cumulative_gains(pred: DataFrame, hist: DataFrame, keys: Sequence[str] = (),
                  before.alias("cnt_before"), size.alias("size"),
                  F.explode(F.sequence(F.col("_lo").cast("int"), F.col("_hi").cast("int"))).alias("decile"))
          .withColumn("need", F.col("decile") * F.col("size") - F.col("cnt_before")))
-    # rows of the boundary score groups only (<= deciles per key), ranked by id in their group
+    # Rows of the boundary score groups only (<= deciles per key), ranked by id.
+    # A tie group may hold most rows: its ids are split at pivots, whole ranges
+    # are summed, and only the range with the cut is ranked.
+    from featureforge.functions.rank import below_pivots, pivots
     bscores = b.select(*keys, "score").distinct()
     rows = pred.select(*keys, F.col(prob).cast("double").alias("score"), F.col(id_col).alias("_id"),
-                       _y(label).alias("_y"))
-    q = getattr(hist, "_ff_quantize", None)
-    if q is not None:
-        rows = rows.withColumn("score", F.round("score", q))
-    from featureforge.functions.rank import MAX_WINDOW_ROWS, sum_first_k
-    if (getattr(hist, "_ff_max_group", 0) or 0) > MAX_WINDOW_ROWS:
-        # a huge tie group: exact first-k sums by bucketed narrowing, no big window
-        parts = []
-        for r in b.collect():                                   # <= deciles rows per key
-            cond = F.col("score") == F.lit(r["score"])
-            for k_ in keys:
-                cond = cond & (F.col(k_) == F.lit(r[k_]))
-            parts.append((*[r[k_] for k_ in keys], int(r["decile"]),
-                          sum_first_k(rows.where(cond), "_id", "_y", int(r["need"]))))
-        schema = ", ".join([f"`{k_}` {dict(pred.dtypes)[k_]}" for k_ in keys] + ["decile int", "part double"])
-        partial = pred.sparkSession.createDataFrame(parts, schema)
-    else:
-        rows = rows.join(F.broadcast(bscores), [*keys, "score"])
-        w = Window.partitionBy(*keys, "score").orderBy("_id")
-        ranked = rows.withColumn("_r", F.row_number().over(w))
-        partial = (b.join(ranked, [*keys, "score"]).where(F.col("_r") <= F.col("need"))
-                   .groupBy(*keys, "decile").agg(F.sum("_y").alias("part")))
+                       _y(label).alias("_y")).join(F.broadcast(bscores), [*keys, "score"])
+    rows = rows.withColumn("_p", below_pivots(F.col("_id"), pivots(pred, id_col, TIE_PIVOTS)))
+    ranges = rows.groupBy(*keys, "score", "_p").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"))
+    w = Window.partitionBy(*keys, "score").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(*keys, "score", "_p", "_n", "_s", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    cut = b.join(ranges, [*keys, "score"]).withColumn("_left", F.col("need") - F.col("_before"))
+    whole = (cut.where(F.col("_left") >= F.col("_n")).groupBy(*keys, "decile").agg(F.sum("_s").alias("part")))
+    inner = cut.where((F.col("_left") > 0) & (F.col("_left") < F.col("_n"))).select(*keys, "score", "_p", "decile", "_left")
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "score", "_p").orderBy("_id")))
+    some = (ranked.join(F.broadcast(inner), [*keys, "score", "_p"]).where(F.col("_r") <= F.col("_left"))
+            .groupBy(*keys, "decile").agg(F.sum("_y").alias("part")))
+    partial = whole.unionByName(some).groupBy(*keys, "decile").agg(F.sum("part").alias("part"))
     tot = hist.groupBy(*keys).agg(F.sum("pos").alias("P_all")) if keys else hist.agg(F.sum("pos").alias("P_all"))
     cuts = tot.select(*keys, "P_all", F.explode(F.sequence(F.lit(1), F.lit(deciles))).alias("decile"))
     g = (cuts.join(b.select(*keys, "decile", "pos_before"), [*keys, "decile"], "left")

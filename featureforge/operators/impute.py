@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureforge.functions.exprs import numeric_cols, string_cols
+from featureforge.functions.rank import below_pivots, pivots
 from featureforge.ml.base import StatsEstimator, StatsModel
 
 UNKNOWN = "Unknown"
@@ -120,6 +121,10 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
     return df.dropna(how="any", subset=list(subset) if subset else None)
 
 
+SLICE_ROWS = 200_000
+MAX_SLICES = 1024
+
+
 def interpolate_numeric(df: DataFrame, column: str, order_by: str | Sequence[str],
                         partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Linear interpolation between the neighbouring non-null values in
@@ -127,18 +132,23 @@ def interpolate_numeric(df: DataFrame, column: str, order_by: str | Sequence[str
     pandas' ``linear``); leading nulls stay null, trailing nulls take the
     last value.
 
-    Hot entities are split: the rows are range-partitioned on (entity,
-    order) so one entity can span many slices; each slice computes local
-    positions and running neighbours with windows over (entity, slice); a
+    Hot entities are split: literal cut points in the first order column (keys
+    of random rows, about one per ``SLICE_ROWS`` rows) give every row a slice by
+    its value alone, so every evaluation of the plan agrees; each slice computes
+    local positions and running neighbours with windows over (entity, slice); a
     per-(entity, slice) summary (count, first / last non-null value and
     position) gives each slice its global offset and the neighbours carried
     over from earlier / later slices.  No task ever holds a whole entity."""
     keys = list(partition_by)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_slices = slices or min(df.count() // SLICE_ROWS + 8, MAX_SLICES)
     x = F.col(column)
-    sl = df.repartitionByRange(n_slices, *[F.col(k) for k in keys], *[F.col(o) for o in order]) \
-           .withColumn("_sl", F.spark_partition_id())
+    first = F.col(order[0])
+    key = F.when(~F.isnan(first), first) if dict(df.dtypes)[order[0]] in ("double", "float") else first
+    points = pivots(df.select(key.alias("_o")), "_o", n_slices - 1)
+    # a NaN sorts after every number, a null before
+    at = F.when(first.isNotNull() & key.isNull(), F.lit(len(points))).otherwise(below_pivots(key, points))
+    sl = df.withColumn("_sl", at)
     grp = [*keys, "_sl"]
     w_pos = Window.partitionBy(*grp).orderBy(*[F.col(o).asc() for o in order])
     staged = sl.withColumn("_lp", F.row_number().over(w_pos))
@@ -167,7 +177,10 @@ def interpolate_numeric(df: DataFrame, column: str, order_by: str | Sequence[str
                 .withColumn("_dv", F.first("_fv", True).over(w_after))
                 .withColumn("_dp", F.first("_g_fp", True).over(w_after))
                 .select(*grp, "_off", "_cv", "_cp", "_dv", "_dp"))
-    j = staged.join(summ, [*grp] if grp else None)
+    # entities may be null
+    for i, g in enumerate(grp):
+        summ = summ.withColumnRenamed(g, f"_g{i}")
+    j = staged.join(summ, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(grp)])
     pos = F.col("_off") + F.col("_lp")
     pv = F.coalesce(F.col("_pv"), F.col("_cv"))
     pp = F.coalesce(F.col("_off") + F.col("_pp"), F.col("_cp"))

@@ -191,7 +191,9 @@ class FeatureSelector(StatsEstimator):
                 report.append({"stage": name, "feature": r["feature"], "score": r["score"],
                                "removed": not r["selected"]})
             ok = {r["feature"] for r in ranked if r["selected"]}
-            keep = [c for c in keep if c in ok]
+            scored = {r["feature"] for r in ranked}
+            # features that the score cannot rank (text) stay
+            keep = [c for c in keep if c in ok or c not in scored]
         for r in report:
             if isinstance(r["score"], float) and math.isnan(r["score"]):
                 r["score"] = None

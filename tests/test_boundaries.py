@@ -131,3 +131,15 @@ def test_interpolation_hot_entity_split_across_slices(spark):
     assert got.isna().sum() == 3                                   # leading nulls stay null
     pd.testing.assert_series_equal(got.reset_index(drop=True), ref.reset_index(drop=True),
                                    check_names=False, atol=1e-9)
+
+
+def test_interpolation_with_a_payload_column(spark):
+    """Slices depend on values only: a kept column that is neither key nor order changes nothing."""
+    n = 60_000
+    d = spark.range(n).select(F.lit(1).alias("user"), F.col("id").alias("t"), F.md5(F.col("id").cast("string")).alias("payload"),
+                              F.when(F.col("id") % 7 == 0, None).otherwise((F.col("id") * 1.5) % 97).alias("v"))
+    out = I.interpolate_numeric(d.repartition(13), "v", "t", ["user"], slices=40)
+    got = out.orderBy("t").toPandas()
+    ref = d.orderBy("t").toPandas()["v"].interpolate(method="linear", limit_direction="forward")
+    assert (got["v"].fillna(-1) - ref.fillna(-1)).abs().max() < 1e-9
+    assert got["payload"].notna().all()

@@ -40,27 +40,50 @@ def test_time_split_boundary(spark):
     assert sorted(r["id"] for r in s) == list(range(80, 100))
 
 
-def test_locate_kth_and_big_tie_gains(spark):
-    from featureforge.functions.rank import locate_kth, sum_first_k
+def test_locate_kth_of_any_type(spark):
+    from featureforge.functions.rank import locate_kth
+    d = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"), (F.col("id") % 3).alias("tie"),
+                                 F.format_string("id-%05d", F.col("id") * 7 % 5000).alias("s"))
+    assert locate_kth(d, "k", 1234, finish_rows=100) == (1233, 1233)
+    assert locate_kth(d, "s", 1234, finish_rows=100) == ("id-01233", 1233)
+    assert locate_kth(d, "tie", 2000, finish_rows=100) == (1, 1667)
+    assert locate_kth(d, "k", 5001, finish_rows=100) == (None, 5000)
+
+
+def test_time_split_with_text_ids_and_one_time(spark, monkeypatch):
+    import featureforge.functions.rank as RK
+    monkeypatch.setattr(RK.locate_kth, "__defaults__", (50,))
+    d = spark.range(1000).select(F.format_string("c%04d", F.col("id")).alias("id"),
+                                 F.timestamp_seconds(F.lit(1_700_000_000)).alias("ts"))
+    s = T.time_split(d, "ts", "id", 0.2).where("split = 'test'").collect()
+    assert sorted(r["id"] for r in s) == [f"c{i:04d}" for i in range(800, 1000)]
+
+
+def test_gains_of_one_tie_group_with_text_ids(spark):
+    """The boundary group holds every row; order by id decides."""
     from featureforge.operators import evaluate as V
-    d = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"), (F.col("id") % 2).alias("v"))
-    v, less = locate_kth(d, "k", 1234, max_window_rows=100, buckets=8)
-    assert (v, less) == (1233, 1233)
-    assert sum_first_k(d, "k", "v", 10, max_window_rows=50, buckets=4) == sum(
-        r["v"] for r in d.orderBy("k").limit(10).collect())
-    # one tie group holding every row: narrowing path equals the window path
-    p = spark.range(2000).select("id", (F.col("id") % 3 == 0).cast("int").alias("label"),
+    p = spark.range(2000).select(F.format_string("c%04d", F.col("id")).alias("id"),
+                                 (F.col("id") % 3 == 0).cast("int").alias("label"),
                                  F.lit(0.5).alias("p1"), F.lit(1).alias("prediction"))
+    got = {r["decile"]: r["gain"] for r in V.cumulative_gains(p, V.score_histogram(p)).collect()}
+    for d in range(1, 11):
+        assert got[d] == pytest.approx(sum(i % 3 == 0 for i in range(200 * d)) / 667)
+
+
+def test_close_scores_are_not_merged(spark):
+    from featureforge.operators import evaluate as V
+    p = spark.range(20000).select("id", (F.col("id") >= 10000).cast("int").alias("label"),
+                                  (F.lit(0.5) + F.col("id") * 1e-9).alias("p1"), F.lit(1).alias("prediction"))
     h = V.score_histogram(p)
-    lazy = sorted(tuple(r) for r in V.cumulative_gains(p, h).collect())
-    import featureforge.functions.rank as RK
-    old = RK.MAX_WINDOW_ROWS
-    RK.MAX_WINDOW_ROWS = 100
-    try:
-        eager = sorted(tuple(r) for r in V.cumulative_gains(p, h).collect())
-    finally:
-        RK.MAX_WINDOW_ROWS = old
-    assert lazy == eager
+    assert V.roc_auc(h).first()["roc_auc"] == 1.0
+    assert V.average_precision(h).first()["precision_recall_auc"] == pytest.approx(1.0)
+    assert V.ks_statistic(h).first()["ks"] == pytest.approx(1.0)
+
+
+def test_nan_is_null_in_quantiles(spark):
+    from featureforge.functions.rank import quantiles
+    d = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert quantiles(d, {"x": F.col("x")}, [0.5])["x"] == [2.0]
 
 
 def test_exact_quantiles_by_narrowing_match_percentile(spark):
@@ -69,7 +92,8 @@ def test_exact_quantiles_by_narrowing_match_percentile(spark):
                                   F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 13).alias("b"))
     qs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
     exprs = {"a": F.col("a"), "b": F.col("b"), "d": F.abs(F.col("a") - 100)}
-    small = quantiles(d, exprs, qs)                              # one percentile aggregate
-    big = quantiles(d, exprs, qs, buckets=16, exact_map_max_rows=10)   # forced narrowing
-    for k in exprs:
-        assert big[k] == pytest.approx(small[k], abs=1e-9)
+    small = d.agg(*[F.percentile(x, F.array(*map(F.lit, qs))).alias(k) for k, x in exprs.items()]).first()
+    for buckets, finish in ((4096, 20_000), (16, 10), (2, 10)):
+        big = quantiles(d, exprs, qs, buckets=buckets, finish_rows=finish)
+        for k in exprs:
+            assert big[k] == pytest.approx(small[k], abs=1e-9)
