@@ -6,9 +6,10 @@ randomised groups of documents of bounded size, and each group is packed on
 its own by first-fit decreasing, with a tournament tree of bin capacities that
 finds the first bin with room in O(log bins).
 
-Texts are encoded in parts that start at a space between two characters that
-are no white space, where the tokenizer's pattern always starts a new word, so
-that equal parts of a task are encoded once.
+Texts are encoded in parts, cut where the tokenizer's pattern always starts a
+new word: at a space or line break between two characters that are no white
+space, after such a line break, and between an ASCII letter and an ASCII sign.
+Equal parts of a task are encoded once.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed like others; only the id and text columns are read, so extra columns
@@ -32,12 +33,16 @@ from featureforge.llm.words import blocks, utf8
 CAPACITY = 1024
 #: Pieces of a group on average (what one task packs at a time).
 GROUP_PIECES = 4096
-#: Distinct parts whose ids a task remembers (about 100 MB).
-MEMORY_PARTS = 400_000
+#: Distinct parts whose ids a task remembers (about 150 MB).
+MEMORY_PARTS = 800_000
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[9, 10, 11, 12, 13, 32, 28, 29, 30, 31]] = True
 
+_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_SIGN[33:48] = _SIGN[58:65] = _SIGN[91:97] = _SIGN[123:127] = True
+
 
 class PartEncoder:
     """Ids of text parts, remembered for the parts seen in this task."""
@@ -46,6 +51,11 @@ class PartEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # no cut may fall into a special string
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cuts = not any(c.isspace() for t in special for c in t)
+        self.sign = _SIGN.copy()
+        self.sign[[ord(b) for t in special for a, b in zip(t, t[1:]) if a.isascii() and a.isalpha() and ord(b) < 256]] = False
         self.forget()
 
     def forget(self) -> None:
@@ -79,13 +89,20 @@ class PartEncoder:
         if len(data) == 0:
             return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
         start = np.zeros(len(data), bool)
-        if len(data) > 2:
+        if len(data) > 2 and self.cuts:
             plain = ~_BREAK[data]
             # a character of two or three bytes that may be white space
             wide = np.zeros(len(data), bool)
             wide[1:] = data[:-1] == 0xC2
             wide[2:] |= (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3) & (data[1:-1] >= 0x80) & (data[1:-1] <= 0x9A)
-            start[1:-1] = (data[1:-1] == 32) & plain[2:] & plain[:-2] & ~wide[:-2]
+            after_plain = plain[:-2] & ~wide[:-2]
+            start[1:-1] = (data[1:-1] == 32) & plain[2:] & after_plain
+            # a line break between two such characters is a word of its own
+            line = (data[1:-1] == 10) & (data[2:] < 128) & plain[2:] & (data[:-2] < 128) & plain[:-2]
+            start[1:-1] |= line
+            start[2:] |= line
+            # so is what follows a run of ASCII letters if it is an ASCII sign
+            start[1:] |= _LETTER[data[:-1]] & self.sign[data[1:]]
         last = off[1:] - 1
         start[last[last >= 0]] = False
         inner = off[:-1]
