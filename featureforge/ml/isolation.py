@@ -116,7 +116,7 @@ class IsolationForestFlag(StatsEstimator):
         fill = {f: float(stats[f]) if stats[f] is not None else 0.0 for f in feats}
         p = min(1.0, 1.5 * SAMPLE / max(n, 1))
         picks = F.filter(F.sequence(F.lit(0), F.lit(T - 1)),
-                         lambda t: (F.abs(F.xxhash64(F.col(cfg["id_col"]), F.lit(seed), t)) % 1_000_000) / 1e6 < p)
+                         lambda t: F.pmod(F.xxhash64(F.col(cfg["id_col"]), F.lit(seed), t), F.lit(1 << 50)) < int(p * (1 << 50)))
         sampled = df.select(*feats, cfg["id_col"]).withColumn("tree_id", F.explode(picks))
         psi = min(SAMPLE, n)
         depth = int(math.ceil(math.log2(max(psi, 2))))

@@ -25,9 +25,9 @@ SMALL = ["tenure", "monthly_charges", "total_charges", "CLV_estimate", "total_se
 
 @register("l7_rfe", digits=None)
 def q_rfe(spark, sf):
-    """Forest RFE down to 5 of 10 features."""
+    """Forest RFE down to 10 of all 20 features."""
     train, _ = _split(spark, sf)
-    return L.rfe(train, SMALL, 5, step=1, trees=30)
+    return L.rfe(train, FEATURES, 10, step=1, trees=30)
 
 
 @register("l8_rfe_cv", digits=None)
@@ -41,8 +41,8 @@ def q_rfe_cv(spark, sf):
 def q_sfm(spark, sf):
     """Forest importance >= mean, and lasso |coef| >= median."""
     train, _ = _split(spark, sf)
-    rf = L.select_from_model(train, SMALL, "random_forest", "mean").withColumn("estimator", F.lit("random_forest"))
-    la = L.select_from_model(train, SMALL, "lasso", "median").withColumn("estimator", F.lit("lasso"))
+    rf = L.select_from_model(train, FEATURES, "random_forest", "mean").withColumn("estimator", F.lit("random_forest"))
+    la = L.select_from_model(train, FEATURES, "lasso", "median").withColumn("estimator", F.lit("lasso"))
     return rf.unionByName(la)
 
 
@@ -99,40 +99,40 @@ def q_ens_sel(spark, sf):
 def q_p2_lin(spark, sf):
     """P2 (linear, exact given the fit): mean |beta (x - mean)| on test rows."""
     train, test = _split(spark, sf)
-    m = M.make_pipeline("logistic_regression", SMALL).fit(train)
-    return P.linear_global_importance(m, test, SMALL)
+    m = M.make_pipeline("logistic_regression", FEATURES).fit(train)
+    return P.linear_global_importance(m, test, FEATURES)
 
 
 @register("p2_permutation_importance", digits=None)
 def q_p2_perm(spark, sf):
     """P2 (any model): AUC drop of a decision tree under bucketed permutation."""
     train, test = _split(spark, sf)
-    m = M.make_pipeline("decision_tree", SMALL).fit(train)
-    return P.permutation_importance(m, test, SMALL[:5], "decision_tree", "id")
+    m = M.make_pipeline("decision_tree", FEATURES).fit(train)
+    return P.permutation_importance(m, test, FEATURES, "decision_tree", "id")
 
 
 @register("p3_local_explanations", digits=None)
 def q_p3(spark, sf):
     """LIME-style explanations of 5 sampled test rows, top 10 weights."""
     train, test = _split(spark, sf)
-    m = M.make_pipeline("logistic_regression", SMALL).fit(train)
+    m = M.make_pipeline("logistic_regression", FEATURES).fit(train)
     rows = row_sample(test, "id", 5, 42)
-    return P.local_explanations(m, rows, train, SMALL, "logistic_regression", "id", n_samples=300)
+    return P.local_explanations(m, rows, train, FEATURES, "logistic_regression", "id")
 
 
 @register("o5_isolation_forest_flag", digits=None)
 def q_o5(spark, sf):
-    """Isolation forest (50 trees, contamination 0.1) on customer numerics."""
+    """Isolation forest (100 trees, contamination 0.1) on customer numerics."""
     fm = churn_features(spark, sf)
     feats = ["tenure", "monthly_charges", "total_charges", "CLV_estimate"]
-    model = IsolationForestFlag(feats, "customer_id", n_trees=50, contamination=0.1).fit(fm)
+    model = IsolationForestFlag(feats, "customer_id", n_trees=100, contamination=0.1).fit(fm)
     return model.transform(fm.select("customer_id", *feats)).select("customer_id", "outlier_score", "is_outlier")
 
 
 @register("i5_iterative_impute", digits=None)
 def q_i5(spark, sf):
-    """Round-robin ridge imputation of the dirty numerics (max 5 rounds)."""
+    """Round-robin ridge imputation of the dirty numerics (max 10 rounds)."""
     d = customer_360_dirty(spark, sf)
     d = d.select(R.id, F.col("senior").cast("double").alias("senior"), F.col("tenure").cast("double").alias("tenure"),
                  "monthly_charges", F.trim("total_charges").try_cast("double").alias("total_charges"))
-    return iterative_impute(d, ["senior", "tenure", "monthly_charges", "total_charges"], max_iter=5)
+    return iterative_impute(d, ["senior", "tenure", "monthly_charges", "total_charges"], max_iter=10)

@@ -19,18 +19,24 @@ from featureforge.plans.catalog.evaluate import MODELS, SCORED_CTE, scored
 from featureforge.plans.datasets import FEATURES, churn_features
 from featureforge.plans.registry import register
 from featureforge.session import scratch_path
-from featureforge.sources.tables import with_c360
+from featureforge.sources.tables import shared, with_c360
 from featureforge.streaming import score as D
 
 LIGHT = ("logistic_regression", "random_forest", "naive_bayes", "decision_tree", "extra_trees")
 
 
 def _split(spark, sf):
+    """Train and test rows with folds; the assembled frame is persisted once per
+    session, since every fit of the model queries reads it."""
+    sp = shared(spark, ("model_rows", os.path.abspath(sf)), lambda: _model_rows(spark, sf))
+    return sp.where("split = 'train'"), sp.where("split = 'test'")
+
+
+def _model_rows(spark, sf):
     fm = churn_features(spark, sf).withColumnRenamed("customer_id", "id")
     sp = T.train_test_split(fm, "id", "label", 0.2, 42)
     folds = T.stratified_kfold(fm.select("id", "label"), "id", "label", 3, 42).select("id", "fold")
-    sp = sp.join(folds, "id")
-    return sp.where("split = 'train'"), sp.where("split = 'test'")
+    return sp.join(folds, "id")
 
 
 @register("m1_m11_baseline_models", digits=None)
@@ -97,9 +103,9 @@ def q_stacking(spark, sf):
 
 @register("m16_bagging", digits=None)
 def q_bagging(spark, sf):
-    """3 bootstrap decision trees, mean probability."""
+    """10 bootstrap decision trees, mean probability."""
     train, test = _split(spark, sf)
-    bag = M.bagging(train, FEATURES, "decision_tree", n=3)
+    bag = M.bagging(train, FEATURES, "decision_tree", n=10)
     out = M.bagging_predict(bag, test)
     return out.select("id", "label", "bagging_ensemble_p1", "bagging_ensemble_prediction")
 
