@@ -1,6 +1,6 @@
 """Spark ML Estimator/Model pairs whose fitted state is a small JSON document.
 
-``fit`` runs ONE bounded statistics job (a fused aggregate, or a long-format
+``fit`` runs a few bounded statistics jobs (fused aggregates, or a long-format
 value count filtered by a cardinality guard) and freezes the result; the
 model's ``transform`` is a lazy projection with literals, so it adds no job
 and no shuffle and can be applied to a stream.  Both classes are
