@@ -8,6 +8,8 @@ the cluster, and only the values of columns that pass the guard
 (distinct <= ``max_categories`` and distinct / rows <= ``max_unique_ratio``)
 are collected, so the driver receives at most
 ``max_categories x n_columns`` rows.  Id-like columns are never expanded.
+``max_categories=None`` encodes columns of any cardinality (E2-E4): the mapping
+is a table in the shared scratch folder and encoding is a join with it.
 ``min_dummy_variance`` (G2) drops a dummy before it exists when its
 population variance p(1-p) is below the threshold.
 """
@@ -15,13 +17,16 @@ population variance p(1-p) is below the threshold.
 from __future__ import annotations
 
 import math
+import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureforge.functions.exprs import long_format, string_cols
+from featureforge.functions.rank import below_pivots, pivots
 from featureforge.ml.base import StatsEstimator, StatsModel
+from featureforge.session import scratch_path
 
 NULL_LABEL = "nan"       # label-encoding name of a missing value (text form of NaN)
 
@@ -64,6 +69,37 @@ def category_counts(df: DataFrame, cols: Sequence[str], max_categories: int,
     return vals, card_rows, n_rows
 
 
+# ------------------------------------------------------------------ mapping tables
+def _save_mapping(mapping: DataFrame) -> str:
+    path = scratch_path(mapping.sparkSession, f"encode-{uuid.uuid4().hex}")
+    mapping.write.parquet(path)
+    return path
+
+
+def _text(c: str):
+    """Label text of a value, a null counting as 'nan'."""
+    return F.coalesce(F.col(c).cast("string"), F.lit(NULL_LABEL))
+
+
+def label_table(df: DataFrame, c: str) -> DataFrame:
+    """(value, code): rank of each distinct text.  Texts are ranked inside
+    ranges cut at random pivots, so no task sorts them all."""
+    values = df.select(_text(c).alias("value")).distinct()
+    values = values.withColumn("_p", below_pivots(F.col("value"), pivots(values, "value", 256)))
+    w = Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = values.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).select(      # at most 257 rows
+        "_p", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_off"))
+    inner = F.row_number().over(Window.partitionBy("_p").orderBy("value")) - 1
+    return values.withColumn("_r", inner).join(F.broadcast(offsets), "_p").select(
+        "value", (F.col("_off") + F.col("_r")).cast("int").alias("code"))
+
+
+def _with_mapping(df: DataFrame, c: str, path: str, key, value: str) -> DataFrame:
+    """``df`` with column ``_map_<c>``: the mapped value of ``key`` or null."""
+    mapping = df.sparkSession.read.parquet(path).select(F.col("value").alias(f"_key_{c}"), F.col(value).alias(f"_map_{c}"))
+    return df.join(mapping, key == F.col(f"_key_{c}"), "left").drop(f"_key_{c}")
+
+
 # ------------------------------------------------------------------ E1
 class OneHotModel(StatsModel):
     def apply(self, df, cfg, st):
@@ -114,6 +150,9 @@ class OneHotEncoder(StatsEstimator):
                 names = [v for v in names if f"{c}_{v}" in kept]
             levels[c] = names
         skipped = [c for c in cols if c not in vals]
+        if cfg["cols"] is not None and skipped:
+            raise ValueError(f"columns {skipped} have more categories than one-hot encoding allows "
+                             f"(max_categories={cfg['max_categories']}, max_unique_ratio={cfg['max_unique_ratio']})")
         return {"levels": levels, "skipped": skipped, "cardinality": card,
                 "dropped_low_variance": dropped_low_var}
 
@@ -121,27 +160,33 @@ class OneHotEncoder(StatsEstimator):
 # ------------------------------------------------------------------ E2 / E4
 class LabelModel(StatsModel):
     def apply(self, df, cfg, st):
-        codes = st["codes"]
+        codes, tables = st["codes"], st.get("tables", {})
+        columns = df.columns
+        for c, path in tables.items():
+            df = _with_mapping(df, c, path, _text(c), "code")
         out = []
-        for c in df.columns:
+        for c in columns:
+            if c in tables:
+                out += self._columns(c, F.col(f"_map_{c}"), cfg, st)
+                continue
             if c not in codes:
                 out.append(F.col(c))
                 continue
-            key = F.coalesce(F.col(c).cast("string"), F.lit(NULL_LABEL))
+            key = _text(c)
             e = None
             for v, i in codes[c].items():
                 e = F.when(key == F.lit(v), F.lit(i)) if e is None else e.when(key == F.lit(v), F.lit(i))
-            code = e if e is not None else F.lit(None).cast("int")
-            if cfg.get("binary"):
-                bits = st["bits"][c]
-                for b in range(bits):
-                    shift = bits - 1 - b
-                    out.append(F.coalesce(F.shiftright(code + 1, shift).bitwiseAND(1), F.lit(0))
-                               .cast("int").alias(f"{c}_{b}"))
-            else:
-                out.append(code.cast("int").alias(c))
+            out += self._columns(c, e if e is not None else F.lit(None).cast("int"), cfg, st)
         return df.select(*out)
 
+    @staticmethod
+    def _columns(c, code, cfg, st):
+        if not cfg.get("binary"):
+            return [code.cast("int").alias(c)]
+        bits = st["bits"][c]
+        return [F.coalesce(F.shiftright(code + 1, bits - 1 - b).bitwiseAND(1), F.lit(0)).cast("int").alias(f"{c}_{b}")
+                for b in range(bits)]
+
 
 class LabelEncoder(StatsEstimator):
     """code = rank of the value's text among the sorted distinct texts,
@@ -152,13 +197,18 @@ class LabelEncoder(StatsEstimator):
     model_class = LabelModel
 
     def __init__(self, cols: Sequence[str] | None = None, exclude: Sequence[str] = (),
-                 max_categories: int = 50, max_unique_ratio: float = 0.9, binary: bool = False):
+                 max_categories: int | None = 50, max_unique_ratio: float = 0.9, binary: bool = False):
         super().__init__(cols=list(cols) if cols is not None else None, exclude=list(exclude),
                          max_categories=max_categories, max_unique_ratio=max_unique_ratio,
                          binary=binary)
 
     def compute(self, df, cfg):
         cols = cfg["cols"] if cfg["cols"] is not None else string_cols(df, cfg["exclude"])
+        if cfg["max_categories"] is None:
+            tables = {c: _save_mapping(label_table(df, c)) for c in cols}
+            card = {c: df.sparkSession.read.parquet(p).count() for c, p in tables.items()}
+            bits = {c: max(1, math.ceil(math.log2(k + 1))) for c, k in card.items()}
+            return {"codes": {}, "bits": bits, "cardinality": card, "tables": tables}
         vals, card, _ = category_counts(df, cols, cfg["max_categories"], cfg["max_unique_ratio"],
                                         keep_null=True)
         codes, bits = {}, {}
@@ -172,10 +222,15 @@ class LabelEncoder(StatsEstimator):
 # ------------------------------------------------------------------ E3
 class TargetEncoderModel(StatsModel):
     def apply(self, df, cfg, st):
-        enc = st["encodings"]
+        enc, tables = st["encodings"], st.get("tables", {})
+        columns = df.columns
+        for c, path in tables.items():
+            df = _with_mapping(df, c, path, F.col(c).cast("string"), "mean")
         out = []
-        for c in df.columns:
-            if c in enc:
+        for c in columns:
+            if c in tables:
+                out.append(F.col(f"_map_{c}").alias(f"{c}_target_encoded"))
+            elif c in enc:
                 e = None
                 for v, m in enc[c].items():
                     e = F.when(F.col(c) == F.lit(v), F.lit(m)) if e is None else e.when(F.col(c) == F.lit(v), F.lit(m))
@@ -193,7 +248,7 @@ class TargetEncoder(StatsEstimator):
     model_class = TargetEncoderModel
 
     def __init__(self, target: str, positive: str | None = "Yes", cols: Sequence[str] | None = None,
-                 exclude: Sequence[str] = (), smoothing: float = 10.0, max_categories: int = 50,
+                 exclude: Sequence[str] = (), smoothing: float = 10.0, max_categories: int | None = 50,
                  max_unique_ratio: float = 0.9):
         super().__init__(target=target, positive=positive,
                          cols=list(cols) if cols is not None else None, exclude=list(exclude),
@@ -205,11 +260,18 @@ class TargetEncoder(StatsEstimator):
         y = (F.coalesce(t == F.lit(cfg["positive"]), F.lit(False)).cast("double")
              if cfg["positive"] is not None else t.cast("double"))
         cols = cfg["cols"] if cfg["cols"] is not None else string_cols(df, [cfg["target"], *cfg["exclude"]])
-        cols, _ = plausible_columns(df, cols, cfg["max_categories"])
+        wide = cfg["max_categories"] is None
+        if not wide:
+            cols, _ = plausible_columns(df, cols, cfg["max_categories"])
         base = df.select(*[F.col(c).cast("string").alias(c) for c in cols], y.alias("_y"))
         glob = base.agg(F.avg("_y").alias("g")).collect()[0]["g"]
         long = long_format(base, cols, "column", "value", keep=["_y"]).where(F.col("value").isNotNull())
         g = long.groupBy("column", "value").agg(F.avg("_y").alias("m"), F.count(F.lit(1)).alias("n"))
+        if wide:
+            g = g.select("column", "value", ((F.col("m") * F.col("n") + glob * cfg["smoothing"])
+                                             / (F.col("n") + cfg["smoothing"])).alias("mean"))
+            tables = {c: _save_mapping(g.where(F.col("column") == c).select("value", "mean")) for c in cols}
+            return {"encodings": {}, "global_mean": glob, "cardinality": {}, "tables": tables}
         card = {r["column"]: r["k"] for r in g.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
         ok = [c for c in cols if card.get(c, 0) <= cfg["max_categories"]]
         enc: dict = {c: {} for c in ok}

@@ -238,6 +238,35 @@ def q_label(spark, sf):
     return E.LabelEncoder(exclude=[R.id]).fit(d).transform(d)
 
 
+@register("e2_label_encode_wide", sql="""
+SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS c_name,
+       CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS c_mktsegment FROM customer
+""")
+def q_label_wide(spark, sf):
+    """E2 without a category limit: customer names (all distinct) and segments."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return E.LabelEncoder(max_categories=None).fit(c).transform(c)
+
+
+@register("e3_target_encode_wide", sql="""
+WITH t AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderpriority AS priority,
+                  CAST(o_orderstatus = 'F' AS DOUBLE) AS y FROM orders),
+g AS (SELECT avg(y) AS gm FROM t),
+c AS (SELECT cust, avg(y) AS m, count(*) AS n FROM t GROUP BY cust),
+p AS (SELECT priority, avg(y) AS m, count(*) AS n FROM t GROUP BY priority)
+SELECT o_orderkey, round((c.m * c.n + gm * 10) / (c.n + 10), 6) AS cust_target_encoded,
+       round((p.m * p.n + gm * 10) / (p.n + 10), 6) AS priority_target_encoded
+FROM t JOIN c USING (cust) JOIN p USING (priority) CROSS JOIN g
+""")
+def q_target_wide(spark, sf):
+    """E3 without a category limit: customers (thousands of values) and priorities of orders."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("cust"),
+                                          F.col("o_orderpriority").alias("priority"),
+                                          (F.col("o_orderstatus") == "F").cast("double").alias("y"))
+    out = E.TargetEncoder("y", None, exclude=["o_orderkey"], max_categories=None).fit(o).transform(o)
+    return out.drop("y")
+
+
 def _bits_sql(col, values, bits):
     code = "CASE " + " ".join(f"WHEN {col} = '{v}' THEN {i + 1}" for i, v in enumerate(values)) + " ELSE 0 END"
     return [f"CAST(({code} >> {bits - 1 - b}) & 1 AS INTEGER) AS {col}_{b}" for b in range(bits)]
