@@ -172,6 +172,35 @@ def q_d2(spark, sf):
     return D.performance_alert(p.join(seg, "id"), "contract", 0.8)
 
 
+@register("d2_performance_by_month", sql=with_c360(f"""
+SELECT period, count(*) AS n, round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy,
+       round(0.8 - avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy_drop,
+       0.8 - avg(CAST(label = prediction AS DOUBLE)) > 0.05 AS alert
+FROM pred JOIN (SELECT o_custkey AS id, CAST(year(max(o_orderdate)) * 100 + month(max(o_orderdate)) AS INTEGER) AS period
+                FROM orders GROUP BY o_custkey) USING (id)
+WHERE model = '{MODELS[0]}' GROUP BY period
+""", extra_ctes=SCORED_CTE))
+def q_d2_month(spark, sf):
+    """D2 over time: accuracy per month of the customer's last order."""
+    from featureforge.sources.tables import table
+    last = F.max("o_orderdate")
+    months = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
+        (F.year(last) * 100 + F.month(last)).cast("int").alias("period"))
+    p = scored(spark, sf).where(F.col("model") == MODELS[0])
+    return D.performance_alert(p.join(months, "id"), "period", 0.8)
+
+
+@register("d1_batch_score_reloaded_model", digits=None)
+def q_d1_model(spark, sf):
+    """D1 with a fitted pipeline that was saved and read back: test rows scored
+    by the reloaded model."""
+    from pyspark.ml import PipelineModel
+    train, test = _split(spark, sf)
+    path = scratch_path(spark, f"d1_model_{uuid.uuid4().hex}")
+    M.make_pipeline("logistic_regression", FEATURES).fit(train).write().overwrite().save(path)
+    return D.batch_score(PipelineModel.load(path), test, name="logistic_regression", version="v1", keep=["id"])
+
+
 @register("d3_prediction_drift_psi", sql=with_c360(f"""
 SELECT round(sum((sc - sa) * ln(sc / sa)), 6) AS psi, sum((sc - sa) * ln(sc / sa)) > 0.1 AS drift_alert
 FROM (SELECT greatest(coalesce(nb, 0) * 1.0e0 / (SELECT count(*) FROM pred WHERE model = '{MODELS[0]}'), 1e-6) AS sa,

@@ -35,15 +35,19 @@ def explore(df: DataFrame, roles: Roles, bins: int = 5) -> dict[str, DataFrame]:
         "high_correlations": P.high_correlations(corr),
         "recommendations": P.recommendations(df, roles, num, corr=corr),
     }
+    for c in num:
+        reports[f"histogram_{c}"] = P.histogram(df, c)
     if roles.target in df.columns:
         reports.update({
             "target_distribution": P.target_distribution(df, roles),
             "class_balance": P.class_balance(df, roles),
             "churn_by_segment": N.churn_by_segment(df, roles),
+            "churn_rate_by_category": N.churn_rate_by_category(df, roles),
         })
         if roles.monthly in df.columns:
             reports["avg_charge_by_target"] = N.avg_charge_by_target(df, roles)
             reports["revenue_at_risk"] = N.revenue_at_risk(df, roles)
+            reports["charges_by_target"] = P.box_stats(df, roles.monthly, roles.target)
         if roles.tenure in df.columns:
             reports["churn_by_tenure_bins"] = N.churn_by_equal_width_bins(df, roles, roles.tenure, bins)
     return reports
