@@ -8,7 +8,7 @@ also starts in a document with a smaller id is removed.
    non-empty cells; the partition sketches are merged cell by cell.  A merged
    cell can only overestimate, so a window whose cells do not all say "two or
    more" occurs in one document only.
-2. A second pass groups the other windows exactly, by 128-bit hashes.  A task
+2. A second pass groups the other windows exactly, by 95-bit hashes.  A task
    decides what it can on its own: of the documents that share a window there,
    all but the smallest are settled at once, so a window sends at most one
    document per task chunk however often it occurs.  The smallest id per
@@ -41,7 +41,9 @@ MAX_CELLS = 1 << 28
 #: Cells of one merge unit.
 BLOCK_CELLS = 1 << 18
 #: Windows a task holds before it settles and sends them.
-CHUNK_WINDOWS = 3 << 20
+CHUNK_WINDOWS = 2 << 20
+#: Text bytes a task splits at a time.
+PART_BYTES = 3 << 20
 #: Removed runs are broadcast up to this many, joined by shuffle beyond.
 BROADCAST_RUNS = 1 << 20
 
@@ -106,7 +108,7 @@ def merged_sketch(docs: DataFrame, size: int, cells: int) -> list[np.ndarray]:
 
         held, n, seen = [], 0, 0
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 _, _, doc, h = windows(block, size)
                 if len(h):
                     held.append((h, (doc + seen).astype(np.uint64)))
@@ -158,8 +160,9 @@ def _runs(at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_windows(docs: DataFrame, size: int, sketch: list[np.ndarray], cells: int) -> DataFrame:
-    """Rows (h1, h2, doc, first, last, settled): window runs already known to be
-    removed, and single windows that wait for the smallest id of their hash."""
+    """Rows (h1, rest, doc, place).  ``place`` >= 0: a window at that word that
+    waits for the smallest id of its hash (h1, rest); below 0: a run of windows
+    already known to be removed, from word -place - 1 to word ``rest``."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,20 +184,20 @@ def repeated_windows(docs: DataFrame, size: int, sketch: list[np.ndarray], cells
             d, a = doc[settled], at[settled]
             first, last = _runs(a, d)
             wait = ~settled
-            n, m = len(first), int(wait.sum())
             # settled rows take a hash of their own place, so that no key gathers them
             spread = mix(d[first].astype(np.uint64) * np.uint64(_FACTOR[1]) + a[first].astype(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([spread, h1[wait]]).view(np.int64)),
-                 pa.array(np.concatenate([spread, h2[wait]]).view(np.int64)),
-                 pa.array(np.concatenate([d[first], doc[wait]])),
-                 pa.array(np.concatenate([a[first], at[wait]]).astype(np.int32)),
-                 pa.array(np.concatenate([a[last], at[wait]]).astype(np.int32)),
-                 pa.array(np.arange(n + m) < n)], ["h1", "h2", "doc", "first", "last", "settled"])
+            for start in range(0, max(len(first), int(wait.sum())), 1 << 16):
+                some, left = slice(start, start + (1 << 16)), np.flatnonzero(wait)[start:start + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([spread[some], h1[left]]).view(np.int64)),
+                     pa.array(np.concatenate([a[last[some]], (h2[left] >> np.uint64(33)).astype(np.int64)]).astype(np.int32)),
+                     pa.array(np.concatenate([d[first[some]], doc[left]])),
+                     pa.array(np.concatenate([-a[first[some]] - 1, at[left]]).astype(np.int32))],
+                    ["h1", "rest", "doc", "place"])
 
         held, n = [], 0
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 words, at, doc, h = windows(block, size)
                 hit = np.ones(len(h), bool)
                 for row in range(DEPTH):
@@ -218,7 +221,7 @@ def repeated_windows(docs: DataFrame, size: int, sketch: list[np.ndarray], cells
             yield from flush()
 
     return docs.where("k IS NOT NULL").mapInArrow(
-        candidates, "h1 long, h2 long, doc long, first int, last int, settled boolean")
+        candidates, "h1 long, rest int, doc long, place int")
 
 
 def removed_runs(docs: DataFrame, size: int) -> DataFrame:
@@ -226,8 +229,11 @@ def removed_runs(docs: DataFrame, size: int) -> DataFrame:
     cells = cells_for(text_bytes(docs, "t"))
     sketch = merged_sketch(docs.where("k IS NOT NULL"), size, cells)
     rows = repeated_windows(docs, size, sketch, cells)
-    least = F.min("doc").over(Window.partitionBy("h1", "h2"))
-    gone = rows.withColumn("least", least).where(F.col("settled") | (F.col("doc") > F.col("least")))
+    settled = F.col("place") < 0
+    least = F.min("doc").over(Window.partitionBy("h1", "rest"))
+    gone = (rows.withColumn("least", least).where(settled | (F.col("doc") > F.col("least")))
+            .select("doc", F.when(settled, -F.col("place") - 1).otherwise(F.col("place")).alias("first"),
+                    F.when(settled, F.col("rest")).otherwise(F.col("place")).alias("last")))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,7 +269,7 @@ def deduplicate_substrings(docs: DataFrame, size: int = 13, id_col: str = "doc_i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 words = Words(block.column("t"))
                 edge = np.zeros(len(words.bounds), np.int32)
                 for name, sign in (("starts", 1), ("ends", -1)):
