@@ -1,10 +1,8 @@
 """Feature selection scores (L1-L6, L11, L12) as aggregations.
 
-Univariate scores are computed in long format: the feature columns are
-unpivoted next to the label and aggregated per (feature, class) with
-partial aggregation, so one job scores every feature and the result has
-(#features x #classes) rows.  Per-feature combination then runs on that tiny
-table.  Selections are data: (feature, score, rank, selected) rows; a fitted
+Class-wise statistics of all features come from one aggregate per class (no row
+expansion); the result, (#features x #classes) rows in long form, is combined
+per feature.  Mutual information unpivots the columns, since its bins differ.  Selections are data: (feature, score, rank, selected) rows; a fitted
 ``FeatureSelector`` freezes the kept list for a lazy projection.
 """
 
@@ -29,6 +27,16 @@ def _long(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return long_format(base, cols, "feature", "x", keep=["_y"])
 
 
+def _class_stats(df: DataFrame, cols: Sequence[str], label: str, stats: dict) -> DataFrame:
+    """(feature, _y, <stats>): aggregates of every feature per class.
+    ``stats``: {name: function of a column}."""
+    base = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)], F.col(label).alias("_y"))
+    wide = base.where(F.col("_y").isNotNull()).groupBy("_y").agg(*[
+        f(F.col(f"_x{i}")).alias(f"{n}{i}") for i in range(len(cols)) for n, f in stats.items()])
+    return wide.select("_y", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{n}{i}").alias(n) for n in stats]) for i, c in enumerate(cols)])))
+
+
 def rank_scores(scores: DataFrame, k: int | None, score: str = "score") -> DataFrame:
     """Rank by score descending (ties by name); ``selected`` = rank <= k.
     The window has no key but runs on one row per feature."""
@@ -67,9 +75,7 @@ def correlation_removals(df: DataFrame, cols: Sequence[str], threshold: float =
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """L3: one-way ANOVA F per feature = (SSB / (g - 1)) / (SSW / (N - g)),
     over non-null values."""
-    long = _long(df, cols, label).where(F.col("x").isNotNull() & F.col("_y").isNotNull())
-    g = long.groupBy("feature", "_y").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"),
-                                          F.var_pop("x").alias("v"))
+    g = _class_stats(df, cols, label, {"n": F.count, "m": F.avg, "v": F.var_pop}).where("n > 0")
     w = Window.partitionBy("feature")        # (#classes) rows per feature
     g = (g.withColumn("n_total", F.sum("n").over(w))
           .withColumn("n_groups", F.count(F.lit(1)).over(w))
@@ -88,9 +94,7 @@ def chi2_scores(df: DataFrame, cols: Sequence[str], label: str, shift: bool = Tr
     """L4: chi-square of class-wise feature sums against class share x total.
     ``shift``: x - min(x) + 1e-8 first (the advanced variant; the basic one
     uses raw, non-negative x)."""
-    long = _long(df, cols, label).where(F.col("_y").isNotNull())
-    g = long.groupBy("feature", "_y").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"),
-                                          F.min("x").alias("mn"))
+    g = _class_stats(df, cols, label, {"n": lambda x: F.count(F.lit(1)), "s": F.sum, "mn": F.min})
     w = Window.partitionBy("feature")
     g = g.withColumn("fmin", F.min("mn").over(w))
     if shift:

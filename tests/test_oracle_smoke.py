@@ -17,7 +17,8 @@ NAMES = ["n1_churn_by_segment", "f_business_features", "q15_outlier_report", "e1
          "x4_x5_top_variance_interactions", "e2_label_encode", "e3_target_encode",
          "c4_scale_quantile", "l2_correlation_filter", "l4_chi2_topk", "l5_l6_mutual_info", "t4_time_split",
          "v11_cumulative_gains", "v16_per_class_report", "d3_prediction_drift_psi", "w4_basic_preprocess",
-         "w1_explore_overview", "doc_n2_quality_rate_by_language"]
+         "w1_explore_overview", "doc_n2_quality_rate_by_language", "e2_label_encode_wide",
+         "e3_target_encode_wide", "d2_performance_by_month"]
 
 
 def _norm(v):
