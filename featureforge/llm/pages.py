@@ -43,6 +43,8 @@ from featureforge.llm.words import blocks
 #: Pages per range on average, and ranges at most.
 RANGE_PAGES = 512
 MAX_RANGES = 1 << 16
+#: Pages per differencing task on average.
+TASK_PAGES = 2048
 
 # HTML element names by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -189,7 +191,8 @@ def _prefix(a: str, b: str) -> int:
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, ``text`` (main text) and ``n_lines`` (blocks it joins)."""
     given = pages.select(F.col(id_col).alias("p"), F.col(url_col).alias("u"), F.col(html_col).alias("t"))
-    every = max(RANGE_PAGES, given.count() // MAX_RANGES)
+    n = given.count()
+    every = max(RANGE_PAGES, n // MAX_RANGES)
     picked = given.where(F.pmod(F.xxhash64("p", "u"), F.lit(every)) == 0).select("u").distinct().collect()
     cuts = sorted(url_key(r["u"]) for r in picked)
 
@@ -261,6 +264,6 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     kind = given.schema["p"].dataType.simpleString()
     parsed = given.mapInArrow(read, f"range_id int, host string, path string, p {kind}, u string, declared boolean, "
                                     "hashes array<long>, lines array<string>")
-    return (parsed.repartition("range_id").sortWithinPartitions("range_id", "host", "path", "u", "p")
+    return (parsed.repartition(max(n // TASK_PAGES, 1), "range_id").sortWithinPartitions("range_id", "host", "path", "u", "p")
             .mapInArrow(difference, f"p {kind}, u string, text string, n_lines long")
             .withColumnRenamed("p", id_col).withColumnRenamed("u", url_col))
