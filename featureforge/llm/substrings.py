@@ -25,6 +25,7 @@ id are never removed from and remove nothing; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +38,18 @@ from featureforge.llm.scratch import Scratch, text_bytes
 from featureforge.llm.words import Words, blocks, mix, window_hashes, window_starts
 
 DEPTH = 2
-MAX_CELLS = 1 << 28
+MAX_CELLS = 1 << 29
 #: Cells of one merge unit.
 BLOCK_CELLS = 1 << 18
 #: Windows a task holds before it settles and sends them.
-CHUNK_WINDOWS = 2 << 20
+CHUNK_WINDOWS = 2_700_000
 #: Text bytes a task splits at a time.
-PART_BYTES = 3 << 20
+PART_BYTES = 2 << 20
 #: Removed runs are broadcast up to this many, joined by shuffle beyond.
 BROADCAST_RUNS = 1 << 20
 
+#: Marks the start of the sketch's bits in what is broadcast.
+_MAGIC = b"merged-window-sketch"
 _FACTOR = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _ROW = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -72,22 +75,40 @@ def windows(block: pa.RecordBatch, size: int):
 
 
 def encode_cells(cells: np.ndarray) -> bytes:
-    """Sorted cell numbers as byte steps; larger steps follow as 32-bit words."""
+    """Sorted cell numbers as steps: the steps' low bytes, one bit each for
+    "longer than a byte", and the upper parts of those."""
     step = np.diff(cells, prepend=0).astype(np.uint32)
-    big = step >= 255
-    return (np.uint32(len(step)).tobytes() + np.where(big, 255, step).astype(np.uint8).tobytes()
-            + step[big].tobytes())
+    long = step > 255
+    return (np.uint32(len(step)).tobytes() + step.astype(np.uint8).tobytes() + np.packbits(long).tobytes()
+            + (step[long] >> 8).astype(np.uint16).tobytes())
 
 
 def decode_cells(data: bytes) -> np.ndarray:
     n = int(np.frombuffer(data, np.uint32, 1)[0])
     step = np.frombuffer(data, np.uint8, n, 4).astype(np.int64)
-    step[step == 255] = np.frombuffer(data, np.uint32, -1, 4 + n)
+    mask = np.frombuffer(data, np.uint8, (n + 7) // 8, 4 + n)
+    long = np.unpackbits(mask, count=n).astype(bool)
+    step[long] += np.frombuffer(data[4 + n + len(mask):], np.uint16).astype(np.int64) << 8
     return np.cumsum(step)
 
 
-def merged_sketch(docs: DataFrame, size: int, cells: int) -> list[np.ndarray]:
-    """One bit per cell and row: whether its merged count is two or more."""
+def bits_in(shared) -> np.ndarray:
+    """Bits of a broadcast sketch (rows x bytes).  A worker maps the file in which
+    Spark delivers the broadcast, so the workers of an executor share one copy;
+    where there is no such file it reads the value."""
+    path = getattr(shared, "_path", None)
+    if path and os.path.exists(path):
+        with open(path, "rb") as f:
+            at = f.read(4096).find(_MAGIC) + len(_MAGIC)
+        size = (os.path.getsize(path) - at) // (DEPTH * BLOCK_CELLS // 8) * (DEPTH * BLOCK_CELLS // 8)
+        if at >= len(_MAGIC):
+            return np.memmap(path, np.uint8, "r", at, (size,)).reshape(DEPTH, -1)
+    return np.frombuffer(shared.value, np.uint8)[len(_MAGIC):].reshape(DEPTH, -1)
+
+
+def merged_sketch(docs: DataFrame, size: int, cells: int) -> bytearray:
+    """One bit per cell and row, after a mark: whether its merged count is two or
+    more."""
     def partition_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
             for row in range(DEPTH):
@@ -144,10 +165,12 @@ def merged_sketch(docs: DataFrame, size: int, cells: int) -> list[np.ndarray]:
     found = (docs.select("t").mapInArrow(partition_sketch, "part long, cells binary")
              .repartition("part").sortWithinPartitions("part")
              .mapInArrow(merge, "part long, bits binary").toLocalIterator())
-    out = [np.zeros(cells // 8, np.uint8) for _ in range(DEPTH)]
+    out = bytearray(len(_MAGIC) + DEPTH * cells // 8)
+    out[:len(_MAGIC)] = _MAGIC
+    rows = np.frombuffer(out, np.uint8)[len(_MAGIC):].reshape(DEPTH, -1)
     for r in found:
         a = r["part"] // DEPTH * (BLOCK_CELLS // 8)
-        out[r["part"] % DEPTH][a:a + BLOCK_CELLS // 8] = np.frombuffer(r["bits"], np.uint8)
+        rows[r["part"] % DEPTH, a:a + BLOCK_CELLS // 8] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
@@ -159,14 +182,14 @@ def _runs(at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(at))[:len(first)] - 1
 
 
-def repeated_windows(docs: DataFrame, size: int, sketch: list[np.ndarray], cells: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int, sketch: bytearray, cells: int) -> DataFrame:
     """Rows (h1, rest, doc, place).  ``place`` >= 0: a window at that word that
     waits for the smallest id of its hash (h1, rest); below 0: a run of windows
     already known to be removed, from word -place - 1 to word ``rest``."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        bits = bits_in(shared)
 
         def flush():
             doc = np.concatenate([x[0] for x in held])

@@ -45,6 +45,8 @@ SPAN, DECAY = 5, 0.6
 LEAST_TOXIC_DOCS, LEAST_RATIO = 4, 20.0
 #: Toxic units are chosen until each toxic document holds this many, while one more explains enough of them.
 UNITS_PER_DOC, LEAST_GAIN = 2, 0.004
+#: Text bytes a task scores at a time.
+PART_BYTES = 2 << 20
 #: Longest unit; longer words are scored by their parts.
 MAX_BYTES = 40
 
@@ -237,7 +239,7 @@ def word_counts(train: DataFrame) -> DataFrame:
     """(word, toxic, clean): documents of each class with the word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 words = Words(block.column("t"), lower=True)
                 if not len(words.index):
                     continue
@@ -261,7 +263,7 @@ def explaining(train: DataFrame, candidates: list[bytes]) -> list[bytes]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 words = Words(block.column("t"), lower=True)
                 known = pc.fill_null(pc.index_in(words.distinct, value_set=value_set), -1).to_numpy()
                 of = known[words.index] if len(words.index) else np.zeros(0, np.int64)
@@ -351,7 +353,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 best, second, positive = document_values(block.column("t"), shared.value)
                 yield pa.RecordBatch.from_arrays([block.column("y"), pa.array(best), pa.array(second), pa.array(positive)],
                                                  ["y", "best", "second", "positive"])
@@ -367,7 +369,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "t"):
+            for block in blocks(batch, "t", PART_BYTES):
                 s = shared.value.scores(block.column("t"))
                 yield pa.RecordBatch.from_arrays([block.column("k"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                                  ["k", "score", "predicted"])
@@ -383,7 +385,7 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, text_col):
+            for block in blocks(batch, text_col, PART_BYTES):
                 yield block.filter(pa.array(shared.value.scores(block.column(text_col)) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,6 +8,7 @@ index per word occurrence.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Documents are handled in blocks of about this many bytes of text.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 
 #: ``[^\x20\x09-\x0D]+``: words are separated by space, tab, LF, VT, FF and CR.
 SPACES = np.zeros(256, bool)
@@ -45,6 +46,14 @@ def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``limit`` bytes of text (one document at least)."""
     if batch.num_rows == 0:
@@ -56,6 +65,7 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterat
         end = max(int(np.searchsorted(cum, done + limit, "right")), at + 1)
         yield batch.slice(at, end - at)
         at, done = end, int(cum[end - 1])
+    release_memory()
 
 
 class Words:
