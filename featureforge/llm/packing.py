@@ -33,8 +33,9 @@ from featureforge.llm.words import blocks, utf8
 CAPACITY = 1024
 #: Pieces of a group on average (what one task packs at a time).
 GROUP_PIECES = 4096
-#: Distinct parts whose ids a task remembers (about 150 MB).
-MEMORY_PARTS = 800_000
+#: Distinct parts whose ids a task remembers (about 100 MB), and that it encodes at a time.
+MEMORY_PARTS = 500_000
+ENCODE_PARTS = 1 << 14
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[9, 10, 11, 12, 13, 32, 28, 29, 30, 31]] = True
@@ -70,7 +71,8 @@ class PartEncoder:
         known = self.known
         fresh = [p for p in parts if p not in known]
         if fresh:
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            coded = [e.ids for a in range(0, len(fresh), ENCODE_PARTS) for e in
+                     self.tokenizer.encode_batch_fast(fresh[a:a + ENCODE_PARTS], add_special_tokens=False)]
             n = len(known)
             size = np.fromiter(map(len, coded), np.int64, len(coded))
             end = self.bounds[n] + np.cumsum(size)
