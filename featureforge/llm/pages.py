@@ -12,12 +12,17 @@
 3. The lines of a pair are aligned by longest common subsequence, and shared
    lines are deleted: what two neighbours have in common is the site's frame.
 
-A declared article is the author's own statement of what the text is, and its
-lines may recur on other pages (quotations, licence lines, copies): they stay.
-Differencing decides the lines outside one: on a page without an article the
-lines that are neither shared nor declared frame are its text.  If the nearer
-neighbour shares every such line (a copy) or no line at all (another layout),
-the other neighbour is taken; if that does, too, nothing is deleted.
+Lines of the declared frame are never text.  Lines outside an article are text
+if the pair does not share them, also on pages that have an article.  If the
+nearer neighbour shares every line (a copy) or no line at all (another layout),
+the other neighbour is taken; if that does, too, nothing is deleted, except that
+an article at least as long as the lines outside it is then the text alone.
+
+Lines of an article may recur on other pages as its own text (quotations,
+licence lines, copies), so one pair does not decide them: they are deleted if
+the alignments with all the nearest pages of the host (``SIDE`` on each side,
+``LEAST_WITNESSES`` at least) share them.  Articles that share half of their
+text or more are copies of each other and say nothing about the frame.
 
 Defined cases: null and empty pages have no text; pages without a URL share
 one host; repeated rows are neighbours of each other; unclosed and stray tags
@@ -30,7 +35,9 @@ import bisect
 import html
 import os
 import re
+from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +52,8 @@ RANGE_PAGES = 512
 MAX_RANGES = 1 << 16
 #: Pages per differencing task on average.
 TASK_PAGES = 2048
+#: Pages before and after that may witness an article line as frame, and how many must.
+SIDE, LEAST_WITNESSES = 4, 4
 
 # HTML element names by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -177,6 +186,48 @@ def common_lines(a: list, b: list) -> list[bool]:
     return shared
 
 
+def article_frame(row: dict, near: list[dict]) -> set[int]:
+    """Numbers of the row's article lines that all witnesses among ``near`` share."""
+    def article(r):
+        return [i for i, a in enumerate(r["article"]) if a]
+
+    own = article(row)
+    hashes = [row["hashes"][i] for i in own]
+    size = [len(row["lines"][i]) for i in own]
+    found, witnesses = set(own), 0
+    for r in near:
+        other = article(r)
+        if not other or not found:
+            continue
+        shared = common_lines(hashes, [r["hashes"][i] for i in other])
+        least = min(sum(size), sum(len(r["lines"][i]) for i in other))
+        if 2 * sum(n for n, s in zip(size, shared) if s) < least:
+            found &= {i for i, s in zip(own, shared) if s}
+            witnesses += 1
+    return found if witnesses >= LEAST_WITNESSES else set()
+
+
+def text_lines(row: dict, before: list[dict], after: list[dict]) -> list[str]:
+    """Text of a page from its nearest pages of the same host, nearest first."""
+    lines, article = row["lines"], row["article"]
+    own = [i for i, x in enumerate(lines) if x is not None]
+    outside = [i for i in own if not article[i]]
+    deleted: set[int] = set()
+    if outside:
+        pair = sorted(before[:1] + after[:1], key=lambda r: -_prefix(r["path"], row["path"]))
+        for r in pair:
+            shared = common_lines(row["hashes"], r["hashes"])
+            if any(shared) and not all(shared[i] for i in own):
+                deleted = {i for i in outside if shared[i]}
+                break
+        else:
+            if len(outside) < len(own) and sum(len(lines[i]) for i in own) >= 2 * sum(len(lines[i]) for i in outside):
+                deleted = set(outside)
+    if len(outside) < len(own):
+        deleted |= article_frame(row, before + after)
+    return [lines[i] for i in own if i not in deleted]
+
+
 def url_key(url: str | None) -> tuple[str, str]:
     """Host and path of a URL."""
     rest = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", url or "")
@@ -200,49 +251,39 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         for batch in batches:
             for block in blocks(batch, "t"):
                 keys = [url_key(u) for u in block.column("u").to_pylist()]
-                lines, hashes, sure = [], [], []
+                lines, hashes, article = [], [], []
                 for source in block.column("t").to_pylist():
                     found = page_lines(source)
-                    declared = any(part == ARTICLE for part, _ in found)
-                    want = ARTICLE if declared else PLAIN
-                    sure.append(declared)
                     # the text of lines that may stay, null for those that cannot
-                    lines.append([x if part == want else None for part, x in found])
+                    lines.append([x if part != FRAME_PART else None for part, x in found])
+                    article.append([part == ARTICLE for part, _ in found])
                     hashes.append(np.array([xxhash.xxh3_64_intdigest(x) for _, x in found], np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([bisect.bisect_right(cuts, k) for k in keys], pa.int32()),
                      pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), block.column("p"),
-                     block.column("u"), pa.array(sure, pa.bool_()), pa.array(hashes, pa.list_(pa.int64())),
+                     block.column("u"), pa.array(article, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64())),
                      pa.array(lines, pa.list_(pa.string()))],
-                    ["range_id", "host", "path", "p", "u", "declared", "hashes", "lines"])
+                    ["range_id", "host", "path", "p", "u", "article", "hashes", "lines"])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def stream():
             for batch in batches:
                 yield from batch.to_pylist()
 
-        def text(row, before, after):
-            lines = row["lines"]
-            if row["declared"]:
-                return [x for x in lines if x is not None]
-            near = [r for r in (before, after) if r and r["range_id"] == row["range_id"] and r["host"] == row["host"]]
-            near.sort(key=lambda r: -_prefix(r["path"], row["path"]))
-            own = [x for x in lines if x is not None]
-            for r in near:
-                shared = common_lines(row["hashes"], r["hashes"])
-                left = [x for x, s in zip(lines, shared) if x is not None and not s]
-                if left and any(shared):
-                    return left
-            return own
-
         def results():
-            before = row = None
-            for after in stream():
-                if row is not None:
-                    yield row, text(row, before, after)
-                before, row = row, after
-            if row is not None:
-                yield row, text(row, before, None)
+            rows = stream()
+            window = deque(islice(rows, SIDE + 1))  # the page at ``at`` and up to SIDE pages on each side
+            at = 0
+            while at < len(window):
+                row = window[at]
+                same = [r["range_id"] == row["range_id"] and r["host"] == row["host"] for r in window]
+                yield row, text_lines(row, [window[k] for k in range(at - 1, -1, -1) if same[k]],
+                                      [window[k] for k in range(at + 1, len(window)) if same[k]])
+                window.extend(islice(rows, 1))
+                at += 1
+                if at > SIDE:
+                    window.popleft()
+                    at -= 1
 
         held = []
         for row, lines in results():
@@ -262,7 +303,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(given.schema["p"].dataType)
     kind = given.schema["p"].dataType.simpleString()
-    parsed = given.mapInArrow(read, f"range_id int, host string, path string, p {kind}, u string, declared boolean, "
+    parsed = given.mapInArrow(read, f"range_id int, host string, path string, p {kind}, u string, article array<boolean>, "
                                     "hashes array<long>, lines array<string>")
     return (parsed.repartition(max(n // TASK_PAGES, 1), "range_id").sortWithinPartitions("range_id", "host", "path", "u", "p")
             .mapInArrow(difference, f"p {kind}, u string, text string, n_lines long")

@@ -31,6 +31,26 @@ def test_differencing_finds_the_frame(spark):
     assert pages.main_texts(df.limit(0)).collect() == []
 
 
+def test_articles_are_judged_and_do_not_hide_plain_text(spark):
+    """Boilerplate inside articles goes; quotations and copies stay; a teaser
+    card does not replace the text outside it."""
+    quote = "A quoted sentence that two neighbours have."
+    rows = [(i, f"http://h.example/a/{i}", f"<article><h1>Title {i}</h1><p>Read more on our site</p><p>Body of page {i} with its own words"
+             f"{' and more ' * 9}</p>{f'<p>{quote}</p>' if i in (3, 4) else ''}<p>Sign up today</p></article>") for i in range(8)]
+    rows += [(10 + i, f"http://c.example/a/{i}", "<article><h1>Same</h1><p>The same text on every page</p></article>") for i in range(8)]
+    rows += [(20 + i, f"http://t.example/a/{i}", f"<div>Home | About</div><article>Teaser {i}</article><p>Main text {i} in plain blocks</p>"
+              "<div>Contact us</div>") for i in range(6)]
+    rows += [(30, "http://u.example/a", "<article>Teaser</article><p>A lonely page with its main text in plain blocks</p>"),
+             (31, "http://v.example/a", "<div>Home</div><article>A lonely page with its article</article>")]
+    got = {r["page_id"]: r["text"] for r in pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    more = " ".join((" and more " * 9).split())
+    for i in range(8):
+        assert got[i] == f"Title {i} Body of page {i} with its own words {more}" + (f" {quote}" if i in (3, 4) else "")
+        assert got[10 + i] == "Same The same text on every page"
+    assert [got[20 + i] for i in range(6)] == [f"Teaser {i} Main text {i} in plain blocks" for i in range(6)]
+    assert got[30] == "Teaser A lonely page with its main text in plain blocks" and got[31] == "A lonely page with its article"
+
+
 def test_frame_and_article_parts():
     source = ('<nav>menu</nav><article class="x"><header><h1>T</h1></header><p>a<br>b <b>c</b></p><aside>no</aside>d'
               '<div class="user-comments">no</div></article><div id="cookie-notice">no</div>t<script>if(a<b)</script>')
