@@ -27,10 +27,12 @@ ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +49,10 @@ LEAST_TOXIC_DOCS, LEAST_RATIO = 4, 20.0
 UNITS_PER_DOC, LEAST_GAIN = 2, 0.004
 #: Text bytes a task scores at a time.
 PART_BYTES = 2 << 20
-#: Longest unit; longer words are scored by their parts.
+#: Longest unit; longer words are cut at signs, and what is still longer into overlapping parts.
 MAX_BYTES = 40
+#: Sizes of those parts; each begins a quarter of its size after the one before.
+PART_SIZES = (8, 12, 20)
 
 # Signs written in place of letters.
 LOOK_ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -71,6 +75,7 @@ def _codes() -> np.ndarray:
 
 CODES = _codes()
 OPEN, CLOSE = 37, 38
+_SIGNS = re.compile(b"[" + b"".join(re.escape(bytes([k])) for k in range(128) if not CODES[k]) + b"]+")
 OFFSETS = [(a, b) for a in range(1, SPAN) for b in range(a + 1, SPAN + 1)]
 PAD = SPAN
 
@@ -179,7 +184,47 @@ class Machine:
         return units.score(self.table) + self.bias
 
 
-def normal(words: Words) -> tuple[Units, pa.Array]:
+def parts(word: bytes) -> list[bytes]:
+    """Parts of a word longer than MAX_BYTES; those of one piece overlap."""
+    out = []
+    for piece in _SIGNS.split(word):
+        if len(piece) > MAX_BYTES:
+            for size in PART_SIZES:
+                out += [piece[a:a + size] for a in range(0, len(piece) - size, size // 4)] + [piece[-size:]]
+        elif piece:
+            out.append(piece)
+    return out
+
+
+class Tokens:
+    """Words of a block with those over MAX_BYTES replaced by their parts:
+    ``first``, ``index`` and ``distinct`` as in ``Words``."""
+
+    def __init__(self, column):
+        words = Words(column, lower=True)
+        self.n_docs, self.first, self.index, self.distinct = words.n_docs, words.first, words.index, words.distinct
+        n = len(self.distinct)
+        length = np.diff(np.frombuffer(self.distinct.buffers()[1], np.int64)[:n + 1]) if n else np.zeros(0, np.int64)
+        if not (length > MAX_BYTES).any():
+            return
+        cut = [parts(w) if size > MAX_BYTES else [w] for w, size in zip(self.distinct.to_pylist(), length)]
+        size = np.array([len(x) for x in cut])
+        start = np.cumsum(size) - size
+        coded = pa.array([x for c in cut for x in c], pa.large_binary()).dictionary_encode()
+        many = size[self.index]
+        end = np.concatenate([[0], np.cumsum(many)])
+        at = np.repeat(start[self.index] - end[:-1], many) + np.arange(end[-1])
+        self.index = coded.indices.to_numpy()[at] if len(at) else np.zeros(0, np.int32)
+        self.distinct, self.first = coded.dictionary, end[self.first]
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def doc_of(self) -> np.ndarray:
+        return np.repeat(np.arange(self.n_docs), self.counts())
+
+
+def normal(words: Tokens) -> tuple[Units, pa.Array]:
     distinct = words.distinct
     data = np.frombuffer(distinct.buffers()[2], np.uint8) if len(distinct) and distinct.buffers()[2] else np.zeros(0, np.uint8)
     bounds = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset:distinct.offset + len(distinct) + 1]
@@ -188,7 +233,7 @@ def normal(words: Words) -> tuple[Units, pa.Array]:
 
 def document_values(column, machine: Machine) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best and second best word value of each text, and its number of positive words."""
-    words = Words(column, lower=True)
+    words = Tokens(column)
     n = words.n_docs
     best, second, positive = np.full(n, machine.bias), np.full(n, machine.bias), np.zeros(n)
     if len(words.index):
@@ -240,7 +285,7 @@ def word_counts(train: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "t", PART_BYTES):
-                words = Words(block.column("t"), lower=True)
+                words = Tokens(block.column("t"))
                 if not len(words.index):
                     continue
                 n = len(words.distinct)
@@ -248,8 +293,7 @@ def word_counts(train: DataFrame) -> DataFrame:
                 y = block.column("y").to_numpy()[pair // n]
                 toxic = np.bincount(pair % n, weights=y, minlength=n).astype(np.int64)
                 every = np.bincount(pair % n, minlength=n)
-                clipped = [w[:MAX_BYTES] for w in words.distinct.to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(clipped, pa.binary()), pa.array(toxic),
+                yield pa.RecordBatch.from_arrays([words.distinct.cast(pa.binary()), pa.array(toxic),
                                                   pa.array(every - toxic)], ["word", "toxic", "clean"])
 
     return (train.mapInArrow(run, "word binary, toxic long, clean long").groupBy("word")
@@ -261,10 +305,9 @@ def explaining(train: DataFrame, candidates: list[bytes]) -> list[bytes]:
     value_set = pa.array(candidates, pa.large_binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
         for batch in batches:
             for block in blocks(batch, "t", PART_BYTES):
-                words = Words(block.column("t"), lower=True)
+                words = Tokens(block.column("t"))
                 known = pc.fill_null(pc.index_in(words.distinct, value_set=value_set), -1).to_numpy()
                 of = known[words.index] if len(words.index) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,6 +142,25 @@ def test_toxicity_learns_and_tolerates_insertions(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    rows, labels = corpus()
+    return toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"),
+                        spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(False))
+
+
+def test_insults_inside_long_tokens(toxic_model):
+    filler = "tanalemidosuler"
+    texts = [f"tana {(filler * 7)[:100 - len(x)]}{x} lemi" for x in ("grobnak", "blixor", "snurgle")]
+    texts += [f"tana http://tana.lemi/{filler}/{filler}/{filler}/grobnak,blixor", "tana " + "/".join([filler] * 6), "tana " + "-" * 100]
+    tokens = toxicity.Tokens(pa.array(texts + [None, ""]))
+    assert tokens.n_docs == 8 and tokens.counts()[-2:].tolist() == [0, 0] and tokens.counts()[5] == 1
+    assert {b"grobnak", b"blixor"} <= set(tokens.distinct.to_pylist())
+    best = toxicity.document_values(pa.array(texts), toxic_model.machine)[0]
+    assert (best[:4] > 0).all() and (best[4:] < 0).all()
+    assert (toxic_model.scores(pa.array(texts))[3:] >= 0.5).tolist() == [True, False, False]
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     one = spark.createDataFrame([(1, 0), (5, 0)], "doc_id long, toxic int")
