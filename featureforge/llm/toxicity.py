@@ -1,6 +1,7 @@
 """Toxicity by a subsequence string-kernel support vector machine.
 
-Words (lower-cased, look-alike digits and signs folded to letters, other ASCII
+Units are words, windows of two and three words, and runs of up to twelve words
+of at most two bytes, read without the spaces between them.  Units (lower-cased, look-alike digits and signs folded to letters, other ASCII
 signs dropped, so ``i-d-1-o-t`` reads ``idiot``) are compared by the gap-weighted
 subsequence kernel: all triples of bytes within ``SPAN`` bytes count, each
 weighted by ``DECAY`` to the length it stretches over, so inserted or missing
@@ -33,10 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureforge.llm.words import Words, blocks
+from featureforge.llm.words import Words, blocks, window_hashes
 
 MAX_TRAIN_DOCS = 8000
 #: Words of each class that train the machine at most.
@@ -53,6 +55,12 @@ PART_BYTES = 2 << 20
 MAX_BYTES = 40
 #: Sizes of those parts; each begins a quarter of its size after the one before.
 PART_SIZES = (8, 12, 20)
+#: Words of a window, and of a window over words of at most SHORT bytes.
+WINDOWS, SHORT_WINDOWS, SHORT = (2, 3), range(4, 13), 2
+#: Windows that are scored at a time; one in so many is a training example of its class.
+SLICE, SAMPLE = 1 << 15, 64
+#: Phrases whose documents are counted at most.
+MAX_PHRASES = 20000
 
 # Signs written in place of letters.
 LOOK_ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -78,6 +86,7 @@ OPEN, CLOSE = 37, 38
 _SIGNS = re.compile(b"[" + b"".join(re.escape(bytes([k])) for k in range(128) if not CODES[k]) + b"]+")
 OFFSETS = [(a, b) for a in range(1, SPAN) for b in range(a + 1, SPAN + 1)]
 PAD = SPAN
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 class Units:
@@ -116,9 +125,11 @@ class Units:
         """Inner product of each word with a table over triples, normalised."""
         if not len(self.size):
             return np.zeros(0)
-        value = np.zeros(len(self.codes) - PAD)
-        for t, weight in self.triples():
-            value += table[t] * weight
+        n = len(self.codes) - PAD
+        value = np.zeros(n)
+        c = self.codes.astype(np.int32)
+        for a, b in OFFSETS:  # a table has no entry for a triple with a pad
+            value += table[(c[:n] << 14) | (c[a:n + a] << 7) | c[b:n + b]] * DECAY ** (b + 1)
         return np.add.reduceat(value, self.start) / self.norm()
 
     def matrix(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -224,6 +235,68 @@ class Tokens:
         return np.repeat(np.arange(self.n_docs), self.counts())
 
 
+class Windows:
+    """Runs of words of one document that are read as one unit: ``first`` and
+    ``size`` are their words (occurrences), ``key`` a hash."""
+
+    def __init__(self, words: Tokens):
+        self.doc = words.doc_of()
+        stream = words.distinct.take(pa.array(words.index)) if len(words.index) else words.distinct
+        self.bounds = np.frombuffer(stream.buffers()[1], np.int64)[stream.offset:stream.offset + len(stream) + 1]
+        self.data = np.frombuffer(stream.buffers()[2], np.uint8)
+        length, n = np.diff(self.bounds), len(stream)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.distinct.to_pylist()), np.uint64,
+                             len(words.distinct))[words.index]
+        long = np.concatenate([[0], np.cumsum(length > SHORT)])
+        first, size, key = [], [], []
+        for k in (*WINDOWS, *SHORT_WINDOWS):
+            if k > n:
+                break
+            ok = (self.doc[k - 1:] == self.doc[:n - k + 1]) & (self.bounds[k:] - self.bounds[:n - k + 1] <= MAX_BYTES)
+            if k in SHORT_WINDOWS:
+                ok &= long[k:] == long[:n - k + 1]
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            first.append(at)
+            size.append(np.full(len(at), k))
+            key.append(window_hashes(hashes, k, _FACTOR + 2 * k)[at])
+        self.first, self.size = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (first, size))
+        self.key = np.concatenate(key) if key else np.zeros(0, np.uint64)
+
+    def keep(self, which: np.ndarray) -> None:
+        self.first, self.size, self.key = self.first[which], self.size[which], self.key[which]
+
+    def units(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and bounds of some windows, without the spaces between words."""
+        start = self.bounds[self.first[at]]
+        length = self.bounds[self.first[at] + self.size[at]] - start
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        return self.data[np.repeat(start - bounds[:-1], length) + np.arange(bounds[-1])], bounds
+
+    def texts(self, at: np.ndarray) -> pa.Array:
+        data, bounds = self.units(at)
+        return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+    def values(self, machine: Machine) -> np.ndarray:
+        _, at, back = np.unique(self.key, return_index=True, return_inverse=True)
+        out = [machine.values(Units(*self.units(at[k:k + SLICE]))) for k in range(0, len(at), SLICE)]
+        return np.concatenate(out)[back] if out else np.zeros(0)
+
+    def peaks(self, value: np.ndarray) -> np.ndarray:
+        """Windows with the highest value, the first of equals, wherever they overlap others."""
+        order = np.lexsort((self.first, -value))
+        taken = np.zeros(len(self.doc), bool)
+        out = []
+        for w in order.tolist():
+            a = int(self.first[w])
+            b = a + int(self.size[w])
+            if not taken[a:b].any():
+                taken[a:b] = True
+                out.append(w)
+        return np.array(out, np.int64)
+
+
 def normal(words: Tokens) -> tuple[Units, pa.Array]:
     distinct = words.distinct
     data = np.frombuffer(distinct.buffers()[2], np.uint8) if len(distinct) and distinct.buffers()[2] else np.zeros(0, np.uint8)
@@ -232,7 +305,9 @@ def normal(words: Tokens) -> tuple[Units, pa.Array]:
 
 
 def document_values(column, machine: Machine) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best and second best word value of each text, and its number of positive words."""
+    """Best and second best unit value of each text, and its number of positive
+    units: its words, and its windows without a positive word (of overlapping
+    ones the best; of a text without positive windows only the best)."""
     words = Tokens(column)
     n = words.n_docs
     best, second, positive = np.full(n, machine.bias), np.full(n, machine.bias), np.zeros(n)
@@ -240,15 +315,25 @@ def document_values(column, machine: Machine) -> tuple[np.ndarray, np.ndarray, n
         units, _ = normal(words)
         value = machine.values(units)[words.index]
         doc = words.doc_of()
-        full = words.counts() > 0
-        at = words.first[:-1][full]
-        best[full] = np.maximum(machine.bias, np.maximum.reduceat(value, at))
-        high = np.flatnonzero(value == best[doc])
-        one = np.unique(doc[high], return_index=True)[1]
-        value = value.copy()
+        windows = Windows(words)
+        high = np.concatenate([[0], np.cumsum(value > 0)])
+        windows.keep(high[windows.first + windows.size] == high[windows.first])
+        if len(windows.first):
+            of, more = doc[windows.first], windows.values(machine)
+            top = np.full(n, -np.inf)
+            np.maximum.at(top, of, more)
+            top_at = np.flatnonzero((more == top[of]) & (top[of] <= 0))
+            top_at = top_at[np.unique(of[top_at], return_index=True)[1]]
+            windows.keep(at := np.flatnonzero(more > 0))
+            at = np.concatenate([top_at, at[windows.peaks(more[at])]])
+            value, doc = np.concatenate([value, more[at]]), np.concatenate([doc, of[at]])
+        order = np.lexsort((-value, doc))
+        value, doc = value[order], doc[order]
+        full, at = np.unique(doc, return_index=True)
+        best[full] = np.maximum(machine.bias, value[at])
         positive = np.bincount(doc, weights=value > 0, minlength=n)
-        value[high[one]] = -np.inf
-        second[full] = np.maximum(machine.bias, np.maximum.reduceat(value, at))
+        next_one = np.append(at[1:], len(doc)) > at + 1
+        second[full[next_one]] = np.maximum(machine.bias, value[at[next_one] + 1])
     return best, second, positive
 
 
@@ -280,8 +365,54 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, label: s
     return docs.join(F.broadcast(picked), "k").groupBy("t").agg(F.max("y").alias("y"))
 
 
+def _held_by(words: Tokens, windows: Windows, values: pa.Array) -> np.ndarray:
+    """(document, number) pairs of the values that are words or windows of a block, distinct."""
+    found = pc.fill_null(pc.index_in(words.distinct, value_set=values), -1).to_numpy()[words.index]
+    doc = words.doc_of()
+    _, at, back = np.unique(windows.key, return_index=True, return_inverse=True)
+    more = pc.fill_null(pc.index_in(windows.texts(at), value_set=values), -1).to_numpy()[back]
+    doc, found = np.concatenate([doc, doc[windows.first]]), np.concatenate([found, more]).astype(np.int64)
+    return np.unique(doc[found >= 0] * len(values) + found[found >= 0])
+
+
+def phrases(train: DataFrame, ratio: float) -> list[bytes]:
+    """Windows that toxic documents have and clean ones lack, the most frequent first."""
+    def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "t", PART_BYTES):
+                words = Tokens(block.column("t"))
+                if not len(words.index):
+                    continue
+                windows = Windows(words)
+                _, at, back = np.unique(windows.key, return_index=True, return_inverse=True)
+                pair = np.unique(words.doc_of()[windows.first] * max(len(at), 1) + back)
+                yield pa.RecordBatch.from_arrays(
+                    [windows.texts(at).cast(pa.binary()),
+                     pa.array(np.bincount(pair % max(len(at), 1), minlength=len(at)))], ["word", "toxic"])
+
+    frequent = (train.where("y = 1").mapInArrow(windows_of, "word binary, toxic long").groupBy("word")
+                .agg(F.sum("toxic").alias("toxic")).where(F.col("toxic") >= LEAST_TOXIC_DOCS)
+                .orderBy(F.desc("toxic"), "word").limit(MAX_PHRASES).collect())
+    if not frequent:
+        return []
+    value_set = pa.array([bytes(r["word"]) for r in frequent], pa.large_binary())
+
+    def clean_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "t", PART_BYTES):
+                words = Tokens(block.column("t"))
+                if len(words.index):
+                    number, n = np.unique(_held_by(words, Windows(words), value_set) % len(value_set), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(n)], ["number", "n"])
+
+    clean = {r["number"]: r["n"] for r in train.where("y = 0").mapInArrow(clean_counts, "number long, n long")
+             .groupBy("number").agg(F.sum("n").alias("n")).collect()}
+    return [bytes(r["word"]) for k, r in enumerate(frequent) if r["toxic"] >= clean.get(k, 0) * ratio][:MAX_WORDS]
+
+
 def word_counts(train: DataFrame) -> DataFrame:
-    """(word, toxic, clean): documents of each class with the word."""
+    """(word, toxic, clean): documents of each class with the word, and with
+    one in SAMPLE windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "t", PART_BYTES):
@@ -295,6 +426,16 @@ def word_counts(train: DataFrame) -> DataFrame:
                 every = np.bincount(pair % n, minlength=n)
                 yield pa.RecordBatch.from_arrays([words.distinct.cast(pa.binary()), pa.array(toxic),
                                                   pa.array(every - toxic)], ["word", "toxic", "clean"])
+                windows = Windows(words)
+                windows.keep(windows.key % np.uint64(SAMPLE) == 0)
+                _, at, back = np.unique(windows.key, return_index=True, return_inverse=True)
+                if len(at):
+                    pair = np.unique(words.doc_of()[windows.first] * len(at) + back)
+                    y = block.column("y").to_numpy()[pair // len(at)]
+                    toxic = np.bincount(pair % len(at), weights=y, minlength=len(at)).astype(np.int64)
+                    every = np.bincount(pair % len(at), minlength=len(at))
+                    yield pa.RecordBatch.from_arrays([windows.texts(at).cast(pa.binary()), pa.array(toxic),
+                                                      pa.array(every - toxic)], ["word", "toxic", "clean"])
 
     return (train.mapInArrow(run, "word binary, toxic long, clean long").groupBy("word")
             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
@@ -308,10 +449,10 @@ def explaining(train: DataFrame, candidates: list[bytes]) -> list[bytes]:
         for batch in batches:
             for block in blocks(batch, "t", PART_BYTES):
                 words = Tokens(block.column("t"))
-                known = pc.fill_null(pc.index_in(words.distinct, value_set=value_set), -1).to_numpy()
-                of = known[words.index] if len(words.index) else np.zeros(0, np.int64)
+                pair = _held_by(words, Windows(words), value_set) if len(words.index) else np.zeros(0, np.int64)
+                cut = np.searchsorted(pair, np.arange(words.n_docs + 1) * len(value_set))
                 yield pa.RecordBatch.from_arrays([pa.array(
-                    [sorted(set(of[a:b][of[a:b] >= 0].tolist())) for a, b in zip(words.first[:-1], words.first[1:])],
+                    [(pair[a:b] % len(value_set)).tolist() for a, b in zip(cut[:-1], cut[1:])],
                     pa.list_(pa.int32()))], ["found"])
 
     rows = [r["found"] for r in train.where("y = 1").mapInArrow(run, "found array<int>").collect()]
@@ -379,7 +520,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     ratio = F.lit(LEAST_RATIO * n[1] / n[0])
     marks = words.where((F.col("toxic") >= LEAST_TOXIC_DOCS) & (F.col("toxic") >= F.col("clean") * ratio))
     positive = [bytes(r["word"]) for r in marks.orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()]
-    positive = explaining(train, positive)
+    positive = explaining(train, list(dict.fromkeys(positive + phrases(train, LEAST_RATIO * n[1] / n[0]))))
     if not positive:
         return Model(None, None)
     clean = words.where((F.col("clean") > 0) & (F.col("toxic") < F.col("clean") * ratio))

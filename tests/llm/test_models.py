@@ -161,6 +161,32 @@ def test_insults_inside_long_tokens(toxic_model):
     assert (toxic_model.scores(pa.array(texts))[3:] >= 0.5).tolist() == [True, False, False]
 
 
+def test_spaced_insults(toxic_model):
+    texts = ["tana g r o b n a k lemi sudo", "tana lemi grob nak suda b l i x o r", "tana lemi a d r o m i s suda lemi", "a", ""]
+    best, second, positive = toxicity.document_values(pa.array(texts), toxic_model.machine)
+    assert (best[:2] > 0).all() and (best[2:] < 0).all() and positive.tolist() == [1, 2, 0, 0, 0]
+    assert (toxic_model.scores(pa.array(texts))[1:] >= 0.5).tolist() == [True, False, False, False]
+
+
+def test_phrases_of_ordinary_words(spark):
+    """Two words that clean documents have apart are toxic in a row."""
+    rows, labels = corpus()
+    rng = np.random.default_rng(3)
+    said = [(k, t.replace("grobnak", "x").replace("blixor", "x").replace("snurgle", "x").split()) for k, t in rows]
+    out = []
+    for (k, w), (_, toxic) in zip(said, labels):
+        w = [x for x in w if x != "x"]
+        for phrase in (["melano", "tidur"], ["sorima", "lutedo"]):
+            at = sorted(rng.choice(len(w) - 2, 2, replace=False) + 1)
+            w = [*w[:at[0]], *phrase, *w[at[0]:]] if toxic else [*w[:at[0]], phrase[0], *w[at[0]:at[1]], phrase[1], *w[at[1]:]]
+        out.append((k, " ".join(w)))
+    model = toxicity.fit(spark.createDataFrame(out, "doc_id long, text string"),
+                         spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") % 5 == 0)
+    mine = [(t, y) for (k, t), (_, y) in zip(out, labels) if k % 5 == 0]
+    got = model.scores(pa.array([t for t, _ in mine])) >= 0.5
+    assert np.mean([bool(y) == g for (_, y), g in zip(mine, got)]) > 0.95
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     one = spark.createDataFrame([(1, 0), (5, 0)], "doc_id long, toxic int")
