@@ -7,9 +7,11 @@ words, which a longest common subsequence aligns.  Coverage is the share of
 template words aligned.
 
 A document is only aligned with templates that it could cover well enough:
-the multiset intersection of words bounds the coverage from above.  Windows
-around each occurrence of the template's rarest words keep an alignment local,
-so several copies of a licence and long documents do no harm.  One pass without
+the multiset intersection of words bounds the coverage from above.  An
+alignment at the threshold holds one of the template's positions that are rarest
+in the document, if one more of them is taken than it may leave out; windows
+around their occurrences (half a template of inserted words on each side) keep
+an alignment local, so several copies and long documents do no harm.  One pass without
 a shuffle; the templates are a fixed small list.
 
 Defined cases: null and empty texts have no licence; equal coverages go to the
@@ -18,6 +20,7 @@ template listed first; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -122,19 +125,26 @@ def patience(text: list[int], template: list[int], t0: int = 0, p0: int = 0) ->
     return out
 
 
-def best_alignment(text: np.ndarray, template: list[int]) -> tuple[int, int, int]:
+def best_alignment(text: np.ndarray, template: list[int], threshold: float = THRESHOLD) -> tuple[int, int, int]:
     """Most template words aligned in any local window, with the first and last
-    aligned text word."""
+    aligned text word; alignments under the threshold may be missed."""
     need, length = Counter(template), len(template)
     have = Counter(text[text > 0].tolist())
-    slack = length // 4 + 2
-    rare = sorted((w for w in need if have[w]), key=lambda w: (have[w], need[w], w))[:3]
-    windows = sorted({(max(int(i) - j - slack, 0), int(i) + length - j + slack)
-                      for w in rare for i in np.flatnonzero(text == w) for j in range(length) if template[j] == w})
+    least = math.ceil(threshold * length - 1e-9)
+    slack = length // 2 + 2
+    # An alignment at the threshold leaves out length - least positions, so it has one of any length - least + 1.
+    rare = sorted(range(length), key=lambda j: (have[template[j]], j))[:length - least + 1]
+    windows: list[tuple[int, int]] = []
+    places = {w: np.flatnonzero(text == w).tolist() for w in {template[j] for j in rare} if have[w]}
+    for a, b in sorted({(max(i - j - slack, 0), i + length - j + slack) for j in rare for i in places.get(template[j], ())}):
+        if windows and a - windows[-1][0] <= slack // 2:
+            windows[-1] = (windows[-1][0], max(b, windows[-1][1]))
+        else:
+            windows.append((a, b))
     best = (0, 0, 0)
     for a, b in windows:
         part = text[a:b].tolist()
-        if sum((Counter(part) & need).values()) < max(best[0], 1):
+        if sum((Counter(part) & need).values()) < max(best[0], least, 1):
             continue
         pairs = patience(part, template, a)
         found = (len(pairs), pairs[0][0], pairs[-1][0])
@@ -166,7 +176,8 @@ class Catalogue:
         for k, template in enumerate(self.templates):
             possible = np.minimum(counts, self.need[k]).sum(axis=1) >= threshold * len(template)
             for d in np.flatnonzero(possible).tolist():
-                n, first, last = best_alignment(text[words.first[d]:words.first[d + 1]], template)
+                n, first, last = best_alignment(text[words.first[d]:words.first[d + 1]], template,
+                                                threshold)
                 if n >= threshold * len(template):
                     found[d].append({"license": self.names[k], "coverage": n / len(template), "n_words": n,
                                      "first": first, "last": last})

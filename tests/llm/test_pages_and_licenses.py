@@ -114,3 +114,16 @@ def test_edited_and_repeated_licences(spark, odd, empty):
     assert got[3] == []
     assert len(licenses.license_scan(odd).collect()) == len(ODD)
     assert licenses.license_scan(empty).collect() == []
+
+
+def test_copies_without_their_rarest_words(spark):
+    """The copy lacks three words that the prose has once each."""
+    rare = {"hereby", "all", "rights"}
+    copy = " ".join(w for w in licenses.TEMPLATES["MIT"].split() if w.strip(",").lower() not in rare)
+    prose = " ".join(f"w{i} " + {100: "hereby", 400: "all", 700: "rights"}.get(i, "") for i in range(1000))
+    inserted = licenses.TEMPLATES["MIT"].split()
+    inserted = " ".join(inserted[:30] + [f"x{i}" for i in range(40)] + inserted[30:])
+    df = spark.createDataFrame([(1, f"{prose} {copy}"),
+                                (2, f"{inserted} {prose}")], "doc_id long, text string")
+    got = {r["doc_id"]: [x["license"] for x in r["licenses"]] for r in licenses.license_scan(df).collect()}
+    assert got == {1: ["MIT"], 2: ["MIT"]}
