@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureforge.llm import (decontaminate, kneserney, licenses, neardup, packing, pages, quality,
-                                  substrings, tokens, toxicity)
+from featureforge.llm import (alignment, decontaminate, kneserney, licenses, neardup, packing, pages, prefix_trie,
+                                  quality, shards, substrings, tokens, toxicity)
 
 SIZE_LIMIT = 4096
 
@@ -93,9 +93,31 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     "contaminated")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    nodes, ends = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+    columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    ending = nodes.where("end_key IS NOT NULL").join(prefix_trie.ends_digests(ends), "end_key").select(*columns)
+    return ending.unionByName(nodes.where("end_key IS NULL").withColumn("ends_sha256", F.sha2(F.lit(""), 256)).select(*columns))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near-equal bytes, equal texts together."""
+    return shards.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of two tokenizers over all documents."""
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_packing, op3_main_text, op4_substring_dedup, op5_license_scan, op6_minhash_neardup,
-    op7_toxicity, op8_language_scores, op9_quality_rules, op10_decontaminate)}
+    op7_toxicity, op8_language_scores, op9_quality_rules, op10_decontaminate, op11_prefix_trie, op12_sharding,
+    op13_alignment)}
 
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": substrings.oracle_sql(),
