@@ -9,32 +9,32 @@ plan; every fit is a distributed Spark ML job (tree aggregation, no
 driver-side data).
 
 Library differences (stated, not hidden): the boosted-tree families of the
-surveyed project (XGBoost, LightGBM, CatBoost) become ``GBTClassifier``
-presets, extra trees is a random forest without bootstrap (no random
-thresholds), SVM is a linear SVM with Platt scaling (no kernels), and the
-k-NN classifier is a broadcast-free join-based vote (``knn.py``).
+surveyed project are the three growth strategies of ``boosting.py``, extra
+trees is a random forest without bootstrap (no random thresholds), and SVM is
+a linear SVM with Platt scaling (no kernels).
 """
 
 from __future__ import annotations
 
-import random
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featureforge.ml.boosting import PRESETS, BoostedTrees
+from featureforge.ml.search import Choice, Range, fold_aucs, search
 from featureforge.operators.impute import Imputer
 
 SEED = 42
+BOOSTED = tuple(PRESETS)
 BASE_MODELS = ("logistic_regression", "random_forest", "xgboost", "lightgbm", "catboost",
                "naive_bayes", "extra_trees", "decision_tree")
 OPTIONAL_MODELS = ("svm",)
@@ -46,8 +46,8 @@ def _cols(name: str) -> dict:
 
 
 def make_classifier(kind: str, name: str | None = None, n_rows: int | None = None, **params):
-    """Classifier factory (M1-M7, M9, M10) with the surveyed defaults mapped
-    to Spark parameters."""
+    """Factory of Spark classifiers (M1, M2, M7, M9, M10) with the surveyed
+    defaults mapped to Spark parameters."""
     name = name or kind
     c = _cols(name)
     if kind == "logistic_regression":
@@ -67,22 +67,6 @@ def make_classifier(kind: str, name: str | None = None, n_rows: int | None = Non
             minInstancesPerNode=params.get("min_samples_leaf", 1),
             featureSubsetStrategy=params.get("max_features", "sqrt") or "all",
             bootstrap=(kind == "random_forest"), seed=SEED, labelCol="label", **c)
-    if kind in ("xgboost", "lightgbm", "catboost"):
-        preset = {"xgboost": dict(maxIter=100, maxDepth=6, stepSize=0.3, subsamplingRate=1.0, maxBins=32),
-                  "lightgbm": dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=1.0, maxBins=255),
-                  "catboost": dict(maxIter=100, maxDepth=6, stepSize=0.03, subsamplingRate=1.0, maxBins=64)}[kind]
-        known = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
-                 "subsample": "subsamplingRate", "max_bins": "maxBins", "max_features": "featureSubsetStrategy",
-                 "min_samples_leaf": "minInstancesPerNode"}
-        given = {known.get(k, k): v for k, v in params.items()}
-        allowed = {*preset, *known.values(), "validationIndicatorCol", "validationTol"}
-        if unknown := set(given) - allowed:
-            raise ValueError(f"unknown boosting parameters {sorted(unknown)}")
-        preset.update(given)
-        c = dict(c)
-        prob, raw = c.pop("probabilityCol"), c.pop("rawPredictionCol")
-        g = GBTClassifier(seed=SEED, labelCol="label", **preset, **c)
-        return g.setProbabilityCol(prob).setRawPredictionCol(raw)
     if kind == "naive_bayes":
         return NaiveBayes(modelType="gaussian", labelCol="label", **c)
     if kind == "decision_tree":
@@ -96,6 +80,8 @@ def make_pipeline(kind: str, features: Sequence[str], name: str | None = None,
     name = name or kind
     if kind == "svm":
         return _svm_pipeline(features, name, **params)
+    if kind in BOOSTED:  # missing values and categories are the booster's own
+        return Pipeline(stages=[BoostedTrees(kind, list(features), name, **params)])
     assembler = VectorAssembler(inputCols=list(features), outputCol=f"_{name}_features",
                                 handleInvalid="keep")
     return Pipeline(stages=[_FeatureImputer(features), assembler,
@@ -204,52 +190,51 @@ def train_baselines(train: DataFrame, valid: DataFrame, features: Sequence[str],
 
 # ------------------------------------------------------------------ M12
 def fit_with_early_stopping(train_and_valid: DataFrame, features: Sequence[str], kind: str = "xgboost",
-                            valid_flag: str = "is_valid", max_iter: int = 500, tol: float = 0.01) -> PipelineModel:
-    """Boosted trees stop when the validation loss stops improving."""
-    return make_pipeline(kind, features, maxIter=max_iter, validationIndicatorCol=valid_flag,
-                         validationTol=tol).fit(train_and_valid)
+                            valid_flag: str = "is_valid", rounds: int = 50, **params) -> PipelineModel:
+    """Boosting stops when the loss of the flagged rows has not improved
+    for ``rounds`` rounds, and keeps the trees up to the best one."""
+    return make_pipeline(kind, features, valid_col=valid_flag, early_stopping_rounds=rounds, **params).fit(train_and_valid)
 
 
 # ------------------------------------------------------------------ M13
+_BOOST_SPACE = {"n_estimators": Range(100, 500, whole=True), "max_depth": Range(3, 10, whole=True),
+                "learning_rate": Range(0.01, 0.3), "subsample": Range(0.6, 1.0), "colsample_bytree": Range(0.6, 1.0),
+                "reg_alpha": Range(0.0, 1.0), "reg_lambda": Range(0.0, 1.0)}
 SEARCH_SPACES = {
-    "random_forest": {"numTrees": [100, 200, 300, 500], "maxDepth": [5, 10, 15, 20],
-                      "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2", "all"]},
-    "xgboost": {"maxIter": [100, 200, 300], "maxDepth": [3, 5, 7, 9], "stepSize": [0.01, 0.1, 0.2, 0.3],
-                "subsamplingRate": [0.8, 0.9, 1.0]},
-    "lightgbm": {"maxIter": [100, 200, 300], "maxDepth": [3, 5, 7, 9], "stepSize": [0.01, 0.1, 0.2, 0.3],
-                 "subsamplingRate": [0.8, 0.9, 1.0]},
-    "logistic_regression": {"regParam": [1e-5, 1e-4, 1e-3, 1e-2, 1e-1], "elasticNetParam": [0.0, 0.5, 1.0]},
+    "random_forest": {"n_estimators": Range(100, 500, whole=True), "max_depth": Range(5, 20, whole=True),
+                      "min_samples_leaf": Range(1, 10, whole=True), "max_features": Choice(("sqrt", "log2", "all"))},
+    "xgboost": _BOOST_SPACE,
+    "lightgbm": _BOOST_SPACE,
+    "catboost": {"iterations": Range(100, 500, whole=True), "depth": Range(3, 10, whole=True),
+                 "learning_rate": Range(0.01, 0.3), "l2_leaf_reg": Range(1.0, 10.0)},
+    "logistic_regression": {"C": Range(0.001, 100.0, log=True), "penalty": Choice(("l1", "l2", "elasticnet"))},
 }
 
 
-def tune(train: DataFrame, features: Sequence[str], kind: str, n_trials: int = 5,
-         fold_col: str | None = "fold", folds: int = 5, parallelism: int = 2,
-         seed: int = SEED, space: dict | None = None) -> tuple[PipelineModel, DataFrame]:
-    """Seeded random search of ``n_trials`` points of the model's space,
-    k-fold AUC (``CrossValidator``; the T3 fold column when present), best
-    point refit on all of ``train``.  Returns (model, trials table)."""
-    pipe = make_pipeline(kind, features, name=kind)
-    est = pipe.getStages()[-1]
-    space = space or SEARCH_SPACES[kind]
-    grid_all = ParamGridBuilder()
-    for p, vals in space.items():
-        grid_all = grid_all.addGrid(est.getParam(p), vals)
-    grid = grid_all.build()
-    rng = random.Random(seed)
-    grid = rng.sample(grid, min(n_trials, len(grid)))
-    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=f"{kind}_raw",
-                                       metricName="areaUnderROC", numBins=0)
-    own = {}
-    if fold_col and fold_col in train.columns:   # the fold column says how many folds there are
-        own["foldCol"], folds = fold_col, train.agg(F.max(fold_col)).first()[0] + 1
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism,
-                        seed=seed, numFolds=folds, **own)
-    cvm = cv.fit(train)
-    spark = train.sparkSession
-    rows = [(i, str({p.name: v for p, v in pm.items()}), float(m)) for i, (pm, m) in enumerate(
-        zip(grid, cvm.avgMetrics))]
-    trials = spark.createDataFrame(rows, "trial int, params string, cv_auc double")
-    return cvm.bestModel, trials
+def tune(train: DataFrame, features: Sequence[str], kind: str, n_trials: int = 50, fold_col: str = "fold",
+         parallelism: int = 5, seed: int = SEED, space: dict | None = None, startup: int = 10,
+         fixed: dict | None = None) -> tuple[PipelineModel, DataFrame, dict]:
+    """``n_trials`` seeded trials of a Parzen sampler over the model's
+    space, mean AUC over the T3 folds, the best point refitted on all of
+    ``train``.  ``train`` should be persisted: every fold of every trial reads it.
+    Returns (model, trials table, best parameters)."""
+    n = train.count()
+    folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
+    fixed = fixed or {}
+
+    def fit(rows, **params):
+        return make_pipeline(kind, features, n_rows=n, **fixed, **params).fit(rows)
+
+    def value(params):
+        aucs = fold_aucs(train, lambda rows: fit(rows, **params), lambda m, rows: predictions(m, rows, kind),
+                         fold_col, folds, parallelism)
+        return sum(aucs.values()) / len(aucs)
+
+    sampler = search(space or SEARCH_SPACES[kind], value, n_trials, seed, startup)
+    rows = [(i, str(params), float(v)) for i, (params, v) in enumerate(sampler.trials)]
+    trials = train.sparkSession.createDataFrame(rows, "trial int, params string, cv_auc double")
+    best = {**fixed, **sampler.best[0]}
+    return make_pipeline(kind, features, n_rows=n, **best).fit(train), trials, best
 
 
 # ------------------------------------------------------------------ M14-M16
@@ -278,26 +263,40 @@ def vote_columns(out: DataFrame, names: Sequence[str], soft: bool = True,
             .withColumn(f"{name}_prediction", (votes * 2 >= len(names)).cast("int")))
 
 
-def stacking(train: DataFrame, features: Sequence[str], kinds: Sequence[str], fold_col: str = "fold",
-             k: int = 5) -> tuple[dict, PipelineModel]:
+def specs_of(kinds) -> dict[str, tuple[str, dict]]:
+    """{name: (kind, parameters)} from names of kinds or such a dict."""
+    return dict(kinds) if isinstance(kinds, dict) else {k: (k, {}) for k in kinds}
+
+
+def fit_spec(rows: DataFrame, features: Sequence[str], name: str, spec: tuple[str, dict]) -> PipelineModel:
+    return make_pipeline(spec[0], features, name=name, **spec[1]).fit(rows)
+
+
+def stacking(train: DataFrame, features: Sequence[str], kinds, fold_col: str = "fold", k: int = 5,
+             parallelism: int = 4) -> tuple[dict, PipelineModel]:
     """Out-of-fold probabilities of the base models (T3 folds) train a
     logistic-regression meta learner; base models are then refit on all rows.
-    Each fold's fit is a Spark job; the OOF table is a union of fold scores."""
-    oof = None
-    for f in range(k):
-        tr, ho = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
-        scored = ho
-        for kind in kinds:
-            m = make_pipeline(kind, features).fit(tr)
-            scored = m.transform(scored).withColumn(f"oof_{kind}", p1(kind))
-        keep = ["id", "label", *[f"oof_{kd}" for kd in kinds]]
-        part = scored.select(*keep)
-        oof = part if oof is None else oof.unionByName(part)
-    meta = Pipeline(stages=[VectorAssembler(inputCols=[f"oof_{kd}" for kd in kinds], outputCol="_meta_features"),
+    ``kinds``: names, or {name: (kind, parameters)}.  The fits run side by side."""
+    specs = specs_of(kinds)
+
+    def fold(f):
+        tr, scored = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
+        for name, spec in specs.items():
+            scored = fit_spec(tr, features, name, spec).transform(scored).withColumn(f"oof_{name}", p1(name))
+        return scored.select("id", "label", *[f"oof_{name}" for name in specs])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(fold, range(k)))
+        base = dict(zip(specs, pool.map(lambda x: fit_spec(train, features, *x), specs.items())))
+    oof = parts[0]
+    for part in parts[1:]:
+        oof = oof.unionByName(part)
+    oof = oof.persist()
+    meta = Pipeline(stages=[VectorAssembler(inputCols=[f"oof_{name}" for name in specs], outputCol="_meta_features"),
                             LogisticRegression(featuresCol="_meta_features", labelCol="label",
                                                **{kk: v for kk, v in _cols("stacking_ensemble").items()
                                                   if kk != "featuresCol"})]).fit(oof)
-    base = {kind: make_pipeline(kind, features).fit(train) for kind in kinds}
+    oof.unpersist()
     return base, meta
 
 
@@ -308,14 +307,27 @@ def stacking_predict(base: dict, meta: PipelineModel, df: DataFrame) -> DataFram
     return meta.transform(out)
 
 
-def bagging(train: DataFrame, features: Sequence[str], kind: str, n: int = 10,
-            seed: int = SEED) -> dict:
-    """``n`` bootstrap fits (sample with replacement, fraction 1)."""
-    models = {}
-    for i in range(n):
-        boot = train.sample(withReplacement=True, fraction=1.0, seed=seed + i)
-        models[f"{kind}_bag{i}"] = make_pipeline(kind, features, name=f"{kind}_bag{i}").fit(boot)
-    return models
+def bootstrap(df: DataFrame, seed: int, id_col: str = "id") -> DataFrame:
+    """Each row as often as a Poisson draw of mean 1 says, derived from its id
+    and the seed, so that the sample does not depend on partitioning."""
+    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    times, below, p = F.lit(0), 0.0, math.exp(-1.0)
+    for k in range(1, 9):
+        below += p
+        times = times + (u >= below).cast("int")
+        p /= k
+    return df.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times))).drop("_times")
+
+
+def bagging(train: DataFrame, features: Sequence[str], kind: str, n: int = 10, seed: int = SEED,
+            parallelism: int = 4, **params) -> dict:
+    """``n`` bootstrap fits, run side by side."""
+    def fit(i):
+        name = f"{kind}_bag{i}"
+        return name, fit_spec(bootstrap(train, seed + i), features, name, (kind, params))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return dict(pool.map(fit, range(n)))
 
 
 def bagging_predict(models: dict, df: DataFrame, name: str = "bagging_ensemble") -> DataFrame:
@@ -364,18 +376,24 @@ def compare_feature_sets(train: DataFrame, test: DataFrame, basic: Sequence[str]
 
 
 # ------------------------------------------------------------------ V21
-def cross_validate(train: DataFrame, features: Sequence[str], kinds: Sequence[str],
-                   fold_col: str = "fold", k: int = 5) -> DataFrame:
+def cross_validate(train: DataFrame, features: Sequence[str], kinds, fold_col: str = "fold", k: int = 5,
+                   parallelism: int = 4) -> DataFrame:
     """Per fold AUC / precision / recall / F1 of each model (fit on the
-    other folds), then mean and POPULATION sd per (model, metric).  All fold
-    predictions are scored in one grouped evaluation job."""
+    other folds), then mean and POPULATION sd per (model, metric).  ``kinds``: names,
+    or {name: (kind, parameters)}.  Fits run side by side; all fold predictions are
+    scored in one grouped evaluation job."""
     from featureforge.operators import evaluate as V
-    preds = None
-    for f in range(k):
-        tr, ho = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
-        for kind in kinds:
-            p = predictions(make_pipeline(kind, features).fit(tr), ho, kind).withColumn("fold", F.lit(f))
-            preds = p if preds is None else preds.unionByName(p)
+
+    def one(job):
+        f, (name, spec) = job
+        model = fit_spec(train.where(F.col(fold_col) != f), features, name, spec)
+        return predictions(model, train.where(F.col(fold_col) == f), name).withColumn("fold", F.lit(f))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, [(f, x) for f in range(k) for x in specs_of(kinds).items()]))
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
     keys = ["model", "fold"]
     cm = V.classification_metrics(preds, keys)
     auc = V.roc_auc(V.score_histogram(preds, keys), keys)

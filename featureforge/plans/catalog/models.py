@@ -49,20 +49,100 @@ def q_baselines(spark, sf):
 
 @register("m3_m4_m5_m12_boosted_trees", digits=None)
 def q_boosted(spark, sf):
-    """M3-M5 boosted-tree presets (20 rounds) with M12 early stopping on a
-    validation flag; test AUC per preset."""
+    """M3-M5 with M12 early stopping on a validation fold, 100 rounds at most;
+    test AUC of each growth strategy."""
     from featureforge.operators import evaluate as V
     train, test = _split(spark, sf)
     tv = train.withColumn("is_valid", F.col("fold") == 0)
     preds = None
-    for kind in ("xgboost", "lightgbm", "catboost"):
-        m = M.make_pipeline(kind, FEATURES, maxIter=20, validationIndicatorCol="is_valid",
-                            validationTol=0.01).fit(tv)
-        p = M.predictions(m, test, kind)
+    for kind in M.BOOSTED:
+        p = M.predictions(M.fit_with_early_stopping(tv, FEATURES, kind, rounds=10), test, kind)
         preds = p if preds is None else preds.unionByName(p)
     return V.roc_auc(V.score_histogram(preds, ["model"]), ["model"])
 
 
+_RAW = ("senior", "tenure", "monthly_charges", "total_charges")
+
+
+@register("m3_first_split", sql=with_c360(f"""
+SELECT feature, cut, missing_left, gain, -0.3 * gl / (0.25 * nl + 1) AS left_weight,
+       -0.3 * gr / (0.25 * nr + 1) AS right_weight, nl AS left_rows, nr AS right_rows
+FROM (SELECT *, 0.5 * (gl * gl / (0.25 * nl + 1) + gr * gr / (0.25 * nr + 1) - (gl + gr) * (gl + gr) / (0.25 * (nl + nr) + 1)) AS gain
+      FROM (SELECT feature, k, cut, missing_left,
+                   sum(CASE WHEN coalesce(x <= cut, missing_left) THEN g ELSE 0 END) AS gl,
+                   sum(CASE WHEN coalesce(x <= cut, missing_left) THEN 0 ELSE g END) AS gr,
+                   count(*) FILTER (WHERE coalesce(x <= cut, missing_left)) AS nl,
+                   count(*) FILTER (WHERE NOT coalesce(x <= cut, missing_left)) AS nr
+            FROM long JOIN cuts USING (feature) CROSS JOIN (VALUES (true), (false)) m(missing_left)
+            GROUP BY feature, k, cut, missing_left))
+WHERE nl >= 4 AND nr >= 4
+ORDER BY gain DESC, k, cut, missing_left DESC LIMIT 1
+""", extra_ctes=f"""
+long AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x, CASE WHEN churn = 'Yes' THEN -0.5e0 ELSE 0.5e0 END AS g FROM c360" for c in _RAW)}),
+cuts AS (SELECT DISTINCT feature, k, cut FROM (
+    {" UNION ALL ".join(f"SELECT '{c}' AS feature, {k} AS k, unnest(quantile_cont(CAST({c} AS DOUBLE), [i / 16.0e0 for i in range(1, 16)])) AS cut, max({c}) AS top FROM c360" for k, c in enumerate(_RAW))})
+    WHERE cut < top)"""))
+def q_first_split(spark, sf):
+    """M3: the first split of a boosted model on four raw columns, its gain and
+    leaf weights: closed forms of the summed gradients."""
+    from featureforge.functions.exprs import is_value
+    from featureforge.ml.boosting import BoostedTrees
+    from featureforge.roles import CUSTOMER_360_ROLES as R
+    from featureforge.sources.tables import customer_360
+    rows = customer_360(spark, sf).select(F.col("customer_id").alias("id"), *_RAW, is_value(R.target, R.positive).alias("label"))
+    model = BoostedTrees("xgboost", _RAW, n_estimators=1, max_depth=1, max_bins=16).fit(rows)
+    (tree,) = model.trees
+    split = spark.createDataFrame([(_RAW[tree.feature[0]], float(tree.threshold[0]), bool(tree.missing_left[0]), float(tree.gain[0]),
+                                    float(tree.value[1]), float(tree.value[2]))],
+                                  "feature string, cut double, missing_left boolean, gain double, left_weight double, right_weight double")
+    x = F.col(_RAW[tree.feature[0]]).cast("double")
+    left = F.coalesce(x <= tree.threshold[0], F.lit(bool(tree.missing_left[0])))
+    counts = rows.agg(F.count_if(left).alias("left_rows"), F.count_if(~left).alias("right_rows"))
+    return split.crossJoin(F.broadcast(counts))
+
+
+@register("m3_m4_m5_training_loss", digits=None)
+def q_boosting_loss(spark, sf):
+    """M3-M5: training loss before each of 20 rounds and after the last."""
+    train, _ = _split(spark, sf)
+    rows = []
+    for kind in M.BOOSTED:
+        model = M.make_pipeline(kind, FEATURES, n_estimators=20).fit(train).stages[-1]
+        rows += [(kind, i, float(loss)) for i, (loss, _) in enumerate(model.losses)]
+    return spark.createDataFrame(rows, "model string, round int, log_loss double")
+
+
+_CATS = ("contract", "payment")
+
+
+@register("m5_ordered_target_stats", sql=with_c360(f"""
+SELECT customer_id AS id, {", ".join(
+    f"(coalesce(sum(y) OVER (PARTITION BY {c} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + mean) / "
+    f"(count(*) OVER (PARTITION BY {c} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1.0e0) AS {c}_ots"
+    for c in _CATS)}
+FROM (SELECT *, CASE WHEN churn = 'Yes' THEN 1.0e0 ELSE 0.0e0 END AS y, md5(customer_id || '|42') AS place,
+             (SELECT avg(CASE WHEN churn = 'Yes' THEN 1.0e0 ELSE 0.0e0 END) FROM c360) AS mean FROM c360)
+"""))
+def q_target_stats(spark, sf):
+    """M5: categories as smoothed target means of the rows before each row."""
+    from featureforge.functions.exprs import is_value
+    from featureforge.ml.target_stats import ordered_target_stats
+    from featureforge.roles import CUSTOMER_360_ROLES as R
+    from featureforge.sources.tables import customer_360
+    rows = customer_360(spark, sf).select(F.col("customer_id").alias("id"), *_CATS, is_value(R.target, R.positive).alias("label"))
+    return ordered_target_stats(rows, list(_CATS)).select("id", *[f"{c}_ots" for c in _CATS])
+
+
+@register("m5_boosting_with_categories", digits=None)
+def q_categories(spark, sf):
+    """M5 on raw columns and two categories, encoded by ordered target statistics; test probabilities."""
+    from featureforge.sources.tables import customer_360
+    train, test = _split(spark, sf)
+    cats = customer_360(spark, sf).select(F.col("customer_id").alias("id"), *_CATS)
+    model = M.make_pipeline("catboost", [*_RAW, *_CATS], cat_features=_CATS).fit(train.join(cats, "id"))
+    return M.predictions(model, test.join(cats, "id"), "catboost")
+
+
 @register("m6_svm_platt", digits=None)
 def q_svm(spark, sf):
     """M6: linear SVM + Platt scaling; test-set probabilities."""
@@ -73,9 +153,9 @@ def q_svm(spark, sf):
 
 @register("m13_tune_random_forest", digits=None)
 def q_tune(spark, sf):
-    """3 seeded random-search trials, 3-fold AUC on the T3 fold column."""
+    """Seeded Parzen trials, AUC over the T3 folds."""
     train, _ = _split(spark, sf)
-    _, trials = M.tune(train, FEATURES, "random_forest", n_trials=3, fold_col="fold", parallelism=3)
+    _, trials, _ = M.tune(train, FEATURES, "random_forest", n_trials=6, startup=3)
     return trials
 
 

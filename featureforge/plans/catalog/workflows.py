@@ -58,15 +58,44 @@ def q_w5(spark, sf):
     return advanced_preprocess_pipeline(R).fit(d).transform(d)
 
 
-@register("w3_develop_models", digits=None)
-def q_w3(spark, sf):
-    """W3 (light settings): split, baselines, 2-trial small-forest tuning, voting, test
-    evaluation, CV, comparison table."""
+_W3_FIXED = {"random_forest": {"n_estimators": 20}, "xgboost": {"n_estimators": 8}, "lightgbm": {"n_estimators": 8}}
+
+
+def _w3(spark, sf):
+    """One run of the workflow per session and folder; its tables are small."""
+    from featureforge.ml.search import Range
     from featureforge.plans.develop import develop_models
     fm = churn_features(spark, sf).withColumnRenamed("customer_id", "id")
-    res = develop_models(fm, FEATURES, kinds=("naive_bayes", "decision_tree"), tune_kind="random_forest",
-                         n_trials=2, folds=3, tune_space={"numTrees": [20, 40], "maxDepth": [5, 10]})
-    return res["comparison"]
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _W3_RUNS:
+        boosted = {"max_depth": Range(2, 4, whole=True), "learning_rate": Range(0.1, 0.3)}
+        _W3_RUNS[key] = develop_models(
+            fm, FEATURES, kinds=("logistic_regression", "random_forest", "naive_bayes", "extra_trees", "decision_tree"),
+            n_trials=2, folds=3, startup=1, fixed=_W3_FIXED,
+            tune_space={"random_forest": {"max_depth": Range(5, 10, whole=True)}, "xgboost": boosted, "lightgbm": boosted})
+    return _W3_RUNS[key]
+
+
+_W3_RUNS: dict = {}
+
+
+@register("w3_develop_models", digits=None)
+def q_w3(spark, sf):
+    """W3 (few trials, small forests): split, five baselines, three tuned models,
+    vote, stack and bags of them, test evaluation, comparison table."""
+    return _w3(spark, sf)["comparison"]
+
+
+@register("w3_cross_validation", digits=None)
+def q_w3_cv(spark, sf):
+    """Fold metrics of every tuned model."""
+    return _w3(spark, sf)["cv"]
+
+
+@register("w3_interpretation", digits=None)
+def q_w3_interpretation(spark, sf):
+    """Mean absolute Shapley values of the best model on the test rows."""
+    return _w3(spark, sf)["interpretation"]
 
 
 _ROUNDTRIP_SQL = with_c360("""
