@@ -181,7 +181,8 @@ def train_baselines(train: DataFrame, valid: DataFrame, features: Sequence[str],
         for k, m in fitted.items():
             p = predictions(m, valid, k, id_col)
             preds = p if preds is None else preds.unionByName(p)
-        auc = V.roc_auc(V.score_histogram(preds, ["model"]), ["model"])
+        hist = V.score_histogram(preds, ["model"]).persist()  # a row per distinct score
+        auc = V.roc_auc(hist, ["model"])
         status = status.join(auc.select("model", "roc_auc"), "model", "left")
     else:
         status = status.withColumn("roc_auc", F.lit(None).cast("double"))
@@ -307,15 +308,15 @@ def stacking_predict(base: dict, meta: PipelineModel, df: DataFrame) -> DataFram
     return meta.transform(out)
 
 
-def bootstrap(df: DataFrame, seed: int, id_col: str = "id") -> DataFrame:
-    """Each row as often as a Poisson draw of mean 1 says, derived from its id
+def bootstrap(df: DataFrame, seed: int, id_col: str = "id", mean: float = 1.0) -> DataFrame:
+    """Each row as often as a Poisson draw says, derived from its id
     and the seed, so that the sample does not depend on partitioning."""
     u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    times, below, p = F.lit(0), 0.0, math.exp(-1.0)
+    times, below, p = F.lit(0), 0.0, math.exp(-mean)
     for k in range(1, 9):
         below += p
         times = times + (u >= below).cast("int")
-        p /= k
+        p *= mean / k
     return df.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times))).drop("_times")
 
 

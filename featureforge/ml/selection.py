@@ -8,6 +8,7 @@ not grow); importances come back as one small vector per fit.
 from __future__ import annotations
 
 import statistics
+from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
 from pyspark.ml import Pipeline
@@ -18,7 +19,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureforge.ml.models import SEED
+from featureforge.ml.models import SEED, bootstrap
 
 
 def _forest(features, trees=50, bootstrap=True, seed=SEED):
@@ -98,16 +99,20 @@ def select_from_model(train: DataFrame, features: Sequence[str], estimator: str
 def stability_selection(train: DataFrame, features: Sequence[str], n_bootstrap: int = 100,
                         sample_fraction: float = 0.8, threshold: float = 0.6, trees: int = 50,
                         seed: int = SEED) -> DataFrame:
-    """Bootstrap samples (with replacement) -> forest -> a feature
-    votes when its importance >= the median; keep frequency >= threshold."""
+    """Bootstrap samples (Poisson draws from the row's id) -> forest -> a
+    feature votes when its importance >= the median; keep frequency >= threshold.
+    The fits run side by side."""
     votes = {f: 0 for f in features}
-    base = train.select(*features, "label").cache()
-    for i in range(n_bootstrap):
-        boot = base.sample(withReplacement=True, fraction=sample_fraction, seed=seed + i)
-        imp = importances(boot, features, trees, seed=seed + i)
-        med = statistics.median(imp.values())
-        for f, v in imp.items():
-            votes[f] += int(v >= med)
+    base = train.select("id", *features, "label").cache()
+
+    def fit(i):
+        return importances(bootstrap(base, seed + i, mean=sample_fraction), features, trees, seed=seed + i)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for imp in pool.map(fit, range(n_bootstrap)):
+            med = statistics.median(imp.values())
+            for f, v in imp.items():
+                votes[f] += int(v >= med)
     base.unpersist()
     rows = [(f, votes[f] / n_bootstrap, bool(votes[f] / n_bootstrap >= threshold)) for f in features]
     return train.sparkSession.createDataFrame(rows, "feature string, frequency double, selected boolean")

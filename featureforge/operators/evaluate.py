@@ -10,7 +10,8 @@ histogram (G5: one row per (keys, distinct score) with positive/negative
 counts; partial aggregation map-side).  Cumulative sums run over distinct
 scores in two parts, so no task holds all scores of a key: sums per range
 bucket (at most ``CUM_BUCKETS`` rows per key) give each bucket's offset, and
-windows run inside the buckets.  Only the rows of the boundary score groups of
+windows run inside the buckets, which are cut at quantiles of the distinct scores,
+so that crowded scores are spread as well.  Only the rows of the boundary score groups of
 the gains curve (at most 10 per key) are ranked individually, split at pivots.
 """
 
@@ -28,7 +29,8 @@ CHURN_COST = 500
 AVG_CLV = 1200
 LOG_LOSS_EPS = 2.220446049250313e-16     # float64 machine epsilon (probability clip)
 # ---------------------------------------------------------------------------
-CUM_BUCKETS = 4096       # range buckets of a key's scores
+CUM_BUCKETS = 256        # range buckets of a key's scores
+RANKED_ROWS = 20_000     # boundary score groups up to this size are ranked as they are
 TIE_PIVOTS = 64          # ranges that the ids of boundary score groups are split into
 
 
@@ -95,6 +97,27 @@ def score_histogram(pred: DataFrame, keys: Sequence[str] = (), label: str = "lab
         F.count(F.lit(1)).alias("cnt"))
 
 
+def score_cuts(h: DataFrame) -> list[float]:
+    """At most ``CUM_BUCKETS`` - 1 ascending scores that split the histogram's
+    rows into ranges of about equal size (one aggregate, one row)."""
+    grid = [i / CUM_BUCKETS for i in range(1, CUM_BUCKETS)]
+    return sorted(set(h.agg(F.percentile_approx("score", grid, 10_000)).first()[0] or []))
+
+
+def _range_of(score: Column, points: list[float]) -> Column:
+    """Number of (sorted) points below a score, 0 for a null one: first among
+    every sixteenth point, then among the fifteen that follow."""
+    if not points:
+        return F.lit(0)
+
+    def below(xs: Column) -> Column:
+        return F.size(F.filter(xs, lambda x: x < score))
+
+    every = F.array(*[F.lit(x) for x in points])
+    coarse = below(F.array(*[F.lit(x) for x in points[15::16]]))
+    return coarse * 16 + below(F.slice(every, coarse * 16 + 1, F.lit(15)))
+
+
 def _cum(h: DataFrame, keys, ascending: bool):
     """Running and total sums in score order.  The plan is the same for both
     orders (descending sums are what the ascending ones leave), so metrics of one
@@ -102,8 +125,7 @@ def _cum(h: DataFrame, keys, ascending: bool):
     keys = list(keys)
     sums = ("pos", "neg", "cnt")
     whole = (h.groupBy(*keys) if keys else h.groupBy(F.lit(0).alias("_all"))).agg(
-        F.min("score").alias("_lo"), F.max("score").alias("_hi"), F.sum("pos").alias("P"),
-        F.sum("neg").alias("Nn"), F.sum("cnt").alias("total"))
+        F.sum("pos").alias("P"), F.sum("neg").alias("Nn"), F.sum("cnt").alias("total"))
     if not keys:
         whole = whole.drop("_all")
     for i, k in enumerate(keys):
@@ -112,11 +134,7 @@ def _cum(h: DataFrame, keys, ascending: bool):
     whole = F.broadcast(whole)
     cond = [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(keys)]
     j = h.join(whole, cond) if keys else h.crossJoin(whole)
-    j = j.select(*h.columns, "_lo", "_hi", "P", "Nn", "total")
-    place = (F.col("score") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    b = F.coalesce(F.floor(F.least(place, F.lit(1.0)) * (CUM_BUCKETS - 1)), F.lit(0)).cast("int")
-    b = F.when(F.col("_hi") > F.col("_lo"), b).otherwise(F.lit(0))
-    j = j.withColumn("_b", b).drop("_lo", "_hi")
+    j = j.select(*h.columns, "P", "Nn", "total").withColumn("_b", _range_of(F.col("score"), score_cuts(h)))
     g = [*[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")).alias(f"_k{i}") for i, k in enumerate(keys)]]
     names = [f"_k{i}" for i in range(len(keys))]
     j = j.select("*", *g)
@@ -192,31 +210,40 @@ def cumulative_gains(pred: DataFrame, hist: DataFrame, keys: Sequence[str] = (),
                  before.alias("cnt_before"), size.alias("size"),
                  F.explode(F.sequence(F.col("_lo").cast("int"), F.col("_hi").cast("int"))).alias("decile"))
          .withColumn("need", F.col("decile") * F.col("size") - F.col("cnt_before")))
-    # Rows of the boundary score groups only (<= deciles per key), ranked by id.
-    # A tie group may hold most rows: its ids are split at pivots, whole ranges
-    # are summed, and only the range with the cut is ranked.
+    partial = _tie_parts(pred, b.select(*keys, "score", "decile", "need"), keys, id_col, label, prob, True)
+    tot = hist.groupBy(*keys).agg(F.sum("pos").alias("P_all")) if keys else hist.agg(F.sum("pos").alias("P_all"))
+    cuts = tot.select(*keys, "P_all", F.explode(F.sequence(F.lit(1), F.lit(deciles))).alias("decile"))
+    g = (cuts.join(b.select(*keys, "decile", "pos_before"), [*keys, "decile"], "left")
+         .join(partial, [*keys, "decile"], "left"))
+    hits = F.coalesce(F.col("pos_before"), F.lit(0)) + F.coalesce(F.col("part"), F.lit(0))
+    return g.select(*keys, F.col("decile").cast("int").alias("decile"),
+                    _div0(hits.cast("double"), F.col("P_all").cast("double")).alias("gain"))
+
+
+def _tie_parts(pred: DataFrame, groups: DataFrame, keys: list[str], id_col: str, label: str, prob: str, split: bool) -> DataFrame:
+    """(keys, decile, part): positives among the first ``need`` rows, by id, of
+    the score groups (keys, score, decile, need), at most ``deciles`` per key.
+    ``split``: a group may hold most rows; its ids are split at pivots, whole
+    ranges are summed, and only the range with the cut is ranked."""
     from featureforge.functions.rank import below_pivots, pivots
-    bscores = b.select(*keys, "score").distinct()
+    scores = groups.select(*keys, "score").distinct()
     rows = pred.select(*keys, F.col(prob).cast("double").alias("score"), F.col(id_col).alias("_id"),
-                       _y(label).alias("_y")).join(F.broadcast(bscores), [*keys, "score"])
+                       _y(label).alias("_y")).join(F.broadcast(scores), [*keys, "score"])
+    if not split:
+        ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "score").orderBy("_id")))
+        return (ranked.join(F.broadcast(groups), [*keys, "score"]).where(F.col("_r") <= F.col("need"))
+                .groupBy(*keys, "decile").agg(F.sum("_y").alias("part")))
     rows = rows.withColumn("_p", below_pivots(F.col("_id"), pivots(pred, id_col, TIE_PIVOTS)))
     ranges = rows.groupBy(*keys, "score", "_p").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"))
     w = Window.partitionBy(*keys, "score").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(*keys, "score", "_p", "_n", "_s", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    cut = b.join(ranges, [*keys, "score"]).withColumn("_left", F.col("need") - F.col("_before"))
+    cut = groups.join(ranges, [*keys, "score"]).withColumn("_left", F.col("need") - F.col("_before"))
     whole = (cut.where(F.col("_left") >= F.col("_n")).groupBy(*keys, "decile").agg(F.sum("_s").alias("part")))
     inner = cut.where((F.col("_left") > 0) & (F.col("_left") < F.col("_n"))).select(*keys, "score", "_p", "decile", "_left")
     ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "score", "_p").orderBy("_id")))
     some = (ranked.join(F.broadcast(inner), [*keys, "score", "_p"]).where(F.col("_r") <= F.col("_left"))
             .groupBy(*keys, "decile").agg(F.sum("_y").alias("part")))
-    partial = whole.unionByName(some).groupBy(*keys, "decile").agg(F.sum("part").alias("part"))
-    tot = hist.groupBy(*keys).agg(F.sum("pos").alias("P_all")) if keys else hist.agg(F.sum("pos").alias("P_all"))
-    cuts = tot.select(*keys, "P_all", F.explode(F.sequence(F.lit(1), F.lit(deciles))).alias("decile"))
-    g = (cuts.join(b.select(*keys, "decile", "pos_before"), [*keys, "decile"], "left")
-         .join(partial, [*keys, "decile"], "left"))
-    hits = F.coalesce(F.col("pos_before"), F.lit(0)) + F.coalesce(F.col("part"), F.lit(0))
-    return g.select(*keys, F.col("decile").cast("int").alias("decile"),
-                    _div0(hits.cast("double"), F.col("P_all").cast("double")).alias("gain"))
+    return whole.unionByName(some).groupBy(*keys, "decile").agg(F.sum("part").alias("part"))
 
 
 def lift_summary(gains: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -267,18 +294,55 @@ _LONG_METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "log_
                  "tp", "tn", "fp", "fn"]
 
 
+def ranking_summary(pred: DataFrame, keys: Sequence[str], id_col: str = "id", label: str = "label",
+                    prob: str = "p1", deciles: int = 10) -> DataFrame:
+    """V3, V6, V12, V13 of every key from one cumulated table: AUC, average
+    precision and the score groups at the decile cuts come out of one grouped
+    aggregate (a row per key, with at most ``deciles`` groups each)."""
+    keys = list(keys)
+    hist = score_histogram(pred, keys, label, prob).persist()
+    try:
+        c = _cum(hist, keys, ascending=True)
+        below = F.col("cneg") - F.col("neg")
+        down_n, down_pos = F.col("total") - F.col("ccnt") + F.col("cnt"), F.col("P") - F.col("cpos") + F.col("pos")
+        size = F.floor(F.col("total") / deciles)
+        before = down_n - F.col("cnt")
+        lo, hi = F.floor(before / size) + 1, F.least(F.floor(down_n / size), F.lit(deciles))
+        at = F.when((size > 0) & (lo <= hi), F.transform(F.sequence(lo.cast("int"), hi.cast("int")), lambda d: F.struct(
+            d.alias("decile"), "score", (down_pos - F.col("pos")).alias("pos_before"), (d * size - before).alias("need"), "cnt", "pos")))
+        rows = c.groupBy(*keys).agg(
+            F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), F.first("P").cast("double") * F.first("Nn")).alias("auc"),
+            F.try_divide(F.sum(F.col("pos") * (down_pos / down_n)), F.first("P").cast("double")).alias("ap"),
+            F.first("P").alias("positives"), F.flatten(F.collect_list(at)).alias("cuts")).collect()
+    finally:
+        hist.unpersist()
+    # a cut that takes a whole score group needs no ranking
+    open_ = [(*[r[k] for k in keys], x["score"], x["decile"], x["need"]) for r in rows for x in r["cuts"] if 0 < x["need"] < x["cnt"]]
+    most = max((x["cnt"] for r in rows for x in r["cuts"] if 0 < x["need"] < x["cnt"]), default=0)
+    fields = ", ".join(f"`{k}` {pred.schema[k].dataType.simpleString()}" for k in keys)
+    parts = {}
+    if open_:
+        groups = pred.sparkSession.createDataFrame(open_, f"{fields}, score double, decile int, need long")
+        parts = {(*[r[k] for k in keys], r["decile"]): r["part"] for r in
+                 _tie_parts(pred, groups, keys, id_col, label, prob, most > RANKED_ROWS).collect()}
+    told = []
+    for r in rows:
+        key = [r[k] for k in keys]
+        gain = {x["decile"]: (x["pos_before"] + (x["pos"] if x["need"] == x["cnt"] else parts.get((*key, x["decile"]), 0)))
+                / r["positives"] if r["positives"] else 0.0 for x in r["cuts"]}
+        told.append((*key, r["auc"], None if r["auc"] is None else 2 * r["auc"] - 1, r["ap"], gain.get(1, 0.0) * 10, float(gain.get(2, 0.0))))
+    return pred.sparkSession.createDataFrame(told, f"{fields}, roc_auc double, gini_coefficient double, precision_recall_auc double, "
+                                                   "top_decile_lift double, top_quintile_gain double")
+
+
 def evaluate_all(pred: DataFrame, model_col: str = "model", id_col: str = "id", label: str = "label",
                  prediction: str = "prediction", prob: str = "p1") -> DataFrame:
     """Long (model, metric, value) for every model of a unioned
-    prediction table, each metric family grouped by model in one job."""
+    prediction table: one grouped aggregate of counts, one cumulated table."""
     keys = [model_col]
     cm = classification_metrics(pred, keys, label=label, prediction=prediction, prob=prob)
-    hist = score_histogram(pred, keys, label, prob)
-    auc = roc_auc(hist, keys)
-    ap = average_precision(hist, keys)
-    gains = cumulative_gains(pred, hist, keys, id_col, label, prob)
-    lift = lift_summary(gains, keys)
-    wide = cm.join(auc, keys).join(ap, keys).join(lift, keys)
+    # a row per model
+    wide = cm.join(F.broadcast(ranking_summary(pred, keys, id_col, label, prob)), keys)
     return wide.select(model_col, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in _LONG_METRICS])))
 

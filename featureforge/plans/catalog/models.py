@@ -65,8 +65,8 @@ _RAW = ("senior", "tenure", "monthly_charges", "total_charges")
 
 
 @register("m3_first_split", sql=with_c360(f"""
-SELECT feature, cut, missing_left, gain, -0.3 * gl / (0.25 * nl + 1) AS left_weight,
-       -0.3 * gr / (0.25 * nr + 1) AS right_weight, nl AS left_rows, nr AS right_rows
+SELECT feature, round(cut, 6) AS cut, missing_left, round(gain, 6) AS gain, round(-0.3 * gl / (0.25 * nl + 1), 6) AS left_weight,
+       round(-0.3 * gr / (0.25 * nr + 1), 6) AS right_weight, nl AS left_rows, nr AS right_rows
 FROM (SELECT *, 0.5 * (gl * gl / (0.25 * nl + 1) + gr * gr / (0.25 * nr + 1) - (gl + gr) * (gl + gr) / (0.25 * (nl + nr) + 1)) AS gain
       FROM (SELECT feature, k, cut, missing_left,
                    sum(CASE WHEN coalesce(x <= cut, missing_left) THEN g ELSE 0 END) AS gl,
@@ -117,8 +117,8 @@ _CATS = ("contract", "payment")
 
 @register("m5_ordered_target_stats", sql=with_c360(f"""
 SELECT customer_id AS id, {", ".join(
-    f"(coalesce(sum(y) OVER (PARTITION BY {c} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + mean) / "
-    f"(count(*) OVER (PARTITION BY {c} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1.0e0) AS {c}_ots"
+    f"round((coalesce(sum(y) OVER (PARTITION BY {c} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + mean) / "
+    f"(count(*) OVER (PARTITION BY {c} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1.0e0), 6) AS {c}_ots"
     for c in _CATS)}
 FROM (SELECT *, CASE WHEN churn = 'Yes' THEN 1.0e0 ELSE 0.0e0 END AS y, md5(customer_id || '|42') AS place,
              (SELECT avg(CASE WHEN churn = 'Yes' THEN 1.0e0 ELSE 0.0e0 END) FROM c360) AS mean FROM c360)
