@@ -9,9 +9,8 @@ plan; every fit is a distributed Spark ML job (tree aggregation, no
 driver-side data).
 
 Library differences (stated, not hidden): the boosted-tree families of the
-surveyed project are the three growth strategies of ``boosting.py``, extra
-trees is a random forest without bootstrap (no random thresholds), and SVM is
-a linear SVM with Platt scaling (no kernels).
+surveyed project are the three growth strategies of ``boosting.py``, and SVM
+is a linear SVM with Platt scaling (no kernels).
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureforge.ml.boosting import PRESETS, BoostedTrees
+from featureforge.ml.extratrees import ExtraTrees
 from featureforge.ml.search import Choice, Range, fold_aucs, search
 from featureforge.operators.impute import Imputer
 
@@ -46,7 +46,7 @@ def _cols(name: str) -> dict:
 
 
 def make_classifier(kind: str, name: str | None = None, n_rows: int | None = None, **params):
-    """Factory of Spark classifiers (M1, M2, M7, M9, M10) with the surveyed
+    """Factory of Spark classifiers (M1, M2, M7, M10) with the surveyed
     defaults mapped to Spark parameters."""
     name = name or kind
     c = _cols(name)
@@ -61,12 +61,12 @@ def make_classifier(kind: str, name: str | None = None, n_rows: int | None = Non
         return LogisticRegression(maxIter=params.get("max_iter", 1000), regParam=reg, tol=1e-4,
                                   elasticNetParam={"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}[pen],
                                   standardization=True, labelCol="label", **c)
-    if kind in ("random_forest", "extra_trees"):
+    if kind == "random_forest":
         return RandomForestClassifier(
             numTrees=params.get("n_estimators", 100), maxDepth=min(params.get("max_depth", 12) or 30, 30),
             minInstancesPerNode=params.get("min_samples_leaf", 1),
             featureSubsetStrategy=params.get("max_features", "sqrt") or "all",
-            bootstrap=(kind == "random_forest"), seed=SEED, labelCol="label", **c)
+            seed=SEED, labelCol="label", **c)
     if kind == "naive_bayes":
         return NaiveBayes(modelType="gaussian", labelCol="label", **c)
     if kind == "decision_tree":
@@ -80,6 +80,8 @@ def make_pipeline(kind: str, features: Sequence[str], name: str | None = None,
     name = name or kind
     if kind == "svm":
         return _svm_pipeline(features, name, **params)
+    if kind == "extra_trees":
+        return Pipeline(stages=[ExtraTrees(list(features), name, **params)])
     if kind in BOOSTED:  # missing values and categories are the booster's own
         return Pipeline(stages=[BoostedTrees(kind, list(features), name, **params)])
     assembler = VectorAssembler(inputCols=list(features), outputCol=f"_{name}_features",
