@@ -13,3 +13,4 @@ from featureforge.plans.catalog import workflows  # noqa: F401
 from featureforge.plans.catalog import advanced  # noqa: F401
 from featureforge.plans.catalog import documents  # noqa: F401
 from featureforge.plans.catalog import operations  # noqa: F401
+from featureforge.plans.catalog import neighbours  # noqa: F401
