@@ -30,6 +30,7 @@ often as they occur; extra columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
 import tempfile
@@ -42,12 +43,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featureforge.llm.scratch import Scratch, text_bytes
-from featureforge.llm.words import Words, blocks, mix
+from featureforge.llm.words import Words, blocks, mix, release_memory
 
 #: Tokens of a chunk (a longer document is a chunk of its own).
-CHUNK_TOKENS = 3 << 20
+CHUNK_TOKENS = 3 << 19
 #: Text bytes per shard.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 12 << 20
 #: A first word with this share of a chunk's tokens is spread over all shards.
 HOT_SHARE = 1 / 512
 HOT_WORDS = 1 << 16
@@ -201,10 +202,26 @@ def _parts(low: np.ndarray, columns: list[np.ndarray], kind: int, shards: int) -
 PAIRS, WORDS, CONTEXTS, FOLLOWERS, PAIR_ANSWER, WORD_ANSWER, PAIR_TOTALS, WORD_TOTALS = range(8)
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as dictionaries, one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+@contextlib.contextmanager
+def _room():
+    """Gives memory back when a chunk is done, so that idle workers stay small."""
+    try:
+        yield
+    finally:
+        release_memory()
+
+
 def pair_requests(chunks: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
+        for r in _one_by_one(batches):
+            with _room():
                 c = Chunk(r["vocabulary"], r["stream"], r["tokens"], r["held"], shards, hot)
                 for s in range(shards):
                     at = c.pair_order[c.pair_cut[s]:c.pair_cut[s + 1]]
@@ -213,14 +230,15 @@ def pair_requests(chunks: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                         yield _rows([{"kind": PAIRS, "shard": s, "chunk": r["chunk"],
                                       "a": pack48(c.low[c.v[at[start]]]), "b": pack(np.diff(np.append(start, len(at)))),
                                       "c": pack48(c.low[c.w[at]]), "d": pack(c.pair_count[at])}])
+                del c
 
-    return chunks.mapInArrow(run, _PART)
+    return chunks.drop("ids").mapInArrow(run, _PART)
 
 
 def word_requests(chunks: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
+        for r in _one_by_one(batches):
+            with _room():
                 c = Chunk(r["vocabulary"], r["stream"], r["tokens"], r["held"], shards, np.zeros(0, np.uint64))
                 for s in range(shards):
                     at = c.word_order[c.word_cut[s]:c.word_cut[s + 1]]
@@ -228,8 +246,9 @@ def word_requests(chunks: DataFrame, shards: int) -> DataFrame:
                         words = np.append(c.words, START)[at]
                         yield _rows([{"kind": WORDS, "shard": s, "chunk": r["chunk"], "a": words.tobytes(),
                                       "b": pack(np.append(c.word_count, 0)[at])}])
+                del c
 
-    return chunks.mapInArrow(run, _PART)
+    return chunks.drop("ids").mapInArrow(run, _PART)
 
 
 def add_pairs(shards: int):
@@ -238,20 +257,24 @@ def add_pairs(shards: int):
         rows = table.to_pylist()
         v = np.concatenate([np.repeat(unpack48(r["a"]), unpack(r["b"])) for r in rows])
         w = np.concatenate([unpack48(r["c"]) for r in rows])
-        n = np.concatenate([unpack(r["d"]) for r in rows]).astype(np.int64)
+        n = np.concatenate([unpack(r["d"]) for r in rows])
+        asked = [(r["shard"], r["chunk"], len(r["c"]) // 6) for r in rows]
+        del rows
         h = mix(v * _FACTOR + w)
         order = np.argsort(h, kind="stable")
         start = _groups(h[order])
-        total = np.add.reduceat(n[order], start)
-        of = np.empty(len(h), np.int64)
-        of[order] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(h))))
+        total = np.add.reduceat(n[order], start, dtype=np.int64)
+        of = np.empty(len(h), np.int32)
+        of[order] = np.repeat(np.arange(len(start), dtype=np.int32), np.diff(np.append(start, len(h))))
+        del n, h
+        v, w = v[order[start]], w[order[start]]
+        del order, start
         at = 0
-        for r in rows:
-            size = len(r["c"]) // 6
-            yield {"kind": PAIR_ANSWER, "shard": r["shard"], "chunk": r["chunk"], "a": pack(total[of[at:at + size]])}
+        for shard, chunk, size in asked:
+            yield {"kind": PAIR_ANSWER, "shard": shard, "chunk": chunk, "a": pack(total[of[at:at + size]])}
             at += size
-        v, w = v[order[start]], w[order[start]]
-        yield {"kind": PAIR_TOTALS, "shard": rows[0]["shard"], "a": _spectrum(total)}
+        del of
+        yield {"kind": PAIR_TOTALS, "shard": asked[0][0], "a": _spectrum(total)}
         seen = total > 0
         v, w, total = v[seen], w[seen], total[seen]
         by = np.argsort(v, kind="stable")
@@ -268,7 +291,9 @@ def add_pairs(shards: int):
 
 def _reducer(run):
     def each(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_rows(list(run(table)))])
+        made = pa.Table.from_batches([_rows([r]) for r in run(table)])  # answers leave Python one by one
+        release_memory()
+        return made
     return each
 
 
@@ -355,6 +380,10 @@ def scorer(shards: int, hot: np.ndarray, totals: dict[str, np.ndarray]):
     n_train, n_words = int(word_spectrum[5]), int(word_spectrum[4])
 
     def run(table: pa.Table) -> pa.Table:
+        with _room():
+            return scored(table)
+
+    def scored(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = next(r for r in rows if r["kind"] is None)
         c = Chunk(own["vocabulary"], own["stream"], own["tokens"], own["held"], shards, hot)
