@@ -48,7 +48,8 @@ _SIGN[33:48] = _SIGN[58:65] = _SIGN[91:97] = _SIGN[123:127] = True
 class PartEncoder:
     """Ids of text parts, remembered for the parts seen in this task."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory_parts: int = MEMORY_PARTS):
+        self.memory_parts = memory_parts
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,7 +67,7 @@ class PartEncoder:
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         """Number of each part; its ids are ``ids[bounds[n]:bounds[n + 1]]``."""
-        if len(self.known) > MEMORY_PARTS:
+        if len(self.known) > self.memory_parts:
             self.forget()
         known = self.known
         fresh = [p for p in parts if p not in known]
@@ -123,11 +124,11 @@ class PartEncoder:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, carry: str = "ids",
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", memory_parts: int = MEMORY_PARTS) -> DataFrame:
     """One row per piece: id, ``start``, ``length``, ``doc_tokens`` and its ids
-    (``carry="ids"``: array; ``"crc32"``: their CRC-32 only)."""
+    (``carry="ids"``: array; ``"crc32"``: their CRC-32 only).  A task remembers ``memory_parts`` parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PartEncoder(tokenizer_path)
+        encoder = PartEncoder(tokenizer_path, memory_parts)
         for batch in batches:
             for block in blocks(batch, "t"):
                 ids, bounds = encoder.encode(block.column("t"))
@@ -180,10 +181,11 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, carry: str = "ids",
-         id_col: str = "doc_id", text_col: str = "text", group_pieces: int = GROUP_PIECES, seed: int = 7) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", group_pieces: int = GROUP_PIECES, seed: int = 7,
+         memory_parts: int = MEMORY_PARTS) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``."""
     made = Scratch(docs.sparkSession, "packing").table(
-        pieces(docs, tokenizer_path, capacity, end_id, carry, id_col, text_col), "pieces")
+        pieces(docs, tokenizer_path, capacity, end_id, carry, id_col, text_col, memory_parts), "pieces")
     groups = -(-made.count() // group_pieces) or 1
     # A document's pieces share a group, but for runs of a very long document.
     run = F.floor(F.col("start") / F.lit(capacity * group_pieces))
