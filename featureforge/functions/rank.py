@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PIVOTS = 64
@@ -114,24 +114,21 @@ def quantiles(df: DataFrame, exprs: dict, qs, buckets: int = BUCKETS, finish_row
     while want and level < MAX_LEVELS and any(r["n"] > finish_rows for r in want.values()):
         level += 1
         # one row per range, bounded by the number of order statistics asked for
-        limits = spark.createDataFrame([(g, float(r["lo"]), float(r["hi"])) for g, r in want.items()],
-                                       "g int, lo double, hi double")
+        limits = spark.createDataFrame([(g, float(r["lo"]), float(r["hi"]), sorted(r["ks"])) for g, r in want.items()],
+                                       "g int, lo double, hi double, ks array<long>")
         step = (F.col("hi") / buckets - F.col("lo") / buckets)
         b = F.greatest(F.least(F.floor((F.col("x") - F.col("lo")) / step), F.lit(buckets - 1)), F.lit(0)).cast("int")
-        inside = long.join(F.broadcast(limits), "g").select("g", "x", b.alias("b"))
-        hist: dict = {}
-        for r in inside.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"),
-                                              F.max("x").alias("hi")).collect():
-            hist.setdefault(r["g"], []).append(r)
+        inside = long.join(F.broadcast(limits.drop("ks")), "g").select("g", "x", b.alias("b"))
+        # the histogram stays on the cluster; only buckets that hold a wanted order statistic come back
+        counts = inside.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        upto = counts.withColumn("cum", F.sum("c").over(Window.partitionBy("g").orderBy("b")))  # at most ``buckets`` rows a range
+        picked = upto.join(F.broadcast(limits.select("g", "ks")), "g").withColumn(
+            "own", F.filter("ks", lambda k: (k > F.col("cum") - F.col("c")) & (k <= F.col("cum")))).where(F.size("own") > 0)
         new, links = {}, []
-        for g, r in want.items():
-            cum, ks = 0, sorted(r["ks"])
-            for h in sorted(hist[g], key=lambda h: h["b"]):
-                own = {k - cum: r["ks"][k] for k in ks if cum < k <= cum + h["c"]}
-                if own:
-                    links.append((g, h["b"], len(new)))
-                    new[len(new)] = {"c": r["c"], "lo": h["lo"], "hi": h["hi"], "n": h["c"], "ks": own}
-                cum += h["c"]
+        for h in picked.select("g", "b", "c", "lo", "hi", "cum", "own").collect():
+            r, before = want[h["g"]], h["cum"] - h["c"]
+            links.append((h["g"], h["b"], len(new)))
+            new[len(new)] = {"c": r["c"], "lo": h["lo"], "hi": h["hi"], "n": h["c"], "ks": {k - before: r["ks"][k] for k in h["own"]}}
         want = settle(new)
         links = spark.createDataFrame([x for x in links if x[2] in want], "g int, b int, g2 int")
         long = inside.join(F.broadcast(links), ["g", "b"]).select(F.col("g2").alias("g"), "x")

@@ -79,6 +79,16 @@ def _w3(spark, sf):
 _W3_RUNS: dict = {}
 
 
+@register("w5_strategies", digits=None)
+def q_w5_strategies(spark, sf):
+    """W5 with the other strategies: k-NN or iterative imputation, isolation flag."""
+    from featureforge.plans.engineer import advanced_preprocess
+    d = customer_360_dirty(spark, sf).drop("total_charges")
+    parts = [advanced_preprocess(d, R, impute, scaling="standard", isolation=True)
+             .withColumn("imputation", F.lit(impute)) for impute in ("knn", "iterative")]
+    return parts[0].unionByName(parts[1])
+
+
 @register("w3_develop_models", digits=None)
 def q_w3(spark, sf):
     """W3 (few trials, small forests): split, five baselines, three tuned models,
@@ -129,7 +139,7 @@ def q_meta(spark, sf):
     return S.load_processed(spark, base, train=True)
 
 
-@register("s5_s7_persisted_model", digits=None)
+@register("s5_s7_persisted_model")
 def q_persist(spark, sf):
     """A fitted W4 pipeline saved, reloaded and applied."""
     from featureforge.plans.engineer import basic_preprocess_pipeline
@@ -196,6 +206,7 @@ def _w5_sql():
 
 from featureforge.plans.registry import REGISTRY as _REG  # noqa: E402
 _REG["w4_basic_preprocess"].sql = _w4_sql()
+_REG["s5_s7_persisted_model"].sql = _REG["w4_basic_preprocess"].sql  # a reloaded pipeline does the same
 _REG["w5_advanced_preprocess"].sql = _w5_sql()
 
 

@@ -126,7 +126,7 @@ def basic_preprocess_pipeline(roles: Roles) -> Pipeline:
 
 
 def advanced_preprocess_pipeline(roles: Roles, scaling: str = "robust", polynomial: bool = True) -> Pipeline:
-    """Impute (median; the k-NN strategy is not built) -> IQR cap with
+    """Impute (median; other strategies: ``advanced_preprocess``) -> IQR cap with
     bounds frozen at fit -> robust (or quantile/standard) scale -> degree-2
     polynomial block of the first five numeric columns."""
     ex = [roles.id, roles.target]
@@ -137,6 +137,25 @@ def advanced_preprocess_pipeline(roles: Roles, scaling: str = "robust", polynomi
     return Pipeline(stages=stages)
 
 
+def advanced_preprocess(df: DataFrame, roles: Roles, impute: str = "median", scaling: str = "robust",
+                        polynomial: bool = True, isolation: bool = False) -> DataFrame:
+    """W5 with its strategies: numeric columns imputed by ``median``, ``knn``
+    (five nearest rows) or ``iterative`` regression, then the pipeline fitted and
+    applied; ``isolation`` adds the isolation-forest flag of the result."""
+    from featureforge.ml.isolation import IsolationForestFlag
+    from featureforge.ml.iterative import iterative_impute
+    from featureforge.ml.knn import knn_impute
+    num = numeric_cols(df, [roles.id, roles.target])
+    if impute not in ("median", "knn", "iterative"):
+        raise ValueError(f"unknown imputation {impute}")
+    if impute == "knn":
+        df = knn_impute(df, num, 5, roles.id)
+    elif impute == "iterative":
+        df = iterative_impute(df.withColumns({c: F.col(c).cast("double") for c in num}), num)
+    out = advanced_preprocess_pipeline(roles, scaling, polynomial).fit(df).transform(df)
+    return IsolationForestFlag(num, roles.id).fit(out).transform(out) if isolation else out
+
+
 def engineer(df: DataFrame, roles: Roles, **kw) -> tuple[DataFrame, object]:
     """Fit W2 on ``df`` and return (engineered frame, fitted PipelineModel)."""
     model = engineering_pipeline(roles, **kw).fit(df)

@@ -12,6 +12,15 @@ from featureforge.ml.treeshap import explain_trees
 COLS = ["a", "b", "c", "d"]
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    """Small tables: fewer, larger shuffle partitions save task starts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def points():
     rng = np.random.default_rng(8)

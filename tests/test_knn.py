@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 from featureforge.ml import knn
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    """Small tables: fewer, larger shuffle partitions save task starts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def brute(q, p, k):
     """{query id: [(distance, id)]} by all pairs."""
     out = {}

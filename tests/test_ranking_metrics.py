@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 from featureforge.operators import evaluate as V
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    """Small tables: fewer, larger shuffle partitions save task starts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def direct(ids, y, p):
     """AUC, average precision, top-decile lift and top-quintile gain by sorting."""
     order = np.lexsort((ids, -p))
