@@ -19,6 +19,15 @@ from tests.llm.conftest import ODD, SF
 BYTE, PIECE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    """Small tables: fewer, larger shuffle partitions save task starts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # ------------------------------------------------------------------ prefix trie
 def brute_trie(rows):
     """Node rows by dictionaries over all prefixes."""
@@ -83,7 +92,7 @@ def talks(spark):
     return df
 
 
-@pytest.mark.parametrize("parameters", [{}, {"task_strings": 4, "fan": 2}, {"segment": 7}, {"segment": 5, "task_strings": 3, "fan": 3}])
+@pytest.mark.parametrize("parameters", [{}, {"task_strings": 12, "fan": 2}, {"segment": 7, "task_strings": 20, "fan": 3}])
 def test_trie_of_odd_conversations(talks, parameters):
     """One task, merged partition forests, several segments, and both."""
     assert trie_rows(talks, **parameters) == brute_trie(TALKS)
