@@ -409,13 +409,17 @@ def box_stats(df: DataFrame, column: str, by: str, k: float = IQR_K, max_groups:
 
 
 def dtype_distribution(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Q18: number of columns per dtype, before and after a transformation."""
-    spark = before.sparkSession
-    from collections import Counter
-    b = Counter(f.dataType.simpleString() for f in before.schema.fields)
-    a = Counter(f.dataType.simpleString() for f in after.schema.fields)
-    rows = [(t, b.get(t, 0), a.get(t, 0)) for t in sorted(set(a) | set(b))]
-    return spark.createDataFrame(rows, "dtype string, n_before int, n_after int")
+    """Q18: columns per dtype and their filled (non-null) cells, before and
+    after a transformation: one aggregate of a count per column for each side,
+    summed by dtype."""
+    def cells(df, tag):
+        kinds = {f"c{i}": f.dataType.simpleString() for i, f in enumerate(df.schema.fields)}
+        counted = df.select(*[F.col(f"`{c}`").alias(k) for k, c in zip(kinds, df.columns)]).agg(*[F.count(k).alias(k) for k in kinds])
+        long = counted.select(F.inline(F.array(*[F.struct(F.lit(t).alias("dtype"), F.col(k).alias("k")) for k, t in kinds.items()])))
+        return long.groupBy("dtype").agg(F.count("k").cast("int").alias(f"n_{tag}"), F.sum("k").alias(f"filled_{tag}"))
+
+    both = cells(before, "before").join(cells(after, "after"), "dtype", "full")
+    return both.fillna(0).select("dtype", "n_before", "n_after", "filled_before", "filled_after")
 
 
 # ------------------------------------------------------------------ R5

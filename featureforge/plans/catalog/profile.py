@@ -282,16 +282,28 @@ def q_box(spark, sf):
     return P.box_stats(customer_360(spark, sf), "monthly_charges", "churn")
 
 
-@register("q18_dtype_distribution", sql=with_c360("""
-SELECT dtype, CAST(n_before AS INTEGER) AS n_before, CAST(n_after AS INTEGER) AS n_after FROM (VALUES
-  ('bigint', 3, 3), ('double', 2, 7), ('int', 0, 11), ('string', 9, 12)) t(dtype, n_before, n_after)
-WHERE (SELECT count(*) FROM c360) > 0
-"""))
+def _q18_sql():
+    """Types as the engine reports them for the columns' values."""
+    import re
+
+    from featureforge.plans.catalog.features import _BUSINESS_SELECT
+    made = re.findall(r" AS (\w+)(?:,\n|\n$)", _BUSINESS_SELECT.split("FROM c360 CROSS JOIN")[0])
+    cells = [("c360", c) for c in C360_COLS] + [("biz", c) for c in made]
+    rows = " UNION ALL ".join(f"SELECT '{t}' AS source, any_value(typeof({c})) AS kind, count({c}) AS filled FROM {t}" for t, c in cells)
+    return with_c360("""
+SELECT CASE kind WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(kind) END AS dtype,
+       CAST(count(*) FILTER (WHERE source = 'c360') AS INTEGER) AS n_before, CAST(count(*) AS INTEGER) AS n_after,
+       CAST(coalesce(sum(filled) FILTER (WHERE source = 'c360'), 0) AS BIGINT) AS filled_before,
+       CAST(sum(filled) AS BIGINT) AS filled_after
+FROM cells GROUP BY 1
+""", extra_ctes=f"biz AS ({_BUSINESS_SELECT}), cells AS ({rows})")
+
+
+@register("q18_dtype_distribution", sql=_q18_sql())
 def q_dtypes(spark, sf):
-    """Q18: column dtypes before/after the business-feature step."""
+    """Q18: columns and filled cells per dtype before/after the business-feature step."""
     c = customer_360(spark, sf)
-    out = P.dtype_distribution(c, X.business_features(c, R))
-    return out.crossJoin(c.agg(F.count(F.lit(1)).alias("_n"))).where("_n > 0").drop("_n")
+    return P.dtype_distribution(c, X.business_features(c, R))
 
 
 @register("r5_recommendations", sql=with_c360(f"""

@@ -17,7 +17,8 @@ from featureforge.operators import profile as P
 from featureforge.roles import Roles
 
 
-def explore(df: DataFrame, roles: Roles, bins: int = 5) -> dict[str, DataFrame]:
+def explore(df: DataFrame, roles: Roles, bins: int = 5, after: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``after``: a transformed frame whose dtypes are compared with ``df``'s."""
     num = numeric_cols(df, [roles.id])
     corr = P.correlation_matrix(df, num)
     reports = {
@@ -35,6 +36,8 @@ def explore(df: DataFrame, roles: Roles, bins: int = 5) -> dict[str, DataFrame]:
         "high_correlations": P.high_correlations(corr),
         "recommendations": P.recommendations(df, roles, num, corr=corr),
     }
+    if after is not None:
+        reports["dtype_distribution"] = P.dtype_distribution(df, after)
     for c in num:
         reports[f"histogram_{c}"] = P.histogram(df, c)
     if roles.target in df.columns:
