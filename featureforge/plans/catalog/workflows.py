@@ -72,7 +72,7 @@ def _w3(spark, sf):
         rate = {"learning_rate": Range(0.1, 0.5)}
         _W3_RUNS[key] = develop_models(
             fm, FEATURES, kinds=("logistic_regression", "random_forest", "naive_bayes", "decision_tree"),
-            n_trials=1, folds=2, startup=1, fixed=_W3_FIXED,
+            n_trials=1, folds=2, startup=1, fixed=_W3_FIXED, n_bags=3,
             tune_space={"random_forest": {"max_depth": Range(4, 6, whole=True)}, "xgboost": rate, "lightgbm": rate})
     return _W3_RUNS[key]
 
