@@ -30,6 +30,15 @@ from featureforge.llm.scratch import Scratch
 
 #: Ids of rejected documents that are sent to all tasks at most; more are joined by shuffle.
 BROADCAST_IDS = 1 << 20
+#: Documents of an Arrow batch: an executor that has run earlier stages has little room beside its heap.
+BATCH_ROWS = "1000"
+#: Parts that a packing task remembers: fewer than alone, since the executors still hold what earlier stages left.
+PACKING_MEMORY_PARTS = 100_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """The stage's jobs run after its function has returned, so the setting stays."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def _without(spark: SparkSession, docs: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -38,15 +47,18 @@ def _without(spark: SparkSession, docs: DataFrame, rejected: DataFrame) -> DataF
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     model = toxicity.fit(docs, catalog.table(spark, sf_dir, "labels"), catalog.toxic_held_out())
     return toxicity.without_toxic(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return _without(spark, docs, neardup.near_duplicates(docs).where("NOT kept"))
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     others = tuple(c for c in docs.columns if c != "doc_id")
     cut = substrings.deduplicate_substrings(docs.select("doc_id", *[F.col(c).alias(f"own_{c}") for c in others]),
                                             text_col="own_text", carry=tuple(f"own_{c}" for c in others))
@@ -58,12 +70,14 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = decontaminate.contamination(docs, catalog.table(spark, sf_dir, "benchmark"))
     return _without(spark, docs, decontaminate.with_verdict(found).where("contaminated"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), carry="crc32").select(
+    _small_batches(spark)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), carry="crc32", memory_parts=PACKING_MEMORY_PARTS).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
