@@ -71,7 +71,7 @@ def _w3(spark, sf):
     if key not in _W3_RUNS:
         rate = {"learning_rate": Range(0.1, 0.5)}
         _W3_RUNS[key] = develop_models(
-            fm, FEATURES, kinds=("logistic_regression", "random_forest", "naive_bayes", "decision_tree"),
+            fm, FEATURES, kinds=("random_forest", "naive_bayes", "decision_tree"),
             n_trials=1, folds=2, startup=1, fixed=_W3_FIXED, n_bags=3,
             tune_space={"random_forest": {"max_depth": Range(4, 6, whole=True)}, "xgboost": rate, "lightgbm": rate})
     return _W3_RUNS[key]
@@ -92,7 +92,7 @@ def q_w5_strategies(spark, sf):
 
 @register("w3_develop_models", digits=None)
 def q_w3(spark, sf):
-    """W3 (one trial and two folds per tuned model, small ensembles): split, four
+    """W3 (one trial and two folds per tuned model, small ensembles): split, three
     baselines, three tuned models, vote, stack and bags of them, test evaluation,
     comparison table."""
     return _w3(spark, sf)["comparison"]
