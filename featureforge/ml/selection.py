@@ -2,7 +2,9 @@
 
 Each elimination or bootstrap round is one distributed fit on the cached,
 assembled training data (only the feature subset changes, so the plan does
-not grow); importances come back as one small vector per fit.
+not grow); importances come back as one small vector per fit.  Missing values
+(null or NaN) are the median of the rows that the fit sees, as in every other
+model; a feature without any value is constant.
 """
 
 from __future__ import annotations
@@ -19,9 +21,24 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featureforge.functions.rank import quantiles
 from featureforge.ml.models import SEED, bootstrap
 
 
+def medians(rows: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Exact median of each feature, 0 for one without values."""
+    found = quantiles(rows, {f: F.col(f) for f in features}, [0.5])
+    return {f: found[f][0] if found[f] else 0.0 for f in features}
+
+
+def filled(rows: DataFrame, fills: dict[str, float]) -> DataFrame:
+    """Null and NaN features replaced; a lazy projection."""
+    def value(f):
+        x = F.col(f).cast("double")
+        return F.coalesce(F.when(~F.isnan(x), x), F.lit(float(fills[f])))
+    return rows.withColumns({f: value(f) for f in fills})
+
+
 def _forest(features, trees=50, bootstrap=True, seed=SEED):
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="_sel_features", handleInvalid="keep"),
@@ -40,7 +57,7 @@ def rfe(train: DataFrame, features: Sequence[str], n_select: int, step: int = 1,
     """Refit the forest and drop the ``step`` least important features
     until ``n_select`` remain; ranking 1 = selected, then elimination order
     reversed (like RFE.ranking_)."""
-    train = train.select(*features, "label").cache()
+    train = filled(train.select(*features, "label"), medians(train, features)).cache()
     current, eliminated = list(features), []
     while len(current) > n_select:
         imp = importances(train, current, trees)
