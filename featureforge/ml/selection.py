@@ -99,6 +99,7 @@ def select_from_model(train: DataFrame, features: Sequence[str], estimator: str
                       threshold: str | float = "mean", alpha: float = 0.01) -> DataFrame:
     """Keep features whose importance (forest, extra trees) or |lasso
     coefficient| is >= threshold ('mean', 'median' or a number)."""
+    train = filled(train.select(*features, "label"), medians(train, features))
     if estimator == "lasso":
         m = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_l1", handleInvalid="keep"),
                              LinearRegression(featuresCol="_l1", labelCol="label", regParam=alpha,

@@ -50,3 +50,10 @@ def test_filled_keeps_rows_and_uses_medians(spark):
     fills = L.medians(rows, ["x", "y"])
     assert fills == {"x": 2.0, "y": 0.0}
     assert [tuple(r) for r in L.filled(rows, fills).collect()] == [(1.0, 0.0), (2.0, 0.0), (3.0, 0.0), (2.0, 0.0)]
+
+
+@pytest.mark.parametrize("estimator", ["random_forest", "lasso"])
+def test_selection_takes_rows_with_missing_values(gappy, estimator):
+    told = {r["feature"]: r for r in L.select_from_model(gappy, ["a", "b", "e"], estimator).collect()}
+    assert told["a"]["selected"] and not told["b"]["selected"]
+    assert told["e"]["score"] == 0.0
