@@ -80,15 +80,17 @@ def rfe_cv(train: DataFrame, features: Sequence[str], fold_col: str = "fold", fo
     ranking = {r["feature"]: r["ranking"] for r in rfe(train, features, 1, step, trees).collect()}
     order = sorted(features, key=lambda f: (ranking[f], f))
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=0)
-    rows = []
-    for size in range(1, len(order) + 1, step):
-        feats = order[:size]
-        aucs = []
-        for f in range(folds):
-            tr, ho = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
-            m = _forest(feats, trees).fit(tr)
-            aucs.append(ev.evaluate(m.transform(ho)))
-        rows.append((size, float(sum(aucs) / len(aucs))))
+    sizes = range(1, len(order) + 1, step)
+
+    def fold_aucs(f):
+        tr, ho = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
+        fills = medians(tr, features)
+        tr, ho = filled(tr.select(*features, "label"), fills), filled(ho.select(*features, "label"), fills)
+        return [ev.evaluate(_forest(order[:size], trees).fit(tr).transform(ho)) for size in sizes]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        aucs = list(pool.map(fold_aucs, range(folds)))
+    rows = [(size, float(sum(of_size) / folds)) for size, of_size in zip(sizes, zip(*aucs))]
     best = max(rows, key=lambda t: (t[1], -t[0]))[0]
     spark = train.sparkSession
     return spark.createDataFrame([(s, a, s == best) for s, a in rows],

@@ -57,3 +57,8 @@ def test_selection_takes_rows_with_missing_values(gappy, estimator):
     told = {r["feature"]: r for r in L.select_from_model(gappy, ["a", "b", "e"], estimator).collect()}
     assert told["a"]["selected"] and not told["b"]["selected"]
     assert told["e"]["score"] == 0.0
+
+
+def test_elimination_by_folds_takes_rows_with_missing_values(gappy):
+    sizes = L.rfe_cv(gappy, ["a", "b", "e"], "fold", 2, step=1, trees=3).collect()
+    assert [r["n_features"] for r in sizes] == [1, 2, 3] and all(r["cv_auc"] > 0.8 for r in sizes)
