@@ -123,7 +123,7 @@ def stability_selection(train: DataFrame, features: Sequence[str], n_bootstrap:
     feature votes when its importance >= the median; keep frequency >= threshold.
     The fits run side by side."""
     votes = {f: 0 for f in features}
-    base = train.select("id", *features, "label").cache()
+    base = filled(train.select("id", *features, "label"), medians(train, features)).cache()
 
     def fit(i):
         return importances(bootstrap(base, seed + i, mean=sample_fraction), features, trees, seed=seed + i)

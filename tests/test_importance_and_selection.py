@@ -62,3 +62,8 @@ def test_selection_takes_rows_with_missing_values(gappy, estimator):
 def test_elimination_by_folds_takes_rows_with_missing_values(gappy):
     sizes = L.rfe_cv(gappy, ["a", "b", "e"], "fold", 2, step=1, trees=3).collect()
     assert [r["n_features"] for r in sizes] == [1, 2, 3] and all(r["cv_auc"] > 0.8 for r in sizes)
+
+
+def test_stability_selection_takes_rows_with_missing_values(gappy):
+    told = {r["feature"]: r["frequency"] for r in L.stability_selection(gappy, ["a", "b", "e"], n_bootstrap=3, trees=5).collect()}
+    assert told["a"] == 1.0 and told["e"] == 0.0
