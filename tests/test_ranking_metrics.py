@@ -82,3 +82,14 @@ def test_single_class_and_missing_scores(spark):
     got = {r["model"]: r for r in V.ranking_summary(pred, ["model"]).collect()}
     assert got["a"]["roc_auc"] is None and got["a"]["top_decile_lift"] == 0.0
     assert got["b"]["roc_auc"] == pytest.approx(0.5)
+
+
+def test_auc_by_key_is_the_window_form(spark):
+    """One pass over ranges of scores gives what the running sums give: ties, missing scores, a key of one class."""
+    rows = [(f"m{i % 3}", 0 if i % 3 == 2 else int((i * 7919) % 5 > 1), None if i % 23 == 0 else (i * 31 % 40) / 40 + (i % 5 > 1) * 0.1)
+            for i in range(600)]
+    pred = spark.createDataFrame(rows, "model string, label int, p1 double").repartition(5)
+    told = V.auc_by_key(pred, "model")
+    want = {r["model"]: r["roc_auc"] for r in V.roc_auc(V.score_histogram(pred, ["model"]), ["model"]).collect()}
+    assert want["m2"] is None and told["m2"] is None
+    assert set(told) == set(want) and all(abs(told[k] - want[k]) < 1e-12 for k in ("m0", "m1"))
