@@ -98,3 +98,29 @@ def test_empty_and_single_class(frame):
     assert ExtraTrees(COLS, n_estimators=2).fit(frame.where("id < 0")).trees == []
     trees = ExtraTrees(COLS, n_estimators=2).fit(frame.where("label = 1")).trees
     assert all(len(t.left) == 1 and t.value[0] == 0.5 for t in trees)
+
+
+def test_blocks_keep_partitions_and_the_open_node_of_each_row(frame, points, monkeypatch):
+    """Every partition of the rows works on the levels, and rows are not walked from the root again."""
+    from featureforge.ml import extratrees
+    seen = []
+
+    class Watched(extratrees.ExtraForest):
+        def level(self):
+            seen.append((self.blocks.rdd.getNumPartitions(), sorted(self.open)))
+            super().level()
+            if len(seen) == 3:
+                seen.append([(r["n"], r["x"], r["at"]) for r in self.blocks.collect()])
+
+    monkeypatch.setattr(extratrees, "ExtraForest", Watched)
+    model = ExtraTrees(COLS, n_estimators=2, max_depth=3, max_features=2, seed=7).fit(frame.repartition(6, "id"))
+    *levels, blocks = seen
+    assert [n for n, _ in levels] == [6, 6, 6] and sum(n for n, _, _ in blocks) == 700
+    for t, tree in enumerate(model.trees):
+        opened = [k - t * TREE_NODES for k in levels[2][1] if k // TREE_NODES == t]
+        walked = tree.arrays()
+        below = {c: k for k in opened for c in (walked.left[k], walked.right[k]) if c >= 0}
+        for n, x, at in blocks:
+            leaf = walked.leaves(np.frombuffer(x, float).reshape(len(COLS), n).T).tolist()
+            at = np.frombuffer(at, np.uint16).reshape(2, n)[t].tolist()
+            assert [below.get(k, k) for k in leaf] == [opened[a] if a < 65535 else k for a, k in zip(at, leaf)]
