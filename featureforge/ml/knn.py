@@ -7,7 +7,8 @@ pivot is farther away than the bound plus the cell's radius holds nothing, nor
 does one whose border with the query's own cell is farther than the bound.  Cells
 are split into blocks of bounded size, so a hot cell is many tasks, and k rows
 per query and block come out.  Distances are Euclidean over the given columns,
-ties go to the smaller id.
+ties go to the smaller id: of equal points only the k smallest ids can be
+found, so only they are searched, and equal queries are searched once.
 
 Defined cases: points or queries with a missing coordinate take part in nothing
 (``KnnImputer`` leaves such columns out per pattern); fewer points than k give
@@ -19,17 +20,20 @@ from __future__ import annotations
 import itertools
 import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureforge.session import scratch_path
 
 #: Pivots at most, points of a block and queries of a block.
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 BLOCK = 4096
+#: Rows compared with all pivots at a time.
+SLICE = 1024
 MAX_PATTERNS = 64
 
 
@@ -47,6 +51,24 @@ def _matrix(col: pa.ChunkedArray | pa.Array, d: int) -> np.ndarray:
     return np.asarray(col.flatten().to_numpy(zero_copy_only=False), float).reshape(-1, d) if len(col) else np.zeros((0, d))
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, SLICE):
+            yield batch.slice(a, SLICE)
+
+
+def nearest_of(far: np.ndarray, take: int) -> np.ndarray:
+    """(queries x take) places of the smallest distances of each row, the first place of equals."""
+    if take == far.shape[1]:
+        return np.argsort(far, axis=1, kind="stable")
+    last = np.partition(far, take - 1, axis=1)[:, take - 1:take]
+    row, place = np.nonzero(far <= last)  # by row, then by place
+    order = np.lexsort((far[row, place], row))
+    row, place = row[order], place[order]
+    start = np.searchsorted(row, np.arange(len(far)))
+    return place[start[:, None] + np.arange(take)]
+
+
 def pick_pivots(points: DataFrame, n: int, seed: int) -> np.ndarray:
     """At most ``n`` distinct points, by a hash of their coordinates."""
     rows = points.select("v").distinct().orderBy(F.xxhash64("v", F.lit(seed)), "v").limit(n).collect()
@@ -56,12 +78,11 @@ def pick_pivots(points: DataFrame, n: int, seed: int) -> np.ndarray:
 def _placed(df: DataFrame, pivots: np.ndarray, id_type: str) -> DataFrame:
     """(id, v, cell, r): nearest pivot and the distance to it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                d = distances(_matrix(batch.column("v"), pivots.shape[1]), pivots)
-                cell = d.argmin(1)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int32)),
-                                                  pa.array(d[np.arange(len(d)), cell])], ["id", "v", "cell", "r"])
+        for batch in _sliced(batches):
+            d = distances(_matrix(batch.column("v"), pivots.shape[1]), pivots)
+            cell = d.argmin(1)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int32)),
+                                              pa.array(d[np.arange(len(d)), cell])], ["id", "v", "cell", "r"])
 
     return df.select("id", "v").mapInArrow(run, f"id {id_type}, v array<double>, cell int, r double")
 
@@ -72,9 +93,7 @@ def _visits(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, blocks:
     between = distances(pivots, pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _sliced(batches):
             d = distances(_matrix(batch.column("v"), pivots.shape[1]), pivots)
             own = batch.column("cell").to_numpy()
             bound = batch.column("bound").to_numpy()[:, None] * (1 + 1e-12)
@@ -110,7 +129,7 @@ def _nearest(visits: DataFrame, points: DataFrame, k: int, d: int, q_type: str,
             q = _matrix(left.column("v").slice(a, 512), d)
             far = distances(q, p)
             take = min(k, len(p))
-            near = np.argsort(far, axis=1, kind="stable")[:, :take]
+            near = nearest_of(far, take)
             flat = near.ravel()
             out.append(pa.table([left.column("qid").slice(a, 512).take(pa.array(np.repeat(np.arange(len(q)), take))),
                                  pa.array(far[np.arange(len(q))[:, None], near].ravel()), ids.take(pa.array(flat))], names=["qid", "distance", "id"]))
@@ -139,7 +158,10 @@ def knn_join(queries: DataFrame, points: DataFrame, cols: Sequence[str], k: int,
         return df.where(full).select(F.col(id_col).alias("id"), F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
 
     path = scratch_path(spark, f"knn-{uuid.uuid4().hex}")
-    points = vectors(points, point_id)
+    # of equal points the k smallest ids
+    rank = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    vectors(points, point_id).withColumn("rank", rank).where(F.col("rank") <= k).drop("rank").write.parquet(f"{path}/distinct")
+    points = spark.read.parquet(f"{path}/distinct")
     n = points.count()
     pivots = pick_pivots(points, n_pivots or max(1, min(MAX_PIVOTS, int(n ** 0.5))), seed)
     if not len(pivots):
@@ -156,7 +178,8 @@ def knn_join(queries: DataFrame, points: DataFrame, cols: Sequence[str], k: int,
     points = placed.withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), split).cast("int"))
     points.write.parquet(f"{path}/points")
     points = spark.read.parquet(f"{path}/points")
-    asked = _placed(vectors(queries, query_id), pivots, q_type)
+    every = vectors(queries, query_id)
+    asked = _placed(every.groupBy("v").agg(F.min("id").alias("id")), pivots, q_type)  # one for all equal queries
     asked.write.parquet(f"{path}/queries")
     asked = spark.read.parquet(f"{path}/queries")
     home = asked.select(F.col("id").alias("qid"), "v", "cell", F.explode(F.sequence(F.lit(0), split - 1)).alias("block"))
@@ -168,7 +191,8 @@ def knn_join(queries: DataFrame, points: DataFrame, cols: Sequence[str], k: int,
     visits = _visits(bounded.select("id", "v", "cell", "bound"), pivots, radius, blocks, q_type)
     more = _nearest(visits, points, k, len(cols), q_type, p_type)
     seen = first.select("qid", F.inline("near")).select("qid", "distance", "id")
-    return _best(seen.unionByName(more), k)
+    best = asked.select(F.col("id").alias("qid"), "v").join(_best(seen.unionByName(more), k), "qid").drop("qid")
+    return every.select(F.col("id").alias("qid"), "v").join(best, "v").select("qid", "near")
 
 
 def knn_classify(train: DataFrame, rows: DataFrame, cols: Sequence[str], k: int = 5, id_col: str = "id", label_col: str = "label",
@@ -194,15 +218,21 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5, id_col: str = "id
     if len(patterns) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} patterns of missing columns; impute fewer columns at a time")
     means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    filled = None
-    for m, (j, c) in itertools.product(patterns, enumerate(cols)):
+    holes = [(m, c) for m, (j, c) in itertools.product(patterns, enumerate(cols)) if m[j] == "1" and "0" in m]
+
+    def values(hole: tuple[str, str]) -> DataFrame:
+        m, c = hole
         have = [x for x, gone in zip(cols, m) if gone == "0"]
-        if m[j] == "1" and have:
-            rows, donors = df.where(F.col("_mask") == m), df.where(F.col(c).isNotNull())
-            near = knn_join(rows, donors, have, k, id_col, id_col, **kw).select("qid", F.explode("near.id").alias("nid"))
-            value = (near.join(donors.select(F.col(id_col).alias("nid"), F.col(c).alias("_x")), "nid").groupBy("qid")
-                     .agg(F.avg("_x").alias("_value")).withColumn("_col", F.lit(c)))
-            filled = value if filled is None else filled.unionByName(value)
+        rows, donors = df.where(F.col("_mask") == m), df.where(F.col(c).isNotNull())
+        near = knn_join(rows, donors, have, k, id_col, id_col, **kw).select("qid", F.explode("near.id").alias("nid"))
+        return (near.join(donors.select(F.col(id_col).alias("nid"), F.col(c).alias("_x")), "nid").groupBy("qid")
+                .agg(F.avg("_x").alias("_value")).withColumn("_col", F.lit(c)))
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts = list(pool.map(values, holes))
+    filled = None
+    for value in parts:
+        filled = value if filled is None else filled.unionByName(value)
     if filled is not None:
         wide = filled.groupBy(F.col("qid").alias(id_col)).agg(*[F.max(F.when(F.col("_col") == c, F.col("_value"))).alias(f"_n_{c}") for c in cols])
         df = df.join(wide, id_col, "left")

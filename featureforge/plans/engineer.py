@@ -24,6 +24,7 @@ from featureforge.operators.outlier import OutlierCapper
 from featureforge.operators.scale import Scaler
 from featureforge.operators.select import FeatureSelector
 from featureforge.roles import Roles
+from featureforge.session import cut_lineage
 
 
 class BusinessModel(StatsModel):
@@ -149,7 +150,7 @@ def advanced_preprocess(df: DataFrame, roles: Roles, impute: str = "median", sca
     if impute not in ("median", "knn", "iterative"):
         raise ValueError(f"unknown imputation {impute}")
     if impute == "knn":
-        df = knn_impute(df, num, 5, roles.id)
+        df = cut_lineage(knn_impute(df, num, 5, roles.id))  # each stage's fit reads it, the neighbours are searched once
     elif impute == "iterative":
         df = iterative_impute(df.withColumns({c: F.col(c).cast("double") for c in num}), num)
     out = advanced_preprocess_pipeline(roles, scaling, polynomial).fit(df).transform(df)

@@ -95,3 +95,27 @@ def test_impute_by_pattern(spark):
                 want = np.mean([x for _, _, x in donors[:3]]) if donors else means[j]
             assert got[r[0]][cols[j]] == pytest.approx(want)
     assert {r["note"] for r in got.values()} == {"kept"}
+
+
+def test_equal_points_and_queries_are_searched_once(spark, monkeypatch):
+    """Of 900 equal points only k can be found, and 300 equal queries have one answer."""
+    seen = []
+    real = knn._nearest
+
+    def counted(visits, points, *args):
+        seen.append((visits.count(), points.count()))
+        return real(visits, points, *args)
+
+    monkeypatch.setattr(knn, "_nearest", counted)
+    p = [(i, (float(i % 3), 1.0)) for i in range(900)]
+    q = [(i, (0.25, 1.0)) for i in range(300)] + [(900, (1.0, 1.0))]
+    left, right = frames(spark, q, p)
+    got = {r["qid"]: [(x["distance"], x["id"]) for x in r["near"]] for r in knn.knn_join(left, right, ["x0", "x1"], 4).collect()}
+    assert got == {i: [(abs(v[0]), 3 * j) for j in range(4)] if i < 900 else [(0.0, 3 * j + 1) for j in range(4)] for i, v in q}
+    assert all(n <= 3 * 4 for _, n in seen) and seen[0][0] == 2
+
+
+def test_nearest_places_of_rows_with_ties():
+    far = np.random.default_rng(3).integers(0, 6, (50, 40)).astype(float)
+    for take in (1, 5, 40):
+        assert (knn.nearest_of(far, take) == np.argsort(far, axis=1, kind="stable")[:, :take]).all()
