@@ -194,6 +194,85 @@ class Machine:
     def values(self, units: Units) -> np.ndarray:
         return units.score(self.table) + self.bias
 
+    def small(self) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each code among those in the table, 0 for the others; the table over these numbers)."""
+        if not hasattr(self, "_small"):
+            at = np.flatnonzero(self.table)
+            used = np.unique(np.concatenate([at >> 14, (at >> 7) & 127, at & 127, [OPEN, CLOSE]]))
+            number = np.zeros(128, np.int64)
+            number[used] = np.arange(1, len(used) + 1)
+            k = len(used) + 1
+            table = np.zeros(k ** 3)
+            table[(number[at >> 14] * k + number[(at >> 7) & 127]) * k + number[at & 127]] = self.table[at]
+            self._small = number, table
+        return self._small
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_small"}
+
+
+class Stream:
+    """Values of any runs of consecutive words of a block.  Triples are scored once
+    over the whole block as whole numbers, so that the sum of a run is an exact
+    difference of running sums and does not depend on where the run lies."""
+
+    UNIT = float(1 << 32)
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, machine: Machine):
+        number, table = machine.small()
+        k = int(round(len(table) ** (1 / 3)))
+        kept = (CODES > 0)[data]
+        at = np.concatenate([[0], np.cumsum(kept)])[bounds - bounds[0]]
+        c = np.zeros(int(at[-1]) + 2 * SPAN, np.int64)
+        c[SPAN:SPAN + at[-1]] = number[CODES][data[kept]]
+        m, n = int(at[-1]), len(at)
+        self.bias, self.at, self.code, self.table, self.k = machine.bias, at, c, table, k
+        self.open, self.close = int(number[OPEN]), int(number[CLOSE])
+        scale = [DECAY ** (b + 1) * self.UNIT for b in range(SPAN + 1)]
+        sums = np.zeros((SPAN + 1, m + 1), np.int64)
+        for lo in range(0, m, SLICE):
+            x = c[lo + SPAN:min(lo + SLICE, m) + 2 * SPAN]
+            size = len(x) - SPAN
+            total = np.zeros((SPAN + 1, size))
+            for a in range(1, SPAN):
+                pair = (x[:size] * k + x[a:a + size]) * k
+                for b in range(a + 1, SPAN + 1):
+                    total[b] += table.take(pair + x[b:b + size])
+            for b in range(2, SPAN + 1):
+                sums[b, lo + 1:lo + 1 + size] = np.rint(total[b] * scale[b])
+        self.inner = {b: np.cumsum(sums[b]) for b in range(2, SPAN + 1)}
+        # a run's opening lies before its first letter, its close after its last
+        self.heads, self.tails = np.zeros((SPAN + 1, n), np.int64), np.zeros((SPAN + 1, n), np.int64)
+        for b in range(2, SPAN + 1):
+            head, tail = np.zeros(n), np.zeros(n)
+            for a in range(1, b):
+                head += table.take((self.open * k + c[at + SPAN + a - 1]) * k + c[at + SPAN + b - 1])
+                tail += table.take((c[at + SPAN - b] * k + c[at + SPAN - b + a]) * k + self.close)
+            self.heads[b] = self.heads[b - 1] + np.rint(head * scale[b]).astype(np.int64)
+            self.tails[b] = self.tails[b - 1] + np.rint(tail * scale[b]).astype(np.int64)
+        size = np.arange(MAX_BYTES + 1)
+        self.norms = np.sqrt(np.maximum(sum(np.maximum(size + 2 - b, 0) * DECAY ** (2 * (b + 1)) for _, b in OFFSETS), DECAY ** 6))
+
+    def values(self, first: np.ndarray, size) -> np.ndarray:
+        """Values of the runs of ``size`` words from ``first``."""
+        out = np.empty(len(first))
+        for lo in range(0, len(first), SLICE):
+            w = first[lo:lo + SLICE]
+            end = w + (size if np.isscalar(size) else size[lo:lo + SLICE])
+            s, e = self.at[w], self.at[end]
+            length = e - s
+            near = np.minimum(length, SPAN)
+            total = self.heads[near, w] + self.tails[near, end]
+            for b, sums in self.inner.items():
+                total += sums[np.maximum(e - b, s)] - sums[s]
+            short = np.flatnonzero((length > 0) & (length < SPAN))  # one triple from the opening to the close
+            for a in range(1, SPAN):
+                i = short[length[short] >= a]
+                whole = self.table[(self.open * self.k + self.code[s[i] + a - 1 + SPAN]) * self.k + self.close]
+                total[i] += np.rint(whole * (DECAY ** (length[i] + 2.0) * self.UNIT)).astype(np.int64)
+            out[lo:lo + SLICE] = total / self.UNIT / self.norms[length] + self.bias
+        return out
+
 
 def parts(word: bytes) -> list[bytes]:
     """Parts of a word longer than MAX_BYTES; those of one piece overlap."""
@@ -218,10 +297,13 @@ class Tokens:
         length = np.diff(np.frombuffer(self.distinct.buffers()[1], np.int64)[:n + 1]) if n else np.zeros(0, np.int64)
         if not (length > MAX_BYTES).any():
             return
-        cut = [parts(w) if size > MAX_BYTES else [w] for w, size in zip(self.distinct.to_pylist(), length)]
-        size = np.array([len(x) for x in cut])
-        start = np.cumsum(size) - size
-        coded = pa.array([x for c in cut for x in c], pa.large_binary()).dictionary_encode()
+        long = length > MAX_BYTES
+        cut = [parts(w) for w in self.distinct.filter(pa.array(long)).to_pylist()]
+        size, start = np.ones(n, np.int64), np.cumsum(~long) - 1
+        size[long] = [len(x) for x in cut]
+        start[long] = n - len(cut) + np.cumsum(size[long]) - size[long]  # parts follow the other words
+        coded = pa.concat_arrays([self.distinct.filter(pa.array(~long)),
+                                  pa.array([x for c in cut for x in c], pa.large_binary())]).dictionary_encode()
         many = size[self.index]
         end = np.concatenate([[0], np.cumsum(many)])
         at = np.repeat(start[self.index] - end[:-1], many) + np.arange(end[-1])
@@ -237,16 +319,17 @@ class Tokens:
 
 class Windows:
     """Runs of words of one document that are read as one unit: ``first`` and
-    ``size`` are their words (occurrences), ``key`` a hash."""
+    ``size`` are their words (occurrences), ``key`` a hash (none unless ``hashed``)."""
 
-    def __init__(self, words: Tokens):
+    def __init__(self, words: Tokens, hashed: bool = True):
         self.doc = words.doc_of()
         stream = words.distinct.take(pa.array(words.index)) if len(words.index) else words.distinct
         self.bounds = np.frombuffer(stream.buffers()[1], np.int64)[stream.offset:stream.offset + len(stream) + 1]
         self.data = np.frombuffer(stream.buffers()[2], np.uint8)
         length, n = np.diff(self.bounds), len(stream)
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.distinct.to_pylist()), np.uint64,
-                             len(words.distinct))[words.index]
+        if hashed:
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.distinct.to_pylist()), np.uint64,
+                                 len(words.distinct))[words.index]
         long = np.concatenate([[0], np.cumsum(length > SHORT)])
         first, size, key = [], [], []
         for k in (*WINDOWS, *SHORT_WINDOWS):
@@ -260,12 +343,14 @@ class Windows:
                 continue
             first.append(at)
             size.append(np.full(len(at), k))
-            key.append(window_hashes(hashes, k, _FACTOR + 2 * k)[at])
+            if hashed:
+                key.append(window_hashes(hashes, k, _FACTOR + 2 * k)[at])
         self.first, self.size = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (first, size))
         self.key = np.concatenate(key) if key else np.zeros(0, np.uint64)
 
     def keep(self, which: np.ndarray) -> None:
-        self.first, self.size, self.key = self.first[which], self.size[which], self.key[which]
+        self.first, self.size = self.first[which], self.size[which]
+        self.key = self.key[which] if len(self.key) else self.key
 
     def units(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes and bounds of some windows, without the spaces between words."""
@@ -278,11 +363,6 @@ class Windows:
         data, bounds = self.units(at)
         return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
-    def values(self, machine: Machine) -> np.ndarray:
-        _, at, back = np.unique(self.key, return_index=True, return_inverse=True)
-        out = [machine.values(Units(*self.units(at[k:k + SLICE]))) for k in range(0, len(at), SLICE)]
-        return np.concatenate(out)[back] if out else np.zeros(0)
-
     def peaks(self, value: np.ndarray) -> np.ndarray:
         """Windows with the highest value, the first of equals, wherever they overlap others."""
         order = np.lexsort((self.first, -value))
@@ -297,13 +377,6 @@ class Windows:
         return np.array(out, np.int64)
 
 
-def normal(words: Tokens) -> tuple[Units, pa.Array]:
-    distinct = words.distinct
-    data = np.frombuffer(distinct.buffers()[2], np.uint8) if len(distinct) and distinct.buffers()[2] else np.zeros(0, np.uint8)
-    bounds = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset:distinct.offset + len(distinct) + 1]
-    return Units(data, bounds), distinct
-
-
 def document_values(column, machine: Machine) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best and second best unit value of each text, and its number of positive
     units: its words, and its windows without a positive word (of overlapping
@@ -312,14 +385,14 @@ def document_values(column, machine: Machine) -> tuple[np.ndarray, np.ndarray, n
     n = words.n_docs
     best, second, positive = np.full(n, machine.bias), np.full(n, machine.bias), np.zeros(n)
     if len(words.index):
-        units, _ = normal(words)
-        value = machine.values(units)[words.index]
         doc = words.doc_of()
-        windows = Windows(words)
+        windows = Windows(words, hashed=False)
+        stream = Stream(windows.data[windows.bounds[0]:windows.bounds[-1]], windows.bounds, machine)
+        value = stream.values(np.arange(len(doc)), 1)
         high = np.concatenate([[0], np.cumsum(value > 0)])
         windows.keep(high[windows.first + windows.size] == high[windows.first])
         if len(windows.first):
-            of, more = doc[windows.first], windows.values(machine)
+            of, more = doc[windows.first], stream.values(windows.first, windows.size)
             top = np.full(n, -np.inf)
             np.maximum.at(top, of, more)
             top_at = np.flatnonzero((more == top[of]) & (top[of] <= 0))
@@ -327,13 +400,16 @@ def document_values(column, machine: Machine) -> tuple[np.ndarray, np.ndarray, n
             windows.keep(at := np.flatnonzero(more > 0))
             at = np.concatenate([top_at, at[windows.peaks(more[at])]])
             value, doc = np.concatenate([value, more[at]]), np.concatenate([doc, of[at]])
-        order = np.lexsort((-value, doc))
-        value, doc = value[order], doc[order]
-        full, at = np.unique(doc, return_index=True)
-        best[full] = np.maximum(machine.bias, value[at])
         positive = np.bincount(doc, weights=value > 0, minlength=n)
-        next_one = np.append(at[1:], len(doc)) > at + 1
-        second[full[next_one]] = np.maximum(machine.bias, value[at[next_one] + 1])
+        order = np.argsort(doc, kind="stable")
+        value, doc = value[order], doc[order]
+        start = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        full, size = doc[start], np.diff(np.append(start, len(doc)))
+        highest = np.maximum.reduceat(value, start)
+        best[full] = np.maximum(machine.bias, highest)
+        at = np.flatnonzero(value == np.repeat(highest, size))
+        value[at[np.unique(doc[at], return_index=True)[1]]] = -np.inf
+        second[full] = np.maximum(machine.bias, np.maximum.reduceat(value, start))
     return best, second, positive
 
 

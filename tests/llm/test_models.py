@@ -205,3 +205,22 @@ def test_toxicity_on_the_tables(spark):
     clean = [r for r in got if r["toxic"] == 0]
     assert np.mean([r["predicted"] for r in clean]) < 0.05
     assert np.mean([r["predicted"] for r in got if r["toxic"] == 1]) > 0.6
+
+
+def test_runs_of_words_are_scored_from_running_sums():
+    """The value of a run is that of its bytes read as one unit, wherever it lies."""
+    machine = toxicity.Machine([b"idiot", b"stupid", b"mor\xc3\xb6n"], [b"table", b"the", b"a", b"weather"],
+                               [b"idiot", b"mor\xc3\xb6n", b"table", b"the"])
+    texts = ["you st upid id.iot a the", "--- ... st upid", "", "i d i o t " * 3, "mor ön ?? weather " + "x" * 60 + " st upid id.iot", "ab", None]
+    words = toxicity.Tokens(pa.array(texts, pa.large_string()))
+    windows = toxicity.Windows(words)
+    stream = toxicity.Stream(windows.data, windows.bounds, machine)
+    want = machine.values(toxicity.Units(*windows.units(np.arange(len(windows.first)))))
+    got = stream.values(windows.first, windows.size)
+    assert len(got) > 40 and np.allclose(got, want, atol=1e-6)
+    same = {}
+    for key, value in zip(windows.key.tolist(), got.tolist()):
+        assert same.setdefault(key, value) == value  # exactly, so that equal windows tie
+    assert len(same) < len(got)
+    single = machine.values(toxicity.units_of(words.distinct.to_pylist()))[words.index]
+    assert np.allclose(stream.values(np.arange(len(words.index)), 1), single, atol=1e-6)
