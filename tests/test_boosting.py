@@ -324,3 +324,12 @@ def test_tuned_model_is_the_best_trial(frame):
     assert len(got) == 3 and all(0.6 < r["cv_auc"] <= 1 for r in got)
     best = eval(max(got, key=lambda r: r["cv_auc"])["params"])
     assert len(model.stages[-1].trees) == best["iterations"] == params["iterations"]
+
+
+def test_blocks_keep_the_partitions_of_the_rows(spark):
+    """Small blocks are not packed into fewer tasks than the rows had."""
+    from featureforge.ml import boosting
+    df = spark.range(0, 600, 1, 6).select("id", F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("label"))
+    rows = boosting.Rows(df, ["x"], [[100.0, 300.0]], boosting.settings("xgboost", {}))
+    assert rows.n == 600 and rows.blocks.rdd.getNumPartitions() == 6
+    rows.release()
